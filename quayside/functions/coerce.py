@@ -1,13 +1,17 @@
 """Lenient typed coercion: loosely typed values in, one fixed type out.
 
-Every function maps a column to ``(value, refused)``: the coerced value, and a boolean that is
-true where the input had content which the target type cannot hold and which a typed server
-would have turned down. Values that are defined to become NULL (an empty string in an integer
-column, say) are not refused. Everything is a native expression; nothing leaves the JVM.
+Every function maps a column to the coerced value and a test for refusal: whether the input had
+content which the target type cannot hold and which a typed server would have turned down.
+Values that are defined to become NULL (an empty string in an integer column, say) are not
+refused. Everything is a native expression; nothing leaves the JVM.
+
+Text is stripped once: callers that run several expressions over a column pass ``strip(x)``
+from an earlier projection as ``s``.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from typing import NamedTuple
 
 from pyspark.sql import Column
@@ -24,6 +28,7 @@ TRUE_WORDS = ("1", "true", "t", "yes", "y")
 FALSE_WORDS = ("0", "false", "f", "no", "n")
 # An epoch at or above this magnitude is in milliseconds, below it in seconds.
 MILLIS_FROM = 1e11
+LARGEST_DOUBLE = 1.7976931348623157e308
 # Largest representable instant, in milliseconds either side of 1970.
 MAX_INSTANT_MS = 8.64e15
 
@@ -47,18 +52,24 @@ FLOAT_TARGETS = {"double precision": "double", "real": "float"}
 
 
 class Coerced(NamedTuple):
-    """A coerced value and whether the input was refused."""
+    """A coerced value, and whether the input was refused given that value's column."""
 
     value: Column
-    refused: Column
+    refusal: Callable[[Column], Column]
+
+    @property
+    def refused(self) -> Column:
+        return self.refusal(self.value)
 
 
-def _never() -> Column:
+def _never(_: Column) -> Column:
     return F.lit(False)
 
 
-def _strip(x: Column) -> Column:
-    return F.btrim(x, F.lit(BLANKS))
+def strip(x: Column) -> Column:
+    """Text without surrounding blanks; plain ASCII ends are told apart without a search."""
+    ends = F.ascii(x).between(33, 126) & F.ascii(F.right(x, F.lit(1))).between(33, 126)
+    return F.when(ends, x).otherwise(F.btrim(x, F.lit(BLANKS)))
 
 
 def _null(kind: str) -> Column:
@@ -84,81 +95,83 @@ def _radix_value(s: Column, kind: str) -> Column:
 
 
 def _finite(x: Column) -> Column:
-    """NULL instead of NaN or an infinity."""
-    d = x.cast("double")
-    return F.when(~F.isnan(d) & (F.abs(d) != F.lit(float("inf"))), x)
+    """NULL instead of NaN or an infinity; NaN compares as larger than every number."""
+    return F.when(F.abs(x.cast("double")) <= F.lit(LARGEST_DOUBLE), x)
+
 
+def _text_number(text: Column, s: Column, kind: str) -> Column:
+    """A number in text. A failing cast costs far more than a pattern, so each cast has one."""
+    decimal = s.try_cast(kind)
+    return (
+        F.when(s.rlike(DECIMAL_NUMBER), _finite(decimal) if kind == "double" else decimal)
+        .when(text == "", _null(kind))
+        .when(s == "", F.lit(0).cast(kind))
+        .otherwise(_radix_value(s, kind))
+    )
 
-def to_integer(x: Column, source: T.DataType, target: str = "bigint") -> Coerced:
+
+def to_integer(
+    x: Column, source: T.DataType, target: str = "bigint", s: Column | None = None
+) -> Coerced:
     """Integers; fractions are cut off toward zero.
 
     Whole-number text stays exact over the full 64 bits.
     """
     kind = INTEGER_TARGETS[target]
     if isinstance(source, T.BooleanType):
-        return Coerced(F.when(x, F.lit(1).cast(kind)), _never())
+        return Coerced(F.when(x, F.lit(1).cast(kind)), _never)
     if _is_text(source):
         text = _as_text(x, source)
-        s = _strip(text)
-        number = s.rlike(DECIMAL_NUMBER)
-        as_double = s.try_cast("double")
+        s = strip(text) if s is None else s
         value = (
-            F.when(text == "", _null(kind))
+            F.when(s.rlike(WHOLE_NUMBER), s.try_cast(kind))
+            .when(s.rlike(DECIMAL_NUMBER), s.try_cast("double").try_cast(kind))
+            .when(text == "", _null(kind))
             .when(s == "", F.lit(0).cast(kind))
-            .when(s.rlike(WHOLE_NUMBER), s.try_cast(kind))
-            .when(number, as_double.try_cast(kind))
             .otherwise(_radix_value(s, kind))
         )
-        finite = F.when(number, F.abs(as_double) != F.lit(float("inf"))).otherwise(
-            F.coalesce(_radix_value(s, "double").isNotNull(), _never())
-        )
-        return Coerced(value, F.coalesce(value.isNull() & finite & (s != ""), _never()))
-    value = x.try_cast(kind)
-    return Coerced(value, F.coalesce(value.isNull() & _finite(x).isNotNull(), _never()))
+        return Coerced(value, lambda v: v.isNull() & _text_number(text, s, "double").isNotNull())
+    return Coerced(x.try_cast(kind), lambda v: v.isNull() & _finite(x).isNotNull())
 
 
-def _to_number(x: Column, source: T.DataType, kind: str) -> Column:
+def _to_number(x: Column, source: T.DataType, kind: str, s: Column | None = None) -> Column:
     if _is_text(source):
         text = _as_text(x, source)
-        s = _strip(text)
-        return (
-            F.when(text == "", _null(kind))
-            .when(s == "", F.lit(0).cast(kind))
-            .when(s.rlike(DECIMAL_NUMBER), s.try_cast(kind))
-            .otherwise(_radix_value(s, kind))
-        )
+        return _text_number(text, strip(text) if s is None else s, kind)
     if isinstance(source, T.BooleanType):
         return x.cast("int").cast(kind)
-    return x.try_cast(kind)
+    return _finite(x.try_cast(kind)) if kind == "double" else x.try_cast(kind)
 
 
-def to_float(x: Column, source: T.DataType, target: str = "double precision") -> Coerced:
+def to_float(
+    x: Column, source: T.DataType, target: str = "double precision", s: Column | None = None
+) -> Coerced:
     """Doubles (or 32-bit reals); what is not finite becomes NULL."""
-    wide = _finite(_to_number(x, source, "double"))
+    wide = _to_number(x, source, "double", s)
     if FLOAT_TARGETS[target] == "double":
-        return Coerced(wide, _never())
-    narrow = _finite(wide.cast("float"))
-    return Coerced(narrow, narrow.isNull() & wide.isNotNull())
+        return Coerced(wide, _never)
+    return Coerced(_finite(wide.cast("float")), lambda v: v.isNull() & wide.isNotNull())
 
 
-def to_decimal(x: Column, source: T.DataType, precision: int = 38, scale: int = 18) -> Coerced:
+def to_decimal(
+    x: Column, source: T.DataType, precision: int = 38, scale: int = 18, s: Column | None = None
+) -> Coerced:
     """Exact decimals, rounded half away from zero to the scale."""
-    value = _to_number(x, source, f"decimal({precision},{scale})")
-    number = _finite(_to_number(x, source, "double"))
-    return Coerced(value, value.isNull() & number.isNotNull())
+    value = _to_number(x, source, f"decimal({precision},{scale})", s)
+    return Coerced(value, lambda v: v.isNull() & _to_number(x, source, "double", s).isNotNull())
 
 
-def to_boolean(x: Column, source: T.DataType) -> Coerced:
+def to_boolean(x: Column, source: T.DataType, s: Column | None = None) -> Coerced:
     """Flags: any non-zero number is true; text must be one of the known words."""
     if isinstance(source, T.BooleanType):
-        return Coerced(x, _never())
+        return Coerced(x, _never)
     if _is_text(source):
-        word = F.lower(_strip(_as_text(x, source)))
+        word = F.lower(strip(_as_text(x, source)) if s is None else s)
         value = F.when(word.isin(*TRUE_WORDS), F.lit(True)).when(
             word.isin(*FALSE_WORDS), F.lit(False)
         )
-        return Coerced(value, _never())
-    return Coerced(x != F.lit(0), _never())
+        return Coerced(value, _never)
+    return Coerced(x != F.lit(0), _never)
 
 
 def _epoch(n: Column) -> Column:
@@ -167,32 +180,32 @@ def _epoch(n: Column) -> Column:
     return F.when(F.abs(ms) <= F.lit(MAX_INSTANT_MS), F.timestamp_millis(ms.cast("bigint")))
 
 
-def to_timestamp(x: Column, source: T.DataType) -> Coerced:
+def to_timestamp(x: Column, source: T.DataType, s: Column | None = None) -> Coerced:
     """Instants: epoch numbers by magnitude, or timestamp text (UTC when it names no zone)."""
     if isinstance(source, (T.TimestampType, T.TimestampNTZType, T.DateType)):
-        return Coerced(x.cast("timestamp"), _never())
+        return Coerced(x.cast("timestamp"), _never)
     if isinstance(source, T.BooleanType):
-        return Coerced(_null("timestamp"), x.isNotNull())
+        return Coerced(_null("timestamp"), lambda v: x.isNotNull())
     if _is_text(source):
         text = _as_text(x, source)
-        s = _strip(text)
-        epoch = _never() if isinstance(source, T.BinaryType) else s.rlike(EPOCH_NUMBER)
+        s = strip(text) if s is None else s
+        epoch = F.lit(False) if isinstance(source, T.BinaryType) else s.rlike(EPOCH_NUMBER)
         value = F.when(epoch, _epoch(s.try_cast("double"))).when(
             s.rlike(TIMESTAMP_TEXT), F.try_to_timestamp(s)
         )
-        return Coerced(value, F.coalesce((text != "") & ~epoch & value.isNull(), _never()))
-    return Coerced(_epoch(x.cast("double")), _never())
+        return Coerced(value, lambda v: v.isNull() & text.isNotNull() & (text != "") & ~epoch)
+    return Coerced(_epoch(x.cast("double")), _never)
 
 
-def to_date(x: Column, source: T.DataType) -> Coerced:
+def to_date(x: Column, source: T.DataType, s: Column | None = None) -> Coerced:
     """Dates: the UTC day of an epoch, or the day written in the text whatever its zone."""
-    instant = to_timestamp(x, source)
+    instant = to_timestamp(x, source, s)
+    day = instant.value.cast("date")
     if not _is_text(source):
-        return Coerced(instant.value.cast("date"), instant.refused)
-    s = _strip(_as_text(x, source))
-    value = F.when(s.rlike(TIMESTAMP_TEXT) & instant.value.isNotNull(),
-                   F.substring(s, 1, 10).try_cast("date")).otherwise(instant.value.cast("date"))
-    return Coerced(value, instant.refused)
+        return Coerced(day, instant.refusal)
+    s = strip(_as_text(x, source)) if s is None else s
+    written = F.when(F.try_to_timestamp(s).isNotNull(), F.substring(s, 1, 10).try_cast("date"))
+    return Coerced(F.when(s.rlike(TIMESTAMP_TEXT), written).otherwise(day), instant.refusal)
 
 
 def number_text(x: Column, source: T.DataType) -> Column:
@@ -225,8 +238,8 @@ def to_text(x: Column, source: T.DataType) -> Coerced:
     elif isinstance(source, T.StringType):
         text = x
     else:
-        return Coerced(number_text(x, source), _never())
-    return Coerced(F.replace(text, F.lit("\u0000"), F.lit("")), _never())
+        return Coerced(number_text(x, source), _never)
+    return Coerced(F.replace(text, F.lit("\u0000"), F.lit("")), _never)
 
 
 def to_uuid(x: Column, source: T.DataType) -> Coerced:
@@ -235,14 +248,14 @@ def to_uuid(x: Column, source: T.DataType) -> Coerced:
     h = F.lower(F.regexp_replace(F.btrim(text, F.lit("{}")), "-", ""))
     parts = [F.substring(h, start, n) for start, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]
     value = F.when(h.rlike(UUID_HEX), F.concat_ws("-", *parts))
-    return Coerced(value, text.isNotNull() & value.isNull())
+    return Coerced(value, lambda v: v.isNull() & text.isNotNull())
 
 
 def to_binary(x: Column, source: T.DataType) -> Coerced:
     """Bytes: kept as they are, or the UTF-8 bytes of the text."""
     if isinstance(source, T.BinaryType):
-        return Coerced(x, _never())
-    return Coerced(F.encode(number_text(x, source), "utf-8"), _never())
+        return Coerced(x, _never)
+    return Coerced(F.encode(number_text(x, source), "utf-8"), _never)
 
 
 def is_json(text: Column) -> Column:
@@ -254,7 +267,7 @@ def is_json(text: Column) -> Column:
     in_array = F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1
     wrapped = F.concat(F.lit('{"x":'), text, F.lit("}"))
     in_object = F.from_json(wrapped, "x string", STRICT_JSON)["x"].isNotNull()
-    return F.coalesce(in_array & (in_object | (_strip(text) == "null")), F.lit(False))
+    return F.coalesce(in_array & (in_object | (strip(text) == "null")), F.lit(False))
 
 
 def to_json_text(x: Column, source: T.DataType, strict: bool = False) -> Coerced:
@@ -263,35 +276,43 @@ def to_json_text(x: Column, source: T.DataType, strict: bool = False) -> Coerced
     With ``strict`` a text that is not JSON is refused, as a typed JSON column would.
     """
     if isinstance(source, (T.StructType, T.MapType, T.ArrayType)):
-        return Coerced(F.to_json(x, {"ignoreNullFields": "false"}), _never())
+        return Coerced(F.to_json(x, {"ignoreNullFields": "false"}), _never)
     if isinstance(source, T.BinaryType):
         text = F.make_valid_utf8(x.cast("string"))
     elif isinstance(source, T.StringType):
         text = F.nullif(x, F.lit(""))
     else:
-        return Coerced(number_text(x, source), _never())
+        return Coerced(number_text(x, source), _never)
     if not strict:
-        return Coerced(text, _never())
-    good = is_json(text)
-    return Coerced(F.when(good, text), text.isNotNull() & ~good)
+        return Coerced(text, _never)
+    return Coerced(F.when(is_json(text), text), lambda v: v.isNull() & text.isNotNull())
+
+
+STRIPPED_TARGETS = ("numeric", "boolean", "timestamp", "date")
+
+
+def reads_stripped(source: T.DataType, target: str) -> bool:
+    """Whether coercing to the target looks at the text without its surrounding blanks."""
+    numbers = target in INTEGER_TARGETS or target in FLOAT_TARGETS
+    return _is_text(source) and (numbers or target.startswith(STRIPPED_TARGETS))
 
 
-def coerce(x: Column, source: T.DataType, target: str) -> Coerced:
+def coerce(x: Column, source: T.DataType, target: str, s: Column | None = None) -> Coerced:
     """Coerce a column of Spark type ``source`` to the named target type."""
     name, _, args = target.partition("(")
     if name in INTEGER_TARGETS:
-        return to_integer(x, source, name)
+        return to_integer(x, source, name, s)
     if name in FLOAT_TARGETS:
-        return to_float(x, source, name)
+        return to_float(x, source, name, s)
     if name == "numeric":
         sizes = [int(a) for a in args.rstrip(")").split(",")] if args else [38, 18]
-        return to_decimal(x, source, sizes[0], sizes[1] if len(sizes) > 1 else 0)
+        return to_decimal(x, source, sizes[0], sizes[1] if len(sizes) > 1 else 0, s)
     if name == "boolean":
-        return to_boolean(x, source)
+        return to_boolean(x, source, s)
     if name.startswith("timestamp"):
-        return to_timestamp(x, source)
+        return to_timestamp(x, source, s)
     if name == "date":
-        return to_date(x, source)
+        return to_date(x, source, s)
     if name == "bytea":
         return to_binary(x, source)
     if name in ("json", "jsonb"):

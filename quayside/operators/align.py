@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quayside.functions.coerce import coerce
+from quayside.functions.coerce import coerce, reads_stripped, strip
 from quayside.tables import Field, Table, spark_type
 
 ROW_KEY = "rowid"
 REJECTS = "_rejects"
+_RAW, _BARE = "_raw_", "_bare_"
 
 
 def missing_columns(source: DataFrame, table: Table, row_key: str | None = None) -> list[str]:
@@ -20,11 +21,6 @@ def missing_columns(source: DataFrame, table: Table, row_key: str | None = None)
     return [f.name for f in table.fields if f.name not in given and f.generated is None]
 
 
-def _typed(source: DataFrame, column: str, kind: str) -> tuple[Column, Column]:
-    pair = coerce(F.col(column), source.schema[column].dataType, kind)
-    return pair.value.cast(spark_type(kind)), pair.refused
-
-
 def align(
     source: DataFrame,
     table: Table,
@@ -33,40 +29,63 @@ def align(
     with_rejects: bool = False,
     passing: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Select exactly the target's columns, typed, in one projection.
+    """Select exactly the target's columns, typed.
 
     Columns on both sides are coerced; missing ones take their default (a NULL that is present
     stays NULL); generated ones are computed from the typed row and never read from the source.
     A target column named ``rowid`` takes the source's ``row_key`` column. Columns named in
     ``passing`` (a sequence, say) are kept as they are.
+
+    The work is a chain of projections (stripped text, values, reasons), so that nothing costly
+    is computed twice; there is no shuffle.
     """
-    values: list[Column] = []
-    reasons: list[Column] = []
-    for f in table.fields:
-        if f.generated is not None:
-            continue
-        name = f.name
-        read = name if name in source.columns else row_key if name == ROW_KEY else None
-        if read is None:
-            values.append(f.default_column(table.type_of(name), now).alias(name))
-            continue
-        value, refused = _typed(source, read, table.target(name))
-        values.append(value.alias(name))
-        reasons.append(
+    stored = [f for f in table.fields if f.generated is None]
+    read = {
+        f.name: f.name if f.name in source.columns else row_key
+        for f in stored
+        if f.name in source.columns or (f.name == ROW_KEY and row_key)
+    }
+    inputs, stripped = {}, {}
+    for name, column in read.items():
+        kind = source.schema[column].dataType
+        inputs[name] = F.col(column).alias(_RAW + name)
+        if reads_stripped(kind, table.target(name)):
+            stripped[name] = strip(F.col(column).cast("string")).alias(_BARE + name)
+    others = [F.col(p) for p in passing if p not in table.columns]
+    ready = source.select(*inputs.values(), *stripped.values(), *others)
+
+    coerced = {
+        name: coerce(
+            F.col(_RAW + name), source.schema[column].dataType, table.target(name),
+            F.col(_BARE + name) if name in stripped else None,
+        )
+        for name, column in read.items()
+    }
+    values = [
+        (coerced[f.name].value.cast(table.type_of(f.name)) if f.name in read
+         else f.default_column(table.type_of(f.name), now)).alias(f.name)
+        for f in stored
+    ]
+    kept = [c for c in ready.columns if with_rejects or not c.startswith((_RAW, _BARE))]
+    typed = ready.select(*values, *kept)
+    if with_rejects:
+        reasons = [
             F.when(
-                refused,
+                coerced[name].refusal(F.col(name)),
                 F.struct(
                     F.lit(name).alias("column"),
                     F.lit(table.target(name)).alias("type"),
-                    F.col(read).cast("string").alias("value"),
+                    F.col(_RAW + name).cast("string").alias("value"),
                 ),
             )
-        )
-    if with_rejects:
+            for name in read
+        ]
         empty = F.lit(None).cast("struct<column:string,type:string,value:string>")
-        values.append(F.array_compact(F.array(*reasons or [empty])).alias(REJECTS))
-    kept = [F.col(p) for p in passing if p not in table.columns]
-    return add_generated(source.select(*values, *kept), table)
+        names = [f.name for f in stored]
+        typed = typed.select(
+            *names, *others, F.array_compact(F.array(*reasons or [empty])).alias(REJECTS)
+        )
+    return add_generated(typed, table)
 
 
 def add_generated(rows: DataFrame, table: Table) -> DataFrame:
@@ -79,10 +98,15 @@ def add_generated(rows: DataFrame, table: Table) -> DataFrame:
 
 
 def split_rejects(aligned: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows without refused values, and one row per refused value with its reason."""
-    good = aligned.where(F.size(REJECTS) == 0).drop(REJECTS)
+    """Rows without refused values, and one row per refused value with its reason.
+
+    Rows are told apart by generators: a filter would be moved below the projections and repeat
+    the whole coercion.
+    """
     rest = [c for c in aligned.columns if c != REJECTS]
-    bad = aligned.where(F.size(REJECTS) > 0).select(*rest, F.inline(REJECTS))
+    clean = F.when(F.size(REJECTS) == 0, F.array(F.lit(True)))
+    good = aligned.select(*rest, F.explode(clean).alias("_clean")).drop("_clean")
+    bad = aligned.select(*rest, F.inline(F.array_compact(REJECTS)))
     return good, bad
 
 

@@ -23,8 +23,8 @@ COVER_WEIGHT = 0.1
 def terms(*columns: Column | str) -> Column:
     """The words of several columns in order, as an array; NULL columns count as empty."""
     texts = [F.coalesce((F.col(c) if isinstance(c, str) else c).cast("string"), F.lit("")) for c in columns]
-    words = F.split(F.lower(F.concat_ws(" ", *texts)), WORD_BREAK)
-    return F.filter(words, lambda w: w != "")
+    text = texts[0] if len(texts) == 1 else F.concat_ws(" ", *texts)
+    return F.array_remove(F.split(F.lower(text), WORD_BREAK), "")
 
 
 def add_search_column(rows: DataFrame, *columns: str, name: str = "search") -> DataFrame:
@@ -75,8 +75,12 @@ def matches(words: Column, query: str) -> Column:
 
 
 def search(rows: DataFrame, query: str, words: str = "search") -> DataFrame:
-    """Rows whose search column satisfies the query; no shuffle."""
-    return rows.where(matches(F.col(words), query))
+    """Rows whose search column satisfies the query; no shuffle.
+
+    The column is bound to a name first, so words made on the fly are made once per row and not
+    once per clause.
+    """
+    return rows.where(F.exists(F.array(words), lambda bound: matches(bound, query)))
 
 
 def wanted_words(query: str) -> list[str]:
@@ -100,13 +104,18 @@ def cover_density(words: Column, query: str) -> Column:
     wanted = wanted_words(query)
     if not wanted:
         return F.lit(0.0)
-    places = F.transform(
-        words, lambda w, i: F.struct(i.alias("at"), F.array_position(F.array(*map(F.lit, wanted)), w)
-                                     .cast("int").alias("which"))
+    places = F.filter(
+        F.transform(words, lambda w, i: F.when(w.isin(*wanted), i)), lambda at: at.isNotNull()
+    )
+    numbered = F.array(*map(F.lit, wanted))
+    seen = F.transform(
+        places,
+        lambda at, nth: F.struct(
+            at.alias("at"),
+            F.array_position(numbered, F.get(words, at)).cast("int").alias("which"),
+            nth.alias("nth"),
+        ),
     )
-    hits = F.filter(places, lambda p: p["which"] > 0)
-    seen = F.transform(hits, lambda p, i: F.struct(p["at"].alias("at"), p["which"].alias("which"),
-                                                   i.alias("nth")))
     none = F.struct(F.lit(-1).alias("at"), F.lit(-1).alias("nth"))
     start = F.struct(
         F.array(*[none for _ in wanted]).alias("last"), F.lit(0.0).alias("rank")
@@ -127,13 +136,35 @@ def cover_density(words: Column, query: str) -> Column:
     return F.aggregate(seen, start, step, lambda s: s["rank"])
 
 
-def ranked(
-    rows: DataFrame, query: str, id_column: str, words: str = "search", method: str = "frequency"
+def scored(
+    rows: DataFrame, query: str, words: str = "search", method: str = "frequency"
 ) -> DataFrame:
-    """Matching rows with their ``rank``, best first and then by id."""
+    """Matching rows with their ``rank``, without the words and in no order.
+
+    Test and score are one expression that gives one rank or none, so each row's words are read
+    once; there is no shuffle.
+    """
     score = {"frequency": frequency, "cover": cover_density}[method]
-    found = search(rows, query, words).withColumn("rank", score(F.col(words), query))
-    return found.orderBy(F.col("rank").desc(), id_column)
+
+    def judge(bound: Column) -> Column:
+        return F.when(matches(bound, query), F.array(score(bound, query)))
+
+    verdict = F.get(F.transform(F.array(words), judge), F.lit(0))
+    rest = [F.col(c) for c in rows.columns if c != words]
+    return rows.select(*rest, F.explode(verdict).alias("rank"))
+
+
+def ranked(
+    rows: DataFrame,
+    query: str,
+    id_column: str,
+    words: str = "search",
+    method: str = "frequency",
+    limit: int | None = None,
+) -> DataFrame:
+    """Scored rows, best first and then by id; ``limit`` keeps the top without a full sort."""
+    best = scored(rows, query, words, method).orderBy(F.col("rank").desc(), id_column)
+    return best if limit is None else best.limit(limit)
 
 
 def inverted_index(
@@ -148,7 +179,9 @@ def inverted_index(
         F.explode(F.array_distinct(words)).alias("term"), F.col(id_column).alias("_id")
     )
     blocked = each.withColumn("block", F.floor(F.col("_id") / F.lit(block)).cast("bigint"))
-    lists = blocked.groupBy("term", "block").agg(F.array_sort(F.collect_set("_id")).alias("ids"))
+    # Combining before the shuffle cannot shrink distinct ids, so the shuffle comes first.
+    placed = blocked.repartition("term", "block")
+    lists = placed.groupBy("term", "block").agg(F.array_sort(F.collect_set("_id")).alias("ids"))
     return lists.withColumn("n", F.size("ids"))
 
 

@@ -55,6 +55,11 @@ def pick(column: str, *values: str) -> Column:
     return F.element_at(F.array(*map(F.lit, values)), F.col(column))
 
 
+def typed_as(declared: str, *columns: str) -> Table:
+    """A target with the same declared type for every column."""
+    return Table("typed", tuple(Field(c, declared) for c in columns))
+
+
 def stamp(x: Column) -> Column:
     return F.date_format(x, STAMP)
 
@@ -155,13 +160,7 @@ def coerce_integer(spark, sf_dir):
         (-F.col("l_extendedprice")).alias("price_number"),
         (F.col("l_discount") > 0.05).alias("flag"),
     )
-    return rows.select(
-        "l_orderkey",
-        *[
-            coerce.to_integer(F.col(c), rows.schema[c].dataType).value.alias(c)
-            for c in ("spoiled", "price_text", "price_number", "flag")
-        ],
-    )
+    return align.align(rows, typed_as("INT", *rows.columns))
 
 
 @query("""
@@ -175,16 +174,12 @@ def coerce_double(spark, sf_dir):
         "l_orderkey",
         pick("l_linenumber", "42.5", "  ", "", "-.37", "1d", "1e3", "Infinity").alias("spoiled"),
         F.col("l_extendedprice").cast("string").alias("price_text"),
+        F.col("l_extendedprice").cast("string").alias("price_decimal"),
         (F.col("l_discount") > 0.05).alias("flag"),
     )
-    text, kind = F.col("price_text"), rows.schema["price_text"].dataType
-    return rows.select(
-        "l_orderkey",
-        coerce.to_float(F.col("spoiled"), kind).value.alias("spoiled"),
-        coerce.to_float(text, kind).value.alias("price_text"),
-        coerce.to_decimal(text, kind, 18, 1).value.alias("price_decimal"),
-        coerce.to_float(F.col("flag"), rows.schema["flag"].dataType).value.alias("flag"),
-    )
+    target = typed_as("REAL", "spoiled", "price_text", "flag")
+    extra = (Field("l_orderkey", "INT"), Field("price_decimal", "DECIMAL(18,1)"))
+    return align.align(rows, Table("lineitem", target.fields + extra))
 
 
 @query("""
@@ -196,13 +191,10 @@ def coerce_boolean(spark, sf_dir):
     rows = read(spark, sf_dir, "lineitem").select(
         "l_orderkey",
         pick("l_linenumber", "yes", " N ", "2", "", "TRUE", "0", "f").alias("spoiled"),
-        "l_discount",
-    )
-    return rows.select(
-        "l_orderkey",
-        coerce.to_boolean(F.col("spoiled"), rows.schema["spoiled"].dataType).value.alias("spoiled"),
-        coerce.to_boolean(F.col("l_discount"), rows.schema["l_discount"].dataType).value.alias("number"),
+        F.col("l_discount").alias("number"),
     )
+    target = typed_as("BOOLEAN", "spoiled", "number")
+    return align.align(rows, Table("lineitem", (Field("l_orderkey", "INT"), *target.fields)))
 
 
 def spoiled_times(spark, sf_dir) -> DataFrame:
@@ -1272,9 +1264,11 @@ def search_by_index(spark, sf_dir):
 @query(f"""
 SELECT doc_id, len(list_filter({WORDS}, lambda w: w IN ('the', 'of'))) AS "rank"
 FROM documents WHERE list_contains({WORDS}, 'the') AND list_contains({WORDS}, 'of')
+ORDER BY 2 DESC, 1 LIMIT 100
 """)
 def search_rank(spark, sf_dir):
-    return search.ranked(worded(spark, sf_dir), "the of", "doc_id").select("doc_id", "rank")
+    found = worded(spark, sf_dir).drop("text")
+    return search.ranked(found, "the of", "doc_id", limit=100).select("doc_id", "rank")
 
 
 @query(f"""
@@ -1296,7 +1290,7 @@ covers AS (
 SELECT doc_id, round(sum(gain), 6) AS "rank" FROM covers GROUP BY doc_id
 """)
 def search_cover_rank(spark, sf_dir):
-    found = search.ranked(worded(spark, sf_dir), "the of", "doc_id", method="cover")
+    found = search.scored(worded(spark, sf_dir), "the of", method="cover")
     return found.select("doc_id", F.round("rank", 6).alias("rank"))
 
 

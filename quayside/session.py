@@ -17,18 +17,20 @@ _SEMANTICS = {
     "spark.sql.ansi.enabled": "true",
 }
 
-# Plan-relevant: run-time re-planning, and splitting of skewed join partitions.
-_ADAPTIVE = {
+# Plan-relevant: run-time re-planning, splitting of skewed join partitions, and no fused stages
+# larger than the JVM compiles (a wide typed load would otherwise run interpreted).
+_PLANNING = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
 def tune(spark: SparkSession) -> SparkSession:
     """Apply the settings above to an existing session and return it."""
-    for key, value in {**_SEMANTICS, **_ADAPTIVE}.items():
+    for key, value in {**_SEMANTICS, **_PLANNING}.items():
         spark.conf.set(key, value)
     return spark
 

@@ -37,25 +37,41 @@ def publish(
     base: str,
     batch: int | None = None,
     cluster_by: Sequence[str] = (),
+    bucket_by: Sequence[str] = (),
+    buckets: int = 0,
     file_format: str = "parquet",
 ) -> int:
     """Write ``rows`` as the next state of ``table`` and switch to it; returns the row count.
 
     ``batch`` is remembered in the folder name, in the same catalog change. ``cluster_by`` sorts
-    the files by key ranges, so later key lookups skip files.
+    the files by key ranges, so later key lookups skip files. ``bucket_by`` with a number of
+    ``buckets`` stores rows by key, one file per bucket: loads that join two such tables by that
+    key then shuffle neither side. The first state decides the bucketing of a table.
     """
     spark = rows.sparkSession
     version, last_batch = current_version(spark, table)
     number = last_batch if batch is None else batch
     folder = f"{base.rstrip('/')}/v-{version + 1}-{number}-{uuid.uuid4().hex}"
-    if cluster_by:
+    exists = spark.catalog.tableExists(table)
+    if buckets:
+        rows = rows.repartition(buckets, *bucket_by)
+    elif cluster_by:
         rows = rows.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
+    # Counted in the writing tasks: before a shuffle, sampling and retries would count twice.
     seen = Observation()
-    rows.observe(seen, F.count(F.lit(1)).alias("n")).write.format(file_format).save(folder)
-    if spark.catalog.tableExists(table):
+    writer = rows.observe(seen, F.count(F.lit(1)).alias("n")).write.format(file_format)
+    if buckets:
+        staged = f"{table}_{uuid.uuid4().hex}" if exists else table
+        keyed = writer.bucketBy(buckets, *bucket_by).sortBy(*bucket_by)
+        keyed.option("path", folder).saveAsTable(staged)
+        if exists:
+            spark.sql(f"DROP TABLE {staged}")  # external: its files stay
+    else:
+        writer.save(folder)
+    if exists:
         spark.sql(f"ALTER TABLE {table} SET LOCATION '{folder}'")
         spark.catalog.refreshTable(table)
-    else:
+    elif not buckets:
         spark.catalog.createTable(table, path=folder, source=file_format, schema=rows.schema)
     return seen.get["n"]
 
