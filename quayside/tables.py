@@ -56,8 +56,10 @@ NOW_DEFAULTS = (
 EPOCH_DEFAULTS = ("strftime('%s','now')", "unixepoch()", "unixepoch('now')")
 # -------------------------------------------------------------------------------------------
 
-_SHIFTED_NOW = re.compile(r"datetime\('now'((?:,\s*'[^']*')+)\)", re.IGNORECASE)
-_RANDOM_ID = re.compile(r"lower\(hex\(randomblob\((\d+)\)\)\)", re.IGNORECASE)
+_MODIFIERS = r"((?:,\s*'[^']*')*)"
+_NOW_CALL = re.compile(rf"(datetime|date)\(\s*'now'\s*{_MODIFIERS}\s*\)", re.IGNORECASE)
+_FORMATTED = re.compile(rf"strftime\(\s*'([^']*)'\s*,\s*'now'\s*{_MODIFIERS}\s*\)", re.IGNORECASE)
+_RANDOM = re.compile(r"(lower\()?(hex\()?randomblob\((\d+)\)\)*", re.IGNORECASE)
 
 
 def target_type(declared: str, json: str = "text") -> str:
@@ -89,19 +91,23 @@ def spark_type(target: str) -> T.DataType:
     return T.DataType.fromDDL(SPARK_TYPES.get(target, "string"))
 
 
-def _bare(text: str) -> str:
-    """A default expression without outer parentheses, in lower case, without blanks."""
+def _inner(text: str) -> str:
+    """A default expression without outer parentheses."""
     text = text.strip()
-    if text.startswith("(") and text.endswith(")"):
-        text = text[1:-1]
-    return re.sub(r"\s+", "", text).lower()
+    return text[1:-1].strip() if text.startswith("(") and text.endswith(")") else text
+
+
+def _bare(text: str) -> str:
+    """The inner expression in lower case, without blanks."""
+    return re.sub(r"\s+", "", _inner(text)).lower()
 
 
 def is_now_default(default: Any) -> bool:
     """Whether a default is one of the spellings of the current time, shifted or not."""
     if not isinstance(default, Expr):
         return False
-    return _bare(default.text) in NOW_DEFAULTS or bool(_SHIFTED_NOW.search(default.text))
+    bare = _bare(default.text)
+    return bare in NOW_DEFAULTS or bare.startswith("datetime('now'")
 
 
 @dataclass(frozen=True)
@@ -113,16 +119,30 @@ class Expr:
 
     text: str
 
-    def column(self, now: Any = None) -> Column:
-        bare = _bare(self.text)
+    def column(self, now: Any = None, kind: T.DataType | None = None) -> Column:
+        bare, inner = _bare(self.text), _inner(self.text)
         if bare in NOW_DEFAULTS:
             return dates.moment(now)
         if bare in EPOCH_DEFAULTS:
             return dates.unixepoch(now)
-        if shifted := _SHIFTED_NOW.search(self.text):
-            return dates.datetime(*re.findall(r"'([^']*)'", shifted[1]), now=now)
-        if random := _RANDOM_ID.search(re.sub(r"\s+", "", self.text)):
-            return scalars.random_hex(int(random[1]))
+        if bare == "current_date":
+            return dates.date(now=now)
+        if bare == "current_time":
+            return dates.strftime("%H:%M:%S", now)
+        if call := _NOW_CALL.fullmatch(inner):
+            modifiers = re.findall(r"'([^']*)'", call[2])
+            shifted = dates.datetime(*modifiers, now=now)
+            return shifted if call[1].lower() == "datetime" else shifted.cast("date")
+        if call := _FORMATTED.fullmatch(inner):
+            modifiers = re.findall(r"'([^']*)'", call[2])
+            if isinstance(kind, T.TimestampType):  # formatted text is no timestamp default
+                return dates.datetime(*modifiers, now=now)
+            return dates.strftime(call[1], now, *modifiers)
+        if call := _RANDOM.fullmatch(re.sub(r"\s+", "", inner)):
+            digits = scalars.random_hex(int(call[3]))
+            if not call[2]:
+                return F.unhex(digits)
+            return digits if call[1] else F.upper(digits)
         raise ValueError(f"default expression not supported: {self.text!r}")
 
 
@@ -145,7 +165,7 @@ class Field:
     def default_column(self, kind: T.DataType, now: Any = None) -> Column:
         """The value a row gets when the source has no such column."""
         if isinstance(self.default, Expr):
-            return self.default.column(now).cast(kind)
+            return self.default.column(now, kind).cast(kind)
         if isinstance(self.default, Column):
             return self.default.cast(kind)
         if isinstance(kind, T.BooleanType) and self.default in (0, 1):

@@ -97,11 +97,27 @@ def test_rejects(spark):
     ("(strftime('%Y-%m-%dT%H:%M:%fZ','now'))", "2024-02-01 00:00:00"),
     ("(datetime('now', '+7 days', 'start of month'))", "2024-02-01 00:00:00"),
     ("(unixepoch())", "1706745600"),
+    ("(date('now', '-1 day'))", "2024-01-31"),
+    ("CURRENT_DATE", "2024-02-01"),
+    ("CURRENT_TIME", "00:00:00"),
+    ("(strftime('%d/%m', 'now', '+1 day'))", "02/02"),
 ])
 def test_default_expressions(spark, text, want):
     assert one(spark.range(1).select(Expr(text).column("2024-02-01").cast("string"))) == (want,)
 
 
+def test_random_defaults(spark):
+    low, up, raw = (Expr(t).column() for t in ("(lower(hex(randomblob(8))))", "hex(randomblob(8))", "randomblob(8)"))
+    ok = low.rlike("^[0-9a-f]{16}$") & up.rlike("^[0-9A-F]{16}$") & (F.octet_length(raw) == 8)
+    assert one(spark.range(1).select(ok)) == (True,)
+
+
+def test_formatted_default_on_a_timestamp_is_the_moment(spark):
+    field = Field("at", "DATETIME", default=Expr("(strftime('%d.%m.%Y', 'now'))"))
+    got = align.add_column(spark.range(1), field, now="2024-02-01 05:06:07")
+    assert one(got.select(F.col("at").cast("string"))) == ("2024-02-01 05:06:07",)
+
+
 def test_unknown_default_expression():
     with pytest.raises(ValueError, match="not supported"):
         Expr("abs(random())").column()
