@@ -34,7 +34,8 @@ MAX_INSTANT_MS = 8.64e15
 
 DECIMAL_NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 WHOLE_NUMBER = r"^[+-]?\d+$"
-RADIX_NUMBER = {16: r"^0[xX][0-9a-fA-F]+$", 8: r"^0[oO][0-7]+$", 2: r"^0[bB][01]+$"}
+RADIX_NUMBER = r"^0([xX][0-9a-fA-F]+|[oO][0-7]+|[bB][01]+)$"
+RADIX = {"x": 16, "o": 8, "b": 2}
 EPOCH_NUMBER = r"^-?\d+(\.\d+)?$"
 TIMESTAMP_TEXT = (
     r"^\d{4}-\d{2}-\d{2}([ T]\d{2}:\d{2}(:\d{2}(\.\d+)?)?\s*(Z|[+-]\d{2}(:?\d{2})?)?)?$"
@@ -86,12 +87,10 @@ def _as_text(x: Column, source: T.DataType) -> Column:
 
 def _radix_value(s: Column, kind: str) -> Column:
     """Hexadecimal, octal and binary literals."""
-    branch = None
-    for base, pattern in RADIX_NUMBER.items():
-        digits = F.conv(F.substring(s, 3, 1 << 30), base, 10).try_cast(kind)
-        hit = s.rlike(pattern)
-        branch = F.when(hit, digits) if branch is None else branch.when(hit, digits)
-    return branch
+    letter = F.lower(F.substring(s, 2, 1))
+    base = F.when(letter == "x", RADIX["x"]).when(letter == "o", RADIX["o"]).otherwise(RADIX["b"])
+    value = F.call_function("conv", F.substring(s, 3, 1 << 30), base, F.lit(10))
+    return F.when(s.rlike(RADIX_NUMBER), value.try_cast(kind))
 
 
 def _finite(x: Column) -> Column:
