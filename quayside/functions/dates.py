@@ -90,6 +90,14 @@ def datetime(*modifiers: str, now: Moment = None) -> Column:
     return shift(moment(now), *modifiers)
 
 
+def naive(ts: Column) -> Column:
+    """The UTC wall-clock time, to compare with a column that has no zone.
+
+    Casting the constant and not the column lets the comparison reach the scan.
+    """
+    return ts.cast("timestamp_ntz")
+
+
 def date(*modifiers: str, now: Moment = None) -> Column:
     """``date('now', …)`` as a date."""
     return shift(moment(now), *modifiers).cast("date")

@@ -11,6 +11,9 @@ from quayside.operators.keys import complete, first_per_key, guard, same_key
 from quayside.session import ready_checkpoints
 
 
+MERGE_EVERY = 20
+
+
 class NoKey(ValueError):
     """The operation needs a primary or unique key and the table has none."""
 
@@ -167,9 +170,10 @@ def _settle(live: DataFrame, keys: Sequence[Sequence[str]], sequence: str) -> Da
     round at most. The earliest row is always decided, hence the loop ends.
     """
     ready_checkpoints(live.sparkSession)
-    accepted = None
+    accepted, rounds = None, 0
     live = live.checkpoint()
     while not live.isEmpty():
+        rounds += 1
         due = F.lit(0)
         for key in keys:
             due = due + complete(key).cast("int")
@@ -195,6 +199,8 @@ def _settle(live: DataFrame, keys: Sequence[Sequence[str]], sequence: str) -> Da
             rest = _without(rest, won, key)
         live = rest.checkpoint()
         accepted = won if accepted is None else accepted.unionAll(won)
+        if rounds % MERGE_EVERY == 0:  # keep the union of rounds short
+            accepted = accepted.checkpoint()
     return live if accepted is None else accepted
 
 

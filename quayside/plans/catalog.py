@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.functions import aggregates, coerce, dates, jsons, scalars
+from quayside.functions import aggregates, coerce, dates, jsons, scalars, sql_names
 from quayside.operators import align, audit, grouping, identity, load, paging, search
 from quayside.operators.present import present
 from quayside.plans.copyjob import count_report
@@ -413,7 +413,8 @@ def add_column_default(spark, sf_dir):
 
 @query("SELECT event_id, event_type FROM events WHERE ts > TIMESTAMP '2024-02-01' - INTERVAL 7 DAY")
 def recent_view(spark, sf_dir):
-    recent = read(spark, sf_dir, "events").where(F.col("ts") > dates.datetime("-7 days", now=NOW))
+    since = dates.naive(dates.datetime("-7 days", now=NOW))
+    recent = read(spark, sf_dir, "events").where(F.col("ts") > since)
     recent.select("event_id", "event_type").createOrReplaceTempView("recent_events")
     return spark.table("recent_events")
 
@@ -463,7 +464,7 @@ WHERE ts > TIMESTAMP '2024-02-01' - INTERVAL 1 DAY AND event_type IN ('click', '
 """)
 def recent_filter(spark, sf_dir):
     events = read(spark, sf_dir, "events")
-    recent = F.col("ts") > dates.datetime("-1 day", now=NOW)
+    recent = F.col("ts") > dates.naive(dates.datetime("-1 day", now=NOW))
     kinds = F.col("event_type").isin("click", "view")
     return events.where(recent & kinds & F.col("value").isNotNull()).select("event_id", "user_id")
 
@@ -963,6 +964,25 @@ def julianday(spark, sf_dir):
     return read(spark, sf_dir, "events").select("event_id", dates.julianday(F.col("ts")).alias("jd"))
 
 
+@query("""
+SELECT event_id, strftime(make_timestamp(epoch_us(ts) // 1000 * 1000), '%Y-%m-%dT%H:%M:%S.%gZ') AS iso,
+       strftime(date_trunc('month', ts) - INTERVAL 1 DAY, '%d/%m') AS month_before,
+       epoch_us(ts) // 1000000 + 5400 AS later, epoch_us(ts) / 86400000000.0::DOUBLE + 2440587.5::DOUBLE AS jd,
+       json_extract_string(props, '$.k') AS k
+FROM events WHERE ts > TIMESTAMP '2024-02-01' - INTERVAL 7 DAY
+""")
+def sql_functions(spark, sf_dir):
+    """The same functions by name in SQL text."""
+    sql_names.register(spark)
+    read(spark, sf_dir, "events").createOrReplaceTempView("events")
+    return spark.sql("""
+        SELECT event_id, strftime('%Y-%m-%dT%H:%M:%fZ', ts) AS iso,
+               strftime('%d/%m', ts, 'start of month', '-1 day') AS month_before,
+               unixepoch(ts, '+1.5 hours') AS later, julianday(ts) AS jd, json_extract(props, '$.k') AS k
+        FROM events WHERE ts > datetime('2024-02-01', '-7 days')
+    """)
+
+
 # ------------------------------------------------------------------------------------ JSON
 
 

@@ -34,7 +34,8 @@ def test_nothing_unwanted(plans, name):
     ("keyset_page", "GreaterThan(o_orderkey,100)"),
     ("upsert_mirror", "Not(EqualTo(o_orderpriority,5-LOW))"),
     ("param_positional", "GreaterThan(o_totalprice,100000.0)"),
-    ("recent_filter", "In(event_type, [click,view])"),
+    ("recent_filter", "GreaterThan(ts,2024-01-31T00:00)"),
+    ("recent_view", "GreaterThan(ts,2024-01-25T00:00)"),
 ])
 def test_filters_reach_the_scan(plans, name, condition):
     assert condition in plans[name]
