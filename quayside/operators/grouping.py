@@ -19,6 +19,8 @@ from quayside.operators.keys import same_key
 
 PART_BYTES = 64 * 1024 * 1024
 CELL_BYTES = 2**31 - 1024
+# Up to this many large groups are known by key on the driver.
+FEW_KEYS = 1000
 _PIECE, _ORDER, _PART, _TEXT, _BYTES = "_piece", "_order", "_part", "_text", "_bytes"
 
 
@@ -41,10 +43,8 @@ def _sizes(pieces: DataFrame, keys: Sequence[str], separator: str) -> DataFrame:
     return pieces.groupBy(*keys).agg(F.sum(each).alias(_BYTES))
 
 
-def _parts(pieces: DataFrame, keys: Sequence[str], separator: str, part_bytes: int) -> DataFrame:
+def _parts(pieces: DataFrame, keys: Sequence[str], separator: str, count: int) -> DataFrame:
     """Consecutive runs of each group, joined; ``_part`` numbers ascend within a group."""
-    total = pieces.agg(F.sum(F.octet_length(_PIECE))).first()[0] or 0
-    count = max(1, -(-total // part_bytes))
     spread = pieces.repartitionByRange(count, *keys, _ORDER) if count > 1 else pieces
     numbered = spread.withColumn(_PART, F.spark_partition_id() if count > 1 else F.lit(0))
     return numbered.groupBy(*keys, _PART).agg(_joined(separator, _PIECE, _ORDER).alias(_TEXT))
@@ -57,22 +57,29 @@ def _whole(pieces: DataFrame, keys: Sequence[str], separator: str) -> DataFrame:
 def _join_groups(
     pieces: DataFrame, keys: Sequence[str], separator: str, part_bytes: int
 ) -> DataFrame:
-    sizes = _sizes(pieces, keys, separator)
-    largest = sizes.agg(F.max(_BYTES)).first()[0] or 0
+    large = _sizes(pieces, keys, separator).where(F.col(_BYTES) > part_bytes)
+    seen = large.limit(FEW_KEYS + 1).collect()  # at most so many keys reach the driver
+    if not seen:
+        return _whole(pieces, keys, separator)
+    few = len(seen) <= FEW_KEYS
+    if few:
+        largest, total = max(r[_BYTES] for r in seen), sum(r[_BYTES] for r in seen)
+    else:
+        largest, total = large.agg(F.max(_BYTES), F.sum(_BYTES)).first()
     if largest > CELL_BYTES:
         raise TextTooLarge(
             f"a group's text needs {largest} bytes, more than one cell holds; use the parts form"
         )
-    if largest <= part_bytes:
-        return _whole(pieces, keys, separator)
-    large = sizes.where(F.col(_BYTES) > part_bytes).select(*keys) if keys else None
-    if large is None:
-        hot, usual = pieces, None
-    else:
+    hot, usual = pieces, None
+    if keys:
+        held = large.select(*keys)
+        if few:  # the number of rows is known, so sending them to every task is safe
+            rows = [tuple(r[k] for k in keys) for r in seen]
+            held = F.broadcast(pieces.sparkSession.createDataFrame(rows, held.schema))
         match = same_key("p", "h", keys, null_safe=True)
-        hot = pieces.alias("p").join(large.alias("h"), match, "left_semi")
-        usual = pieces.alias("p").join(large.alias("h"), match, "left_anti")
-    parts = _parts(hot, keys, separator, part_bytes)
+        hot = pieces.alias("p").join(held.alias("h"), match, "left_semi")
+        usual = pieces.alias("p").join(held.alias("h"), match, "left_anti")
+    parts = _parts(hot, keys, separator, -(-total // part_bytes))
     joined = parts.groupBy(*keys).agg(_joined(separator, _TEXT, _PART).alias(_TEXT))
     return joined if usual is None else joined.unionAll(_whole(usual, keys, separator))
 
@@ -102,7 +109,8 @@ def group_concat_parts(
 ) -> DataFrame:
     """The text of each group as parts: joined in ``part`` order they are the whole text."""
     pieces = _pieces(rows, keys, value.cast("string"), order).where(F.col(_PIECE).isNotNull())
-    parts = _parts(pieces, keys, separator, part_bytes)
+    total = pieces.agg(F.sum(F.octet_length(_PIECE))).first()[0] or 0
+    parts = _parts(pieces, keys, separator, max(1, -(-total // part_bytes)))
     return parts.withColumnsRenamed({_PART: "part", _TEXT: name})
 
 

@@ -56,6 +56,12 @@ def test_without_keys_and_without_rows(spark, skewed, part_bytes):
     assert rows(grouping.group_concat(nothing, ["k"], F.col("v"), ["seq"])) == []
 
 
+def test_many_large_groups(skewed, monkeypatch):
+    monkeypatch.setattr(grouping, "FEW_KEYS", 1)
+    got = dict(rows(grouping.group_concat(skewed, ["k"], F.col("v"), ["seq"], part_bytes=100)))
+    assert got == dict(rows(grouping.group_concat(skewed, ["k"], F.col("v"), ["seq"])))
+
+
 def test_distinct_and_only_nulls(spark):
     data = spark.createDataFrame([("a", "y"), ("a", "x"), ("a", "y"), ("b", None)], "k string, v string")
     got = sorted(rows(grouping.group_concat_distinct(data, ["k"], F.col("v"), "|")))
@@ -74,8 +80,10 @@ def test_parts_join_to_the_whole(skewed):
 
 def test_a_text_beyond_one_cell_is_refused(skewed, monkeypatch):
     monkeypatch.setattr(grouping, "CELL_BYTES", 1000)
-    with pytest.raises(grouping.TextTooLarge, match="parts"):
-        grouping.group_concat(skewed, ["k"], F.col("v"), ["seq"])
+    for few in (grouping.FEW_KEYS, 1):
+        monkeypatch.setattr(grouping, "FEW_KEYS", few)
+        with pytest.raises(grouping.TextTooLarge, match="parts"):
+            grouping.group_concat(skewed, ["k"], F.col("v"), ["seq"], part_bytes=500)
 
 
 def test_separator_is_taken_literally(spark):
