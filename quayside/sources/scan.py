@@ -96,3 +96,26 @@ def read_jdbc(
         if ends[0] is not None:
             slices = key_slices(ends[0], ends[1], workers, batch)
     return spark.read.format("jdbc").options(**jdbc_options(url, table, slices, key, batch, **options)).load()
+
+
+def remainder_predicates(expression: str, count: int) -> list[str]:
+    """Conditions that cut a table without a row key into disjoint, complete parts.
+
+    ``expression`` is an integer in the database's SQL, such as a hash of a column.
+    """
+    parts = [f"mod(abs({expression}), {count}) = {i}" for i in range(count)]
+    parts[0] = f"({parts[0]} or {expression} is null)"
+    return parts
+
+
+def read_jdbc_parts(
+    spark: SparkSession, url: str, table: str, predicates: list[str], **options: str
+) -> DataFrame:
+    """Scan a database table in parallel by given conditions."""
+    return spark.read.jdbc(url, table, predicates=predicates, properties=options)
+
+
+def write_jdbc(rows: DataFrame, url: str, table: str, batch: int = BATCH, **options: str) -> None:
+    """Append typed rows to a database table in batches, one connection per partition."""
+    chosen = {"url": url, "dbtable": table, "batchsize": str(batch), **options}
+    rows.write.format("jdbc").options(**chosen).mode("append").save()

@@ -61,7 +61,7 @@ def test_doubles(spark):
 
 def test_decimals_are_exact(spark):
     check(spark, T.StringType(), "numeric(10,2)", [
-        ("1.005", Decimal("1.01")), ("-1.005", Decimal("-1.01")), ("123456789", None, True), ("", None), ("x", None),
+        ("1.005", Decimal("1.01")), ("1e3", Decimal("1000.00")), ("0x10", Decimal("16.00")), ("-1.005", Decimal("-1.01")), ("123456789", None, True), ("", None), ("x", None),
     ])
     check(spark, T.StringType(), "numeric", [("12345678901234567890.5", Decimal("12345678901234567890.5"))])
 

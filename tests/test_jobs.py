@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quayside.operators import load
 from quayside.plans.copyjob import copy_tables, load_order, report_frame, verify_tables
-from quayside.sources import current_version, jdbc_options, key_slices, latest, publish, read_loose
+from quayside.sources import current_version, jdbc_options, key_slices, latest, publish, read_loose, remainder_predicates
 from quayside.streaming import catch_up
 from quayside.tables import Expr, Field, ForeignKey, Table
 
@@ -30,6 +30,14 @@ def test_jdbc_options():
     assert "partitionColumn" not in jdbc_options("jdbc:x", "t")
 
 
+def test_remainder_predicates_cover_every_row_once(spark):
+    data = spark.sql("select id - 5 as k from range(11) union all select null")
+    parts = [data.where(p).count() for p in remainder_predicates("k", 3)]
+    assert sum(parts) == 12 and len(parts) == 3
+    either = " or ".join(f"({p})" for p in remainder_predicates("k", 3))
+    assert data.where(either).count() == 12
+
+
 def test_loose_files_are_all_text(spark, tmp_path):
     (tmp_path / "a.csv").write_text('1,,yes\n2.5,x,"a,b"\n')
     frame = read_loose(spark, str(tmp_path), "csv", ["a", "b", "c"])

@@ -70,6 +70,34 @@ def test_children_are_counted_before_the_join(plans):
     assert text.index("LeftAnti") < text.index("HashAggregate(keys=[o_custkey")
 
 
+def test_a_skewed_anti_join_is_split_at_run_time(spark):
+    """Several keys: the undecided rows of a hot key meet the taken keys in several tasks."""
+    from quayside.operators.load import _without
+
+    small = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "200KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "64",
+    }
+    kept = {k: spark.conf.get(k) for k in small}
+    for k, v in small.items():
+        spark.conf.set(k, v)
+    try:
+        i = F.col("id")
+        live = spark.range(600_000).select(
+            F.when(i % 3 == 0, F.lit(7)).otherwise(i % 40000).alias("k"), (i % 500).alias("j"),
+            F.sha2(i.cast("string"), 256).alias("text"),
+        ).repartition(10)
+        taken = spark.range(10_000, 15_000).select(i.alias("k"), i.alias("j"))
+        left = _without(_without(live, taken, ["k"]), taken, ["j"]).agg(F.max("text"))
+        left.collect()
+        assert "skew=true" in plan(left)
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+
+
 def test_a_hot_key_of_a_third_of_all_rows(spark):
     """Row loads and reports stay exact when one key and NULL hold most rows."""
     from quayside.operators import audit, load
