@@ -18,6 +18,10 @@ _VERSION = re.compile(r"/v-(\d+)-(-?\d+)-[0-9a-f]+/?$")
 NO_BATCH = -1
 
 
+class ConcurrentPublish(RuntimeError):
+    """Another writer switched the table while this state was being written."""
+
+
 def _location(spark: SparkSession, table: str) -> str | None:
     if not spark.catalog.tableExists(table):
         return None
@@ -69,6 +73,8 @@ def publish(
     else:
         writer.save(folder)
     if exists:
+        if current_version(spark, table)[0] != version:
+            raise ConcurrentPublish(f"{table} was published by another writer; {folder} is unused")
         spark.sql(f"ALTER TABLE {table} SET LOCATION '{folder}'")
         spark.catalog.refreshTable(table)
     elif not buckets:

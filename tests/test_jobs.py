@@ -1,3 +1,4 @@
+import importlib
 import re
 import uuid
 
@@ -80,6 +81,18 @@ def test_bucketed_states_join_without_a_shuffle(spark, tmp_path):
     assert "hashpartitioning" not in plan(guarded)
 
 
+def test_a_second_writer_is_noticed(spark, tmp_path, monkeypatch):
+    publishing = importlib.import_module("quayside.sources.publish")
+    name = unique("t")
+    publish(spark.range(3), name, str(tmp_path))
+    versions = iter([(1, -1), (2, -1)])
+    monkeypatch.setattr(publishing, "current_version", lambda *_: next(versions))
+    with pytest.raises(publishing.ConcurrentPublish):
+        publish(spark.range(5), name, str(tmp_path))
+    monkeypatch.undo()
+    assert latest(spark, name).count() == 3
+
+
 def test_a_failed_write_changes_nothing(spark, tmp_path):
     name = unique("t")
     publish(spark.range(3), name, str(tmp_path))
