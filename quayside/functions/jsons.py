@@ -68,9 +68,10 @@ def json_object(*pairs: Column) -> Column:
 def json_contains(x: Column, part: Any) -> Column:
     """Whether the document holds ``part``: objects by key, arrays by element, scalars by value.
 
-    Types count: the text ``"1"`` does not contain the number ``1``.
+    Types count: the text ``"1"`` does not contain the number ``1``. The document is read once,
+    however many keys are asked for.
     """
-    return F.coalesce(_holds(F.try_parse_json(x), "$", part), F.lit(False))
+    return F.coalesce(F.exists(F.array(F.try_parse_json(x)), _holder(part)), F.lit(False))
 
 
 def _holds(doc: Column, path: str, part: Any) -> Column:
