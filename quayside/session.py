@@ -55,10 +55,14 @@ def local_session(cores: int | str = "*", name: str = "quayside") -> SparkSessio
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
-    Only when ``spark.checkpoint.dir`` is unset (local tests) is a temporary folder used.
+    That is ``spark.checkpoint.dir``, else the folder given to ``setCheckpointDir``. A temporary
+    folder is made only for a local master; elsewhere a missing setting is an error.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named is None:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         named = tempfile.mkdtemp(prefix="quayside-shared-")
         spark.conf.set("spark.checkpoint.dir", named)
     return named.rstrip("/")
