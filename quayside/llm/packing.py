@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,55 +16,85 @@ from quayside.llm.common import map_rows, stored
 LENGTH = 2048
 END = 1
 GROUP = 1024  # pieces packed together, on average
-CACHE = 200_000  # chunks whose ids a worker keeps
+CACHE = 400_000  # chunks whose ids a worker keeps, twice at most
+# A word, perhaps after a space, and a stop: tokens of their own whatever stands around them.
+_SIMPLE = re.compile("( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)")
+# The printable stand-ins of bytes in byte-level vocabularies: themselves, or the next free from U+0100.
+_SHOWN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_BYTES = {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in _SHOWN)}
 
 _TOKENIZERS: dict = {}
 
 
+class _Ids(dict):
+    """Ids of chunks as little-endian bytes, made when first asked for."""
+
+    def __init__(self, model):
+        super().__init__()
+        self.tokenize, self.split = model.model.tokenize, model.pre_tokenizer.pre_tokenize_str
+        self.old: dict[str, bytes] = {}
+
+    def __missing__(self, chunk: str) -> bytes:
+        made = self.old.get(chunk)
+        if made is None:
+            simple = _SIMPLE.fullmatch(chunk)
+            if simple is None:
+                made = b"".join(self._raw(part) for part, _ in self.split(chunk))
+            elif simple[2]:
+                made = self[simple[1]] + self[simple[2]]
+            else:
+                made = self._raw(chunk.encode().decode("latin-1").translate(_BYTES))
+        self[chunk] = made
+        return made
+
+    def _raw(self, part: str) -> bytes:
+        return array("I", [t.id for t in self.tokenize(part)]).tobytes()
+
+    def turn(self) -> None:
+        """Forget what has not been asked for since the last turn."""
+        self.old = dict(self)
+        self.clear()
+
+
 class ChunkTokenizer:
     """Ids of texts as little-endian bytes, with the ids of chunks between single spaces kept.
 
-    The byte-level pre-tokenizer always starts a token at a space between two other characters, so
-    a text without runs of white space is the sum of its chunks. Other texts are encoded whole.
+    The byte-level pre-tokenizer always starts a token at a space or line end between two other
+    characters, so a text without runs of white space and without special tokens is the sum of
+    its chunks. Other texts are encoded whole. Of kept chunks those in use survive when the store
+    is full.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cache: int = CACHE):
         import os
 
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.model = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
+        special = [re.escape(t.content) for t in self.model.get_added_tokens_decoder().values()]
+        self.whole = re.compile("|".join([r"\s\s", r"[^\S \n]", *special]))
+        self.cache, self.known = cache, _Ids(self.model)
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        return [_raw(e.ids) for e in self.model.encode_batch_fast(texts, add_special_tokens=False)]
+    def _encode(self, text: str) -> bytes:
+        return array("I", self.model.encode(text, add_special_tokens=False).ids).tobytes()
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        import re
-
-        plain = [re.search(r"\s\s|[^\S \n]", t) is None for t in texts]
-        chunks = [self._chunks(t) if p else [t] for t, p in zip(texts, plain, strict=True)]
-        known = self.known
-        if len(known) > CACHE:
-            known.clear()
-        fresh = list(dict.fromkeys(c for p, cs in zip(plain, chunks, strict=True) if p for c in cs if c not in known))
-        known.update(zip(fresh, self.encode(fresh), strict=True))
-        whole = iter(self.encode([t for t, p in zip(texts, plain, strict=True) if not p]))
-        return [
-            b"".join(map(known.__getitem__, cs)) if p else next(whole) for p, cs in zip(plain, chunks, strict=True)
-        ]
-
-    @staticmethod
-    def _chunks(text: str) -> list[str]:
-        first, *rest = text.split(" ")
-        return [first, *map(" ".__add__, rest)]
+        out, get, join = [], self.known.__getitem__, b"".join
+        line = get("\n")
+        for text in texts:
+            if self.whole.search(text):
+                out.append(self._encode(text))
+            else:
+                out.append(line.join([join(map(get, _chunks(x))) for x in text.split("\n")]))
+            if len(self.known) > self.cache:
+                self.known.turn()
+        return out
 
 
-def _raw(ids: list[int]) -> bytes:
-    import numpy as np
-
-    return np.array(ids, "<u4").tobytes()
+def _chunks(line: str) -> list[str]:
+    first, *rest = line.split(" ")
+    return [first, *map(" ".__add__, rest)]
 
 
 def tokenizer(path: str) -> ChunkTokenizer:
@@ -198,8 +231,6 @@ def sequences(docs: DataFrame, vocabulary: str, length: int = LENGTH, pad: int =
     gathered = placed.groupBy("sequence_id").agg(F.sort_array(F.collect_list(F.struct("offset", "ids"))).alias("parts"))
 
     def work(rows: Iterator[tuple]) -> Iterator[tuple]:
-        import numpy as np
-
         for sequence, found in rows:
             ids = np.frombuffer(b"".join(p["ids"] for p in found), "<u4").astype(int).tolist()
             yield sequence, ids + [pad] * (length - len(ids))
