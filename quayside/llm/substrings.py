@@ -97,12 +97,14 @@ def repeats(docs: DataFrame, found: DataFrame, key: str = "doc_id", text: str =
     """
     each = found.select(key, "h", F.explode("cells").alias("c")).select(key, "h", "c.*")
     owners = stored(
-        each.groupBy("anchor", "cell").agg(F.min(F.struct(key, "h", "start", "n")).alias("own"), F.max(key).alias("last")),
+        each.groupBy("cell").agg(
+            F.min("anchor").alias("anchor"), F.min(F.struct(key, "h", "start", "n")).alias("own"), F.max(key).alias("last")
+        ),
         "cells",
     )
     several = owners.groupBy("anchor").agg(F.count("*").alias("k")).where("k > 1").select("anchor")
-    edge = owners.join(several, "anchor", "left_semi").select("anchor", "cell", "own.*")
-    listed = edge.groupBy(key, "h").agg(F.collect_list(F.struct("anchor", "cell", "start", "n")).alias("cells"))
+    edge = owners.join(several, "anchor", "left_semi").select("cell", "own.*")
+    listed = edge.groupBy(key, "h").agg(F.collect_list(F.struct("cell", "start", "n")).alias("cells"))
     texts = docs.select(key, F.xxhash64(text).alias("h"), F.col(text).cast("binary").alias("t"))
     opened = texts.join(listed, [key, "h"])
     kind = docs.schema[key].dataType.simpleString()
@@ -114,19 +116,19 @@ def repeats(docs: DataFrame, found: DataFrame, key: str = "doc_id", text: str =
             for c in parts:
                 s = c["start"]
                 for i in range(c["n"]):
-                    yield k, c["anchor"], c["cell"], i, digest(b" ".join(words[s + i : s + i + length]))
+                    yield k, c["cell"], i, digest(b" ".join(words[s + i : s + i + length]))
 
-    single = stored(
-        map_rows(opened, windows, f"`{key}` {kind}, anchor bigint, cell binary, i int, w binary"), "windows"
-    )
+    single = stored(map_rows(opened, windows, f"`{key}` {kind}, cell binary, i int, w binary"), "windows")
     first = single.groupBy("w").agg(F.min(key).alias("least"), F.max(key).alias("last")).where("least < last")
     late = single.join(first.drop("last"), "w").where(F.col("least") < F.col(key))
-    partly = late.groupBy("anchor", "cell").agg(F.collect_set("i").alias("offsets"))
-    known = owners.join(partly, ["anchor", "cell"], "left").select(
-        "anchor", "cell", F.col("own")[key].alias("owner"), "offsets", "last"
+    partly = late.groupBy("cell").agg(F.collect_set("i").alias("offsets"))
+    known = owners.join(partly, "cell", "left").select(
+        "cell", F.col("own")[key].alias("owner"), "offsets", "last"
     )
     known = known.where((F.col("last") > F.col("owner")) | F.col("offsets").isNotNull()).drop("last")
-    met = each.join(known, ["anchor", "cell"]).where((F.col(key) > F.col("owner")) | F.col("offsets").isNotNull())
+    # Stored, so that nothing but the join itself depends on its keys and skewed ones can be split.
+    known = stored(known, "known")
+    met = each.join(known, "cell").where((F.col(key) > F.col("owner")) | F.col("offsets").isNotNull())
     starts = F.when(F.col(key) > F.col("owner"), F.array(F.struct(F.col("start").alias("a"), F.expr(f"start + n + {length - 1}").alias("b"))))
     some = F.transform("offsets", lambda i: F.struct((F.col("start") + i).alias("a"), (F.col("start") + i + length).alias("b")))
     spans = met.select(key, "h", F.explode(F.coalesce(starts, some)).alias("s"))
