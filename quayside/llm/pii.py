@@ -21,7 +21,8 @@ VOCABULARY = 200_000  # terms a task counts before it passes counts on
 # What counts as personal data.
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-_IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+# A run of digits is entered at its start only: what fails there fails anywhere in it.
+_IP = re.compile(r"(?<![0-9])[0-9]++(\.[0-9]++)(\.[0-9]++)(\.[0-9]++)")
 _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _TERM = re.compile(r"[^\W_]+")
@@ -221,12 +222,11 @@ def sanitise(docs: DataFrame, key: str = "doc_id", text: str = "text", remove: f
     Texts without personal data pass unchanged; NULL stays NULL.
     """
     found = stored(scan(docs, key, text), "pii")
-    terms = stored(telling(docs, found, key, text, **options), "telling").withColumnRenamed("terms", "__terms")
+    terms = stored(telling(docs, found, key, text, **options), "telling")
+    terms = terms.withColumnsRenamed({"terms": "__terms", "h": "__h"})
     names = docs.columns
-    marked = docs.withColumn("h", F.md5(F.coalesce(F.col(text), F.lit("")))) if "h" not in names else None
-    if marked is None:
-        raise ValueError("a column named h is in the way")
-    rows = null_safe(marked, terms, [key, "h"], "left").drop("h")
+    marked = docs.withColumn("__h", F.md5(F.coalesce(F.col(text), F.lit(""))))
+    rows = null_safe(marked, terms, [key, "__h"], "left").drop("__h")
     place, last = names.index(text), len(names)
 
     def run(batches):
