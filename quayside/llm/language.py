@@ -18,7 +18,7 @@ SAMPLE = 3000  # training documents at most, dealt evenly over the languages
 LANGUAGES = 1000  # different labels at most; more are refused
 ROUNDS = 150
 SHARPNESS = 4.0
-LEAST = 0.5  # documents under this score are rejected by the filter
+LEAST = 0.3  # documents under this score are rejected by the filter
 UNKNOWN = "und"
 
 # Families of languages by code.
