@@ -89,8 +89,20 @@ def _radix_value(s: Column, kind: str) -> Column:
     """Hexadecimal, octal and binary literals."""
     letter = F.lower(F.substring(s, 2, 1))
     base = F.when(letter == "x", RADIX["x"]).when(letter == "o", RADIX["o"]).otherwise(RADIX["b"])
-    value = F.call_function("conv", F.substring(s, 3, 1 << 30), base, F.lit(10))
-    return F.when(s.rlike(RADIX_NUMBER), value.try_cast(kind))
+    digits = F.regexp_replace(F.substr(s, F.lit(3)), "^0+(?=.)", "")
+    # `conv` holds 64 bits; longer literals are out of range, or doubles folded in from groups.
+    fits = F.length(digits) <= F.when(letter == "x", 16).when(letter == "o", 21).otherwise(64)
+    value = F.when(fits, F.call_function("conv", F.when(fits, digits), base, F.lit(10)).try_cast(kind))
+    if kind == "double":
+        group = lambda i: F.substr(digits, i, F.lit(10))
+        folded = F.aggregate(
+            F.sequence(F.lit(1), F.length(digits), F.lit(10)),
+            F.lit(0.0),
+            lambda held, i: held * F.pow(base.cast("double"), F.length(group(i)).cast("double"))
+            + F.call_function("conv", group(i), base, F.lit(10)).cast("double"),
+        )
+        value = F.when(fits, value).otherwise(_finite(folded))
+    return F.when(s.rlike(RADIX_NUMBER), value)
 
 
 def _finite(x: Column) -> Column:

@@ -37,7 +37,11 @@ def json_extract(x: Column, path: str) -> Column:
 
 def json_array_length(x: Column, path: str = "$") -> Column:
     """The number of elements of an array; NULL when there is no array."""
-    return F.json_array_length(x if path == "$" else json_extract(x, path))
+    if path == "$":
+        return F.json_array_length(x)
+    # By kind: a string that looks like an array is none.
+    found = F.try_variant_get(F.try_parse_json(x), json_path(path), "array<variant>")
+    return F.when(found.isNotNull(), F.size(found))
 
 
 def json_value(x: Column) -> Column:

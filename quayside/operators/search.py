@@ -178,7 +178,7 @@ def inverted_index(
     each = rows.select(
         F.explode(F.array_distinct(words)).alias("term"), F.col(id_column).alias("_id")
     )
-    blocked = each.withColumn("block", F.floor(F.col("_id") / F.lit(block)).cast("bigint"))
+    blocked = each.withColumn("block", F.call_function("div", F.col("_id") - F.pmod(F.col("_id"), F.lit(block)), F.lit(block)).cast("bigint"))
     # Combining before the shuffle cannot shrink distinct ids, so the shuffle comes first.
     placed = blocked.repartition("term", "block")
     lists = placed.groupBy("term", "block").agg(F.array_sort(F.collect_set("_id")).alias("ids"))

@@ -13,13 +13,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.operators import load
-from quayside.operators.align import align
+from quayside.operators.align import align, split_rejects
 from quayside.operators.audit import verify_counts
 from quayside.sources.publish import publish
 from quayside.tables import Table
 
 MODES = ("load", "truncate", "upsert")
-REPORT_SCHEMA = "`table` string, mode string, `rows` bigint, seconds double, skipped string"
+REPORT_SCHEMA = "`table` string, mode string, `rows` bigint, seconds double, skipped string, rejected bigint"
 
 
 @dataclass
@@ -29,6 +29,7 @@ class TableReport:
     rows: int = 0
     seconds: float = 0.0
     skipped: str | None = None
+    rejected: int = 0
 
 
 def chosen(names: Sequence[str], include: Sequence[str] = (), exclude: Sequence[str] = ()) -> tuple[list[str], list[str]]:
@@ -64,6 +65,10 @@ def load_order(tables: Sequence[Table]) -> list[str]:
     return order
 
 
+class RejectedValues(ValueError):
+    """A source has values that the target's types cannot hold."""
+
+
 def copy_tables(
     spark: SparkSession,
     sources: Mapping[str, DataFrame],
@@ -75,14 +80,20 @@ def copy_tables(
     dry_run: bool = False,
     now: Any = None,
     parallel: int = 4,
+    rejects: str = "error",
 ) -> list[TableReport]:
     """Copy source tables into catalog tables of the same names.
 
     ``load`` skips tables that have rows, ``truncate`` replaces them (never a table others
     reference), ``upsert`` mirrors the source by primary key. A source without a declared target
-    is skipped; the first failure is raised. Up to ``parallel`` tables are in flight at once, so
+    is skipped; the first failure is raised. Values the target's types cannot hold end the table
+    before anything is switched; with ``rejects="keep"`` their rows are left out, written with
+    reasons to ``<base>/<table>-rejects`` and counted in the report. Repeated or NULL primary keys
+    end a table in every mode. Up to ``parallel`` tables are in flight at once, so
     small tables do not hold up a large one.
     """
+    if rejects not in ("error", "keep"):
+        raise ValueError(f"unknown handling of rejects {rejects!r}")
     if mode not in MODES:
         raise ValueError(f"unknown mode {mode!r}")
     declared = {t.name: t for t in tables}
@@ -99,7 +110,7 @@ def copy_tables(
 
     def timed(name: str) -> TableReport:
         started = time.monotonic()
-        report = _copy_one(spark, sources[name], declared[name], base, mode, children[name], now)
+        report = _copy_one(spark, sources[name], declared[name], base, mode, children[name], now, rejects)
         report.seconds = round(time.monotonic() - started, 3)
         return report
 
@@ -109,11 +120,19 @@ def copy_tables(
 
 def _copy_one(
     spark: SparkSession, source: DataFrame, table: Table, base: str, mode: str,
-    children: Sequence[str], now: Any,
+    children: Sequence[str], now: Any, rejects: str,
 ) -> TableReport:
     name = table.name
     exists = spark.catalog.tableExists(name)
-    rows = align(source, table, now)
+    if mode != "upsert" and mode != "truncate" and exists and not spark.table(name).isEmpty():
+        return TableReport(name, "skipped", spark.table(name).count(), skipped="already has rows")
+    rows, bad = split_rejects(align(source, table, now, with_rejects=True))
+    refused = bad.count()
+    if refused and rejects == "error":
+        first = bad.first()
+        raise RejectedValues(f"{name}: {refused} values do not fit, such as {first['value']!r} in {first['column']}")
+    if refused:
+        bad.write.mode("overwrite").parquet(f"{base.rstrip('/')}/{name}-rejects")
     if mode == "upsert":
         if not table.pk:
             raise load.NoKey(f"{name}: no primary key, cannot upsert")
@@ -121,9 +140,9 @@ def _copy_one(
             rows = _upserted(source, rows, spark.table(name), table)
     elif mode == "truncate":
         load.truncate_guard(name, children)
-    elif exists and not spark.table(name).isEmpty():
-        return TableReport(name, "skipped", spark.table(name).count(), skipped="already has rows")
-    return TableReport(name, mode, publish(rows, name, f"{base.rstrip('/')}/{name}"))
+    if mode != "upsert" and table.pk:
+        rows = load.guard(rows, table.pk, f"load of {name}")
+    return TableReport(name, mode, publish(rows, name, f"{base.rstrip('/')}/{name}"), rejected=refused)
 
 
 def _upserted(source: DataFrame, rows: DataFrame, target: DataFrame, table: Table) -> DataFrame:
@@ -133,7 +152,8 @@ def _upserted(source: DataFrame, rows: DataFrame, target: DataFrame, table: Tabl
     fresh = rows.select(*given, *[F.col(c).alias(f"_new_{c}") for c in absent])
     if not absent:
         return load.upsert_mirror(fresh, target, table.pk, table=table.name)
-    old = target.select(*table.pk, *absent, F.lit(True).alias("_old"))
+    own = [c for c in target.columns if c not in table.columns]  # known to the target only
+    old = target.select(*table.pk, *absent, *own, F.lit(True).alias("_old"))
     guarded = load.guard(fresh, table.pk, f"upsert into {table.name}")
     joined = guarded.join(old, list(table.pk), "left")
     return joined.select(
@@ -142,7 +162,8 @@ def _upserted(source: DataFrame, rows: DataFrame, target: DataFrame, table: Tabl
             if c in absent
             else F.col(c)
             for c in table.columns
-        ]
+        ],
+        *own,
     )
 
 

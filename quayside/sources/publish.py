@@ -29,6 +29,14 @@ def _location(spark: SparkSession, table: str) -> str | None:
     return None if details is None else details["data_type"]
 
 
+def _bucketing(spark: SparkSession, table: str) -> tuple[list[str], int]:
+    """Bucket columns and number of buckets as the catalog has them; ``([], 0)`` without."""
+    found = dict(spark.sql(f"DESCRIBE TABLE EXTENDED {table}").select("col_name", "data_type").collect())
+    number = int(found.get("Num Buckets") or 0)
+    columns = re.findall(r"`((?:[^`]|``)+)`", found.get("Bucket Columns") or "")
+    return ([c.replace("``", "`") for c in columns], number) if number else ([], 0)
+
+
 def current_version(spark: SparkSession, table: str) -> tuple[int, int]:
     """Version number and last stream batch of a published table; ``(0, -1)`` before the first."""
     found = _VERSION.search(_location(spark, table) or "")
@@ -50,13 +58,27 @@ def publish(
     ``batch`` is remembered in the folder name, in the same catalog change. ``cluster_by`` sorts
     the files by key ranges, so later key lookups skip files. ``bucket_by`` with a number of
     ``buckets`` stores rows by key, one file per bucket: loads that join two such tables by that
-    key then shuffle neither side. The first state decides the bucketing of a table.
+    key then shuffle neither side. A table keeps its bucketing until another one is given.
+
+    Other buckets, and columns added or retyped, make a new catalog entry that takes the old one's
+    name; between the two steps the name is missing for a moment. Leaving a column out is refused.
     """
     spark = rows.sparkSession
     version, last_batch = current_version(spark, table)
     number = last_batch if batch is None else batch
     folder = f"{base.rstrip('/')}/v-{version + 1}-{number}-{uuid.uuid4().hex}"
     exists = spark.catalog.tableExists(table)
+    reshaped = False
+    if exists:
+        stored = spark.table(table)
+        lost = [c for c in stored.columns if c.lower() not in {x.lower() for x in rows.columns}]
+        if lost:
+            raise ValueError(f"{table} would lose columns {lost}")
+        had = _bucketing(spark, table)
+        if not buckets:
+            bucket_by, buckets = had
+        kinds = lambda frame: [(f.name.lower(), f.dataType.simpleString()) for f in frame.schema]
+        reshaped = (list(bucket_by), buckets) != had or kinds(stored) != kinds(rows)
     if buckets:
         rows = rows.repartition(buckets, *bucket_by)
     elif cluster_by:
@@ -68,14 +90,21 @@ def publish(
         staged = f"{table}_{uuid.uuid4().hex}" if exists else table
         keyed = writer.bucketBy(buckets, *bucket_by).sortBy(*bucket_by)
         keyed.option("path", folder).saveAsTable(staged)
-        if exists:
+        if exists and not reshaped:
             spark.sql(f"DROP TABLE {staged}")  # external: its files stay
     else:
         writer.save(folder)
     if exists:
         if current_version(spark, table)[0] != version:
             raise ConcurrentPublish(f"{table} was published by another writer; {folder} is unused")
-        spark.sql(f"ALTER TABLE {table} SET LOCATION '{folder}'")
+        if reshaped:
+            if not buckets:
+                staged = f"{table}_{uuid.uuid4().hex}"
+                spark.catalog.createTable(staged, path=folder, source=file_format, schema=rows.schema)
+            spark.sql(f"DROP TABLE {table}")  # external: its files stay
+            spark.sql(f"ALTER TABLE {staged} RENAME TO {table}")
+        else:
+            spark.sql(f"ALTER TABLE {table} SET LOCATION '{folder}'")
         spark.catalog.refreshTable(table)
     elif not buckets:
         spark.catalog.createTable(table, path=folder, source=file_format, schema=rows.schema)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,13 +23,13 @@ class Slices(NamedTuple):
 def key_slices(first: int, last: int, workers: int, batch: int = BATCH) -> Slices:
     """Cut a key range for ``workers`` readers, with at least one batch of keys per slice."""
     span = last - first + 1
-    count = max(1, min(workers, math.ceil(span / batch)))
-    return Slices(first, last, count, math.ceil(span / count))
+    count = max(1, min(workers, -(-span // batch)))
+    return Slices(first, last, count, -(-span // count))
 
 
 def sliced(key: str, slices: Slices) -> Column:
     """The slice number of a row."""
-    return F.floor((F.col(key) - F.lit(slices.first)) / F.lit(slices.width)).cast("bigint")
+    return F.call_function("div", F.col(key) - F.lit(slices.first), F.lit(slices.width)).cast("bigint")
 
 
 def read_loose(
