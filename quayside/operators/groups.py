@@ -1,0 +1,45 @@
+"""Connected groups of linked values."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from quayside.session import ready_checkpoints
+
+
+def connected(links: DataFrame) -> DataFrame:
+    """One row ``node, label`` per value in undirected links ``a, b``; the label is the least of its group.
+
+    Large stars and small stars alternate, which takes a logarithmic number of rounds. A star is a
+    minimum per value with map-side combining and a join that run-time skew handling may split,
+    so a value with very many links is not gathered. Lineage is cut by ``checkpoint`` each round.
+    A value linked to itself alone is a group of its own.
+    """
+    ready_checkpoints(links.sparkSession)
+    links = links.checkpoint()
+    alone = links.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    links = links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    links = links.distinct().checkpoint()
+    before = _state(links)
+    while before[0]:
+        both = links.unionAll(links.select("b", "a"))
+        least = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("n"), F.least("a", "m").alias("m"))
+        large = both.join(least, F.col("a") == F.col("n")).where("b > a and b <> m")
+        large = large.select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        lower = large.groupBy("a").agg(F.min("b").alias("m"))
+        moved = large.join(lower.withColumnRenamed("a", "n"), F.col("a") == F.col("n")).select(
+            F.col("b").alias("a"), F.col("m").alias("b")
+        )
+        links = moved.unionAll(lower.select("a", F.col("m").alias("b"))).where("a <> b").distinct().checkpoint()
+        after = _state(links)
+        if after == before:
+            break
+        before = after
+    labels = links.groupBy("a").agg(F.min("b").alias("label"))
+    found = alone.join(labels, F.col("node") == F.col("a"), "left")
+    return found.select("node", F.coalesce("label", "node").alias("label"))
+
+
+def _state(links: DataFrame) -> tuple:
+    return tuple(links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())

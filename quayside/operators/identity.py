@@ -10,6 +10,9 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 _BUCKET = "_bucket"
+_COUNTED = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)
+# Keys drawn per slice where the cut points come from a sample.
+DRAWN = 32
 
 
 def next_identity(rows: DataFrame, column: str) -> DataFrame:
@@ -23,23 +26,28 @@ def _boundaries(rows: DataFrame, order: str, slices: int) -> list:
     shares = [i / slices for i in range(1, slices)]
     if not shares:
         return []
-    found = rows.agg(F.percentile_approx(order, shares).alias("cuts")).first()["cuts"]
-    return sorted(set(found or []))
+    if isinstance(rows.schema[order].dataType, _COUNTED):
+        found = rows.agg(F.percentile_approx(order, shares).alias("cuts")).first()["cuts"]
+        return sorted(set(found or []))
+    # The keys of the least hashes: an even sample of bounded size, the same every time.
+    drawn = rows.where(F.col(order).isNotNull()).orderBy(F.xxhash64(order)).limit(DRAWN * slices)
+    found = drawn.agg(F.array_sort(F.collect_set(order)).alias("keys")).first()["keys"]
+    return found[len(found) // slices :: max(1, len(found) // slices)][: slices - 1]
 
 
 def row_positions(
     rows: DataFrame, order: str, name: str = "position", slices: int | None = None
 ) -> DataFrame:
-    """Number rows 1..n in the order of a unique numeric or time column.
+    """Number rows 1..n in the order of a unique column.
 
-    The column's approximate quantiles cut the rows into slices; each slice is numbered on its
+    The column's approximate quantiles, for texts and bytes those of a sample of bounded size, cut the rows into slices; each slice is numbered on its
     own and shifted by the size of the slices before it. The numbers are exact wherever the cuts
     fall, so recomputed tasks agree. Two passes read the order column alone and one shuffle
     moves the rows; the driver sees one count per slice.
     """
     kind = rows.schema[order].dataType
-    if not isinstance(kind, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)):
-        raise TypeError(f"row order needs a numeric or time column, {order} is {kind.simpleString()}")
+    if not isinstance(kind, (*_COUNTED, T.StringType, T.BinaryType)):
+        raise TypeError(f"row order needs a number, time, text or bytes, {order} is {kind.simpleString()}")
     spark = rows.sparkSession
     # Several slices per shuffle partition even out what hashing slice numbers leaves uneven.
     slices = slices or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -4,14 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quayside.operators.groups import connected
 from quayside.operators.keys import complete, first_per_key, guard, same_key
 from quayside.session import ready_checkpoints
 
-
 MERGE_EVERY = 20
+# Rounds before the rows still open are divided into connected groups.
+ROUNDS = 8
+# Rows of a connected group that one task decides; larger groups are decided in rounds.
+GROUP_ROWS = 100_000
 
 
 class NoKey(ValueError):
@@ -73,13 +78,15 @@ def upsert_mirror(
     defaults: Mapping[str, Column] | None = None,
     table: str = "table",
     check_keys: bool = True,
+    unique: Sequence[Sequence[str]] = (),
 ) -> DataFrame:
     """Make the target mirror the source by primary key.
 
     New keys are inserted, common columns of known keys updated, keys the source lost removed.
     Columns only the target has, and identity columns outside the key, keep their value; on new
     rows they take their default (identity columns: the source's value). Because the source
-    drives, a target that has nothing of its own to keep is not read at all.
+    drives, a target that has nothing of its own to keep is not read at all. ``unique`` lists
+    further keys; a result that repeats one fails.
     """
     if not pk:
         raise NoKey(f"{table}: no primary key, cannot upsert")
@@ -88,7 +95,7 @@ def upsert_mirror(
     kept = [c for c in target.columns if c not in pk and c not in updated]
     rows = guard(source, pk, f"upsert into {table}") if check_keys else source
     if not kept:
-        return _completed(rows, target, defaults)
+        return _unique(_completed(rows, target, defaults), unique, table)
     old = target.select(*pk, *kept, F.lit(True).alias("_old")).alias("t")
     joined = rows.select(*common).alias("s").join(old, same_key("s", "t", pk), "left")
     columns = []
@@ -99,7 +106,7 @@ def upsert_mirror(
         else:
             value = F.col(f"s.{name}")
         columns.append(value.cast(target.schema[name].dataType).alias(name))
-    return joined.select(*columns)
+    return _unique(joined.select(*columns), unique, table)
 
 
 def upsert_changes(source: DataFrame, target: DataFrame, pk: Sequence[str]) -> DataFrame:
@@ -168,11 +175,21 @@ def _settle(live: DataFrame, keys: Sequence[Sequence[str]], sequence: str) -> Da
     Each round accepts every row that is the earliest undecided one under all of its keys and
     drops what conflicts with it. Rounds are cut by checkpoints, so a lost executor repeats one
     round at most. The earliest row is always decided, hence the loop ends.
+
+    Chains of conflicts would take a round per link. Rows still open after a few rounds are
+    therefore divided into connected groups, in a logarithmic number of rounds, and each group of
+    up to ``GROUP_ROWS`` rows is decided in order within one task. Only larger groups go on in
+    rounds. The accepted rows are the same either way.
     """
     ready_checkpoints(live.sparkSession)
     accepted, rounds = None, 0
     live = live.checkpoint()
     while not live.isEmpty():
+        if rounds == ROUNDS:
+            won, live = _settle_groups(live, keys, sequence)
+            accepted = accepted.unionAll(won)
+            rounds += 1
+            continue
         rounds += 1
         due = F.lit(0)
         for key in keys:
@@ -204,6 +221,55 @@ def _settle(live: DataFrame, keys: Sequence[Sequence[str]], sequence: str) -> Da
     return live if accepted is None else accepted
 
 
+def _settle_groups(
+    live: DataFrame, keys: Sequence[Sequence[str]], sequence: str
+) -> tuple[DataFrame, DataFrame]:
+    """Decide the connected groups that fit a task; gives the accepted and the undecided rows."""
+    claims, links = live.select(sequence, *dict.fromkeys(c for k in keys for c in k)), None
+    for i, key in enumerate(keys):
+        least = claims.where(complete(key)).groupBy(*key).agg(F.min(sequence).alias(f"_k{i}")).alias("l")
+        joined = claims.alias("c").join(least, same_key("c", "l", key), "left")
+        claims = joined.select("c.*", f"l._k{i}")
+        edges = claims.where(F.col(f"_k{i}").isNotNull()).select(
+            F.col(sequence).alias("a"), F.col(f"_k{i}").alias("b")
+        )
+        links = edges if links is None else links.unionAll(edges)
+    # A row alone is never left after a round, so every row has a link.
+    labels = connected(links).checkpoint()
+    marks = F.array(*[F.to_json(F.struct(f"_k{i}")) for i in range(len(keys))])
+    absent = [F.col(f"_k{i}").isNull() for i in range(len(keys))]
+    named = F.transform(
+        F.arrays_zip(F.array(*absent).alias("no"), marks.alias("m")), lambda x: F.when(~x["no"], x["m"])
+    )
+    claims = claims.select(F.col(sequence).alias("_s"), named.alias("_m"))
+    grouped = claims.join(labels, F.col("_s") == F.col("node")).select("_s", "_m", "label")
+    sizes = grouped.groupBy("label").count()
+    small = sizes.where(F.col("count") <= GROUP_ROWS).select("label")
+    lists = grouped.join(small, "label", "left_semi").groupBy("label").agg(
+        F.array_sort(F.collect_list(F.struct("_s", "_m"))).alias("rows")
+    )
+
+    @F.pandas_udf("array<boolean>")
+    def in_order(groups: pd.Series) -> pd.Series:
+        def decide(rows) -> list[bool]:
+            held, out = set(), []
+            for row in rows:
+                claimed = [(i, m) for i, m in enumerate(row) if m is not None]
+                out.append(held.isdisjoint(claimed))
+                if out[-1]:
+                    held.update(claimed)
+            return out
+
+        return groups.map(decide)
+
+    decided = lists.select("rows", in_order(F.transform("rows", lambda r: r["_m"])).alias("ok"))
+    each = decided.select(F.explode(F.arrays_zip("rows", "ok")).alias("x"))
+    verdicts = each.select(F.col("x.rows._s").alias("_s"), F.col("x.ok").alias("ok")).checkpoint().alias("v")
+    same = F.col(f"r.{sequence}") == F.col("v._s")
+    won = live.alias("r").join(verdicts.where("ok"), same, "left_semi").checkpoint()
+    return won, live.alias("r").join(verdicts, same, "left_anti").checkpoint()
+
+
 def insert_replace(
     source: DataFrame,
     target: DataFrame,
@@ -213,11 +279,16 @@ def insert_replace(
     listed: Sequence[str] | None = None,
     defaults: Mapping[str, Column] | None = None,
     table: str = "table",
+    applied: str | None = None,
 ) -> DataFrame:
     """Insert rows, replacing the listed columns where the key exists; the last row wins.
 
     The key is the primary key, else the first unique key. Columns that are not listed keep the
-    old row's value (new rows: the default). A NULL in a unique key never conflicts.
+    old row's value (new rows: the default). A NULL in a unique key never conflicts. A result that
+    repeats one of the other unique keys fails, as the replaced row is found by one key only.
+
+    ``applied`` names a target column that holds the sequence a row was last replaced at: older
+    rows then replace nothing, and the column is kept up to date.
     """
     key = list(pk) or list(next(iter(unique), ()))
     if not key:
@@ -238,25 +309,38 @@ def insert_replace(
     left = old.withColumn("_old", F.lit(True)).alias("t")
     right = last.withColumn("_new", F.lit(True)).alias("s")
     both = left.join(right, same_key("t", "s", key), "full")
+    wins = F.col("s._new")
+    if applied is not None:
+        wins = wins & F.coalesce(F.col(f"t.{applied}") <= F.col(f"s.{sequence}"), F.lit(True))
     columns = []
     for name in target.columns:
         kind = target.schema[name].dataType
-        if name in key:
+        if name == applied:
+            value = F.greatest(F.col(f"t.{name}"), F.col(f"s.{sequence}").cast(kind))
+        elif name in key:
             value = F.coalesce(F.col(f"t.{name}"), F.col(f"s.{name}").cast(kind))
         elif name in updates:
-            value = F.when(F.col("s._new"), F.col(f"s.{name}").cast(kind)).otherwise(F.col(f"t.{name}"))
+            value = F.when(wins, F.col(f"s.{name}").cast(kind)).otherwise(F.col(f"t.{name}"))
         else:
             value = F.when(F.col("t._old"), F.col(f"t.{name}")).otherwise(
                 _default(defaults, target, name)
             )
         columns.append(value.alias(name))
     result = both.select(*columns)
-    if pk:
-        return result
-    loose = wanted.where(~complete(key)).select(*names)
-    return result.unionByName(target.where(~complete(key))).unionByName(
-        _completed(loose, target, defaults)
-    )
+    if not pk:
+        loose = wanted.where(~complete(key)).select(*names)
+        result = result.unionByName(target.where(~complete(key))).unionByName(
+            _completed(loose, target, defaults)
+        )
+    return _unique(result, [u for u in unique if list(u) != key], table)
+
+
+def _unique(rows: DataFrame, keys: Sequence[Sequence[str]], table: str) -> DataFrame:
+    """Fail the query when one of the keys repeats."""
+    for key in keys:
+        names = ", ".join(f"{table}.{c}" for c in key)
+        rows = guard(rows, key, f"UNIQUE constraint failed: {names}", nulls=False)
+    return rows
 
 
 def conflicts(source: DataFrame, target: DataFrame, key: Sequence[str]) -> DataFrame:

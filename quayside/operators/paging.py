@@ -25,7 +25,7 @@ def offset_page(
     """Rows ``offset+1 … offset+size`` in key order (a unique column).
 
     A shallow page is a top-k. A deep one takes row positions instead of passing everything
-    before it through one task.
+    before it through one task; only the page itself is sorted. Both give the same rows in order.
     """
     if 0 <= size and offset + size <= shallow:
         return rows.orderBy(key).offset(offset).limit(size)
@@ -33,7 +33,7 @@ def offset_page(
     page = placed.where(F.col("_position") > offset)
     if size >= 0:
         page = page.where(F.col("_position") <= offset + size)
-    return page.drop("_position")
+    return page.orderBy("_position").drop("_position")
 
 
 def keyset_page(rows: DataFrame, key: str, after: object, size: int) -> DataFrame:

@@ -16,7 +16,7 @@ from quayside.functions import aggregates, coerce, dates, jsons, scalars, sql_na
 from quayside.operators import align, audit, grouping, identity, load, paging, search
 from quayside.operators.present import present
 from quayside.plans.copyjob import count_report
-from quayside.session import shared_dir, tune
+from quayside.session import delete_at_exit, shared_dir, tune
 from quayside.sources.publish import latest, publish
 from quayside.sources.scan import key_slices, sliced
 from quayside.streaming import catch_up
@@ -429,8 +429,10 @@ def ctas(spark, sf_dir):
         F.count("*").alias("n_orders"), spent.alias("spent")
     )
     name = f"ctas_{uuid.uuid4().hex}"
-    rows.write.option("path", f"{shared_dir(spark)}/{name}").saveAsTable(name)
-    return spark.table(name)
+    rows.write.option("path", delete_at_exit(spark, f"{shared_dir(spark)}/{name}")).saveAsTable(name)
+    made = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # external: the files stay for the result
+    return made
 
 
 # --------------------------------------------------------------------------------- filters
@@ -460,11 +462,11 @@ def regexp_filter(spark, sf_dir):
 
 @query("""
 SELECT event_id, user_id FROM events
-WHERE ts > TIMESTAMP '2024-02-01' - INTERVAL 1 DAY AND event_type IN ('click', 'view') AND value IS NOT NULL
+WHERE ts > TIMESTAMP '2024-01-31' - INTERVAL 20 DAY AND event_type IN ('click', 'view') AND value IS NOT NULL
 """)
 def recent_filter(spark, sf_dir):
     events = read(spark, sf_dir, "events")
-    recent = F.col("ts") > dates.naive(dates.datetime("-1 day", now=NOW))
+    recent = F.col("ts") > dates.naive(dates.datetime("-20 days", now="2024-01-31 00:00:00"))
     kinds = F.col("event_type").isin("click", "view")
     return events.where(recent & kinds & F.col("value").isNotNull()).select("event_id", "user_id")
 
@@ -615,6 +617,31 @@ def offset_page_deep(spark, sf_dir):
     return paging.offset_page(orders, "o_orderkey", 1000, 50, shallow=500)
 
 
+@query("""
+SELECT row_number() OVER (ORDER BY c_name) AS place, c_name FROM (
+  SELECT c_name FROM customer ORDER BY c_name LIMIT 40 OFFSET 50)
+""")
+def offset_page_by_text(spark, sf_dir):
+    """A deep page by a text key; the place shows that the rows come in order."""
+    page = paging.offset_page(read(spark, sf_dir, "customer").select("c_name"), "c_name", 50, 40, shallow=20)
+    return page.coalesce(1).select((F.monotonically_increasing_id() + 1).alias("place"), "c_name")
+
+
+@query("""
+WITH s AS (SELECT o_orderkey AS n, o_orderkey // 1000 AS batch, (o_orderkey + 1) // 2 AS a, o_orderkey // 2 AS b FROM orders),
+t AS (SELECT *, n - row_number() OVER (PARTITION BY batch ORDER BY n) AS run FROM s),
+u AS (SELECT *, row_number() OVER (PARTITION BY batch, run ORDER BY n) AS i FROM t)
+SELECT n, batch, a, b FROM u WHERE i % 2 = 1
+""")
+def insert_ignore_chain(spark, sf_dir):
+    """Orders whose two unique keys overlap with their neighbours' in turn: chains of up to 1,000 links."""
+    numbered = read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("n"))
+    source = numbered.select(
+        "n", F.expr("n div 1000").alias("batch"), F.expr("(n + 1) div 2").alias("a"), F.expr("n div 2").alias("b")
+    )
+    return load.insert_ignore(source, source.where(F.lit(False)), [["batch", "a"], ["batch", "b"]], "n")
+
+
 @query("SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderkey > 100 ORDER BY o_orderkey LIMIT 50")
 def keyset_page(spark, sf_dir):
     orders = read(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
@@ -727,8 +754,7 @@ def insert_ignore_keys(spark, sf_dir):
     lines = read(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate", "l_extendedprice"
     )
-    order = F.xxhash64(*lines.columns)
-    source = lines.withColumn("seq", order).dropDuplicates(["seq"])
+    source = lines.distinct().withColumn("seq", F.struct(*lines.columns))
     target = source.select("l_orderkey", "l_partkey", "l_suppkey", "seq").where(F.lit(False))
     return load.insert_ignore(
         source, target, [["l_orderkey"], ["l_partkey", "l_suppkey"]], "seq"
@@ -839,16 +865,17 @@ def delete_where(spark, sf_dir):
 
 @query(ORACLES["insert_replace"])
 def catch_up_stream(spark, sf_dir):
-    """The same replacement, read as a stream into a published table."""
+    """The same replacement, read as a stream of several batches with late rows into a published table."""
     name = f"catch_up_{uuid.uuid4().hex}"
-    base = f"{shared_dir(spark)}/{name}"
+    base = delete_at_exit(spark, f"{shared_dir(spark)}/{name}")
     target = read(spark, sf_dir, "customer").where("c_mktsegment <> 'BUILDING'").select(
         "c_custkey", "c_name", "c_acctbal", "c_mktsegment"
     )
     publish(target, name, f"{base}/table")
-    changes = spark.readStream.schema(read(spark, sf_dir, "orders").schema).parquet(
-        f"{sf_dir.rstrip('/')}/order*.parquet"
-    ).select(
+    orders = read(spark, sf_dir, "orders")
+    orders.repartition(3, "o_orderkey").write.parquet(f"{base}/inbox")
+    arriving = spark.readStream.schema(orders.schema).option("maxFilesPerTrigger", 1)
+    changes = arriving.parquet(f"{base}/inbox").select(
         F.col("o_custkey").alias("c_custkey"),
         F.col("o_totalprice").alias("c_acctbal"),
         F.nullif(F.col("o_orderstatus"), F.lit("P")).alias("c_mktsegment"),
@@ -856,7 +883,7 @@ def catch_up_stream(spark, sf_dir):
     )
     stream = catch_up(
         changes, name, f"{base}/table", ["c_custkey"], "o_orderkey", f"{base}/checkpoint",
-        listed=["c_custkey", "c_acctbal", "c_mktsegment"], defaults={"c_name": F.lit("unknown")},
+        listed=["c_custkey", "c_acctbal", "c_mktsegment"], defaults={"c_name": F.lit("unknown")}, parts=8,
     )
     stream.awaitTermination()
     return latest(spark, name)
@@ -1229,6 +1256,17 @@ def worded(spark, sf_dir) -> DataFrame:
     return search.add_search_column(read(spark, sf_dir, "documents").select("doc_id", "text"), "text")
 
 
+def stored_index(spark, sf_dir) -> DataFrame:
+    """The documents' posting lists, published in the order of their words."""
+    name = f"postings_{uuid.uuid4().hex}"
+    base = delete_at_exit(spark, f"{shared_dir(spark)}/{name}")
+    index = search.inverted_index(worded(spark, sf_dir), "doc_id")
+    publish(index, name, base, cluster_by=["term", "block"])
+    stored = latest(spark, name)
+    spark.sql(f"DROP TABLE {name}")  # external: the files stay for the result
+    return stored
+
+
 @query(f"""
 SELECT doc_id, len({WORDS}) AS n_words, md5(array_to_string({WORDS}, ' ')) AS digest FROM documents
 """)
@@ -1277,8 +1315,18 @@ def search_phrase_or(spark, sf_dir):
 SELECT doc_id FROM documents WHERE list_contains({WORDS}, 'the') AND list_contains({WORDS}, 'of')
 """)
 def search_by_index(spark, sf_dir):
-    index = search.inverted_index(worded(spark, sf_dir), "doc_id")
-    return search.index_lookup(index, ["the", "of"], "doc_id")
+    return search.index_lookup(stored_index(spark, sf_dir), ["the", "of"], "doc_id")
+
+
+@query(f"""
+SELECT doc_id FROM documents WHERE (contains(' ' || array_to_string({WORDS}, ' ') || ' ', ' of the ')
+    AND NOT list_contains({WORDS}, 'with')) OR (list_contains({WORDS}, 'der') AND list_contains({WORDS}, 'und'))
+""")
+def search_phrase_by_index(spark, sf_dir):
+    found = search.index_search(
+        stored_index(spark, sf_dir), worded(spark, sf_dir), '"of the" -with or der und', "doc_id"
+    )
+    return found.select("doc_id")
 
 
 @query(f"""

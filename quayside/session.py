@@ -68,6 +68,13 @@ def shared_dir(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
+def delete_at_exit(spark: SparkSession, path: str) -> str:
+    """Have a folder removed when the session's JVM ends; returns the path."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
+    return path
+
+
 def ready_checkpoints(spark: SparkSession) -> None:
     """Make ``DataFrame.checkpoint`` usable without overriding the cluster's own folder."""
     if spark.sparkContext.getCheckpointDir() is None:

@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 
 _VERSION = re.compile(r"/v-(\d+)-(-?\d+)-[0-9a-f]+/?$")
 NO_BATCH = -1
+# Columns that following a stream keeps in its table: the part a row is in, and the sequence it was last replaced at.
+PART, APPLIED = "_part", "_applied"
 
 
 class ConcurrentPublish(RuntimeError):
@@ -112,6 +114,9 @@ def publish(
 
 
 def latest(spark: SparkSession, table: str) -> DataFrame:
-    """The current state of a published table, also when another session switched it."""
+    """The current state of a published table, also when another session switched it.
+
+    Columns that only serve to follow a stream are left out.
+    """
     spark.catalog.refreshTable(table)
-    return spark.table(table)
+    return spark.table(table).drop(PART, APPLIED)

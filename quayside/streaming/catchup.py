@@ -5,13 +5,18 @@ Deletes cannot be seen in an append-only stream; a batch upsert mirrors those.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from quayside.operators.load import insert_replace
-from quayside.sources.publish import current_version, latest, publish
+from quayside.sources.publish import APPLIED, PART, current_version
+
+PARTS = 64
+_PROPERTY = "quayside.parts"
 
 
 def catch_up(
@@ -24,21 +29,64 @@ def catch_up(
     listed: Sequence[str] | None = None,
     defaults: Mapping[str, Column] | None = None,
     available_now: bool = True,
+    parts: int = PARTS,
 ) -> StreamingQuery:
     """Replace streamed rows into ``table``, the last row per key by ``sequence`` winning.
 
-    The batch number is part of the published version, so a batch that is delivered again after
-    a failure is not applied twice.
+    The sequence a row was last replaced at stays in the table, so a late row replaces nothing,
+    whichever batch brings it. Rows of the first state are older than any streamed one.
+
+    The first batch divides the table into ``parts`` by a hash of the key, once; choose them so
+    that a part fits a task. From then on a batch reads and rewrites only the parts its keys are
+    in. Parts are switched one after the other: a reader between two switches sees some of a
+    batch. A batch that is delivered again after a failure changes nothing that it had done.
+    Read the table by ``sources.latest``. Replaced files are left to whoever knows the readers.
     """
 
     def apply(rows: DataFrame, batch: int) -> None:
         spark = rows.sparkSession
-        if batch <= current_version(spark, table)[1] or rows.isEmpty():
+        version, last = current_version(spark, table)
+        if batch <= last or rows.isEmpty():
             return
+        spark.catalog.refreshTable(table)
+        state = spark.table(table)
+        divided = PART in state.columns
+        count = _parts(spark, table) if divided else parts
+        kinds = {k: state.schema[k].dataType for k in key}
+        place = F.pmod(F.xxhash64(*[F.col(k).cast(kinds[k]) for k in key]), F.lit(count)).cast("int")
+        if divided:
+            touched = [r[0] for r in rows.select(place.alias("p")).distinct().collect()]  # part numbers
+            old = state.where(F.col(PART).isin(touched)).drop(PART)
+        else:
+            old = state.withColumn(APPLIED, F.lit(None).cast(rows.schema[sequence].dataType))
         merged = insert_replace(
-            rows, latest(spark, table), sequence, pk=key, listed=listed, defaults=defaults, table=table
+            rows, old, sequence, pk=key, listed=listed or state.columns, defaults=defaults, table=table, applied=APPLIED
         )
-        publish(merged, table, base, batch=batch)
+        placed = merged.withColumn(PART, place).repartition(PART)
+        folder = f"{base.rstrip('/')}/v-{version + 1}-{batch}-{uuid.uuid4().hex}"
+        if divided:
+            placed.write.partitionBy(PART).parquet(folder)
+            _switch(spark, table, folder, touched)
+        else:
+            staged = f"{table}_{uuid.uuid4().hex}"
+            placed.write.partitionBy(PART).option("path", folder).saveAsTable(staged)
+            spark.sql(f"ALTER TABLE {staged} SET TBLPROPERTIES ('{_PROPERTY}' = '{count}')")
+            spark.sql(f"DROP TABLE {table}")  # external: its files stay
+            spark.sql(f"ALTER TABLE {staged} RENAME TO {table}")
+        spark.catalog.refreshTable(table)
 
     writer = changes.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
+
+
+def _parts(spark: SparkSession, table: str) -> int:
+    return int(spark.sql(f"SHOW TBLPROPERTIES {table} ('{_PROPERTY}')").first()["value"])
+
+
+def _switch(spark: SparkSession, table: str, folder: str, touched: Sequence[int]) -> None:
+    """Point the touched parts to the new folder, the table's own location last: it names the batch."""
+    for part in touched:
+        spec, place = f"PARTITION ({PART} = {part})", f"'{folder}/{PART}={part}'"
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {spec} LOCATION {place}")
+        spark.sql(f"ALTER TABLE {table} {spec} SET LOCATION {place}")
+    spark.sql(f"ALTER TABLE {table} SET LOCATION '{folder}'")

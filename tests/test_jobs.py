@@ -212,3 +212,11 @@ def test_streaming_catch_up(spark, tmp_path):
     assert follow() == [("a", "3"), ("b", "1"), ("c", None)] and current_version(spark, name) == version
     arrive([("b", "9", 4)])
     assert follow() == [("a", "3"), ("b", "9"), ("c", None)]
+    kept = {f: f.stat().st_mtime for f in (tmp_path / "table").glob("v-2-*/_part=*/*.parquet")}
+    arrive([("c", "late", 2), ("d", "new", 1)])
+    assert follow() == [("a", "3"), ("b", "9"), ("c", None), ("d", "new")]
+    arrive([("d", "later", 9)])
+    assert follow() == [("a", "3"), ("b", "9"), ("c", None), ("d", "later")]
+    # The last batch wrote the part of its only key and no other.
+    assert len(list((tmp_path / "table").glob("v-5-*/_part=*"))) == 1
+    assert kept == {f: f.stat().st_mtime for f in kept}

@@ -107,6 +107,36 @@ def test_insert_ignore_several_keys(spark, seed):
     assert sorted(r["seq"] for r in got.collect()) == serial_ignore(source, target, keys, "seq")
 
 
+def test_insert_ignore_follows_long_chains(spark, monkeypatch):
+    source = spark.range(1, 1201).select("id", F.expr("(id + 1) div 2").alias("a"), F.expr("id div 2").alias("b"))
+    got = load.accepted_rows(source, source.where("false"), [["a"], ["b"]], "id")
+    assert sorted(r["id"] for r in got.collect()) == list(range(1, 1201, 2))
+
+
+@pytest.mark.parametrize("largest", [0, 5, 100])
+def test_insert_ignore_is_the_same_by_rounds_and_by_groups(spark, monkeypatch, largest):
+    monkeypatch.setattr(load, "ROUNDS", 1)
+    monkeypatch.setattr(load, "GROUP_ROWS", largest)
+    r = random.Random(3)
+    pick = lambda: r.choice([None, *range(25)])
+    source = [{"seq": i, "a": pick(), "b": pick(), "c": pick()} for i in range(60)]
+    keys = [["a"], ["b"], ["c"]]
+    data = frame(spark, [tuple(x.values()) for x in source], "seq int, a int, b int, c int")
+    got = load.accepted_rows(data, data.where("false"), keys, "seq")
+    assert sorted(x["seq"] for x in got.collect()) == serial_ignore(source, [], keys, "seq")
+
+
+def test_other_unique_keys_must_hold(spark, users):
+    source = frame(spark, [(1, "b", 1)], "id bigint, email string, seq int")
+    with pytest.raises(PySparkException, match="UNIQUE constraint failed: users.email"):
+        load.insert_replace(
+            source, users, "seq", pk=["id"], unique=[["email"]], listed=["id", "email"], table="users"
+        ).collect()
+    mirrored = frame(spark, [(1, "x"), (2, "x")], "id bigint, email string")
+    with pytest.raises(PySparkException, match="UNIQUE constraint failed: users.email"):
+        load.upsert_mirror(mirrored, users, ["id"], unique=[["email"]], table="users").collect()
+
+
 def test_insert_replace(spark, users):
     source = frame(
         spark, [(1, "first", 1), (1, None, 2), (7, "g", 3)], "id bigint, email string, seq int"
@@ -178,8 +208,11 @@ def test_pages(spark):
     data = spark.range(1000).repartition(7)
     ids = [r[0] for r in rows(paging.offset_page(data, "id", 10, 5))]
     assert ids == [10, 11, 12, 13, 14]
-    deep = sorted(r[0] for r in rows(paging.offset_page(data, "id", 500, 5, shallow=10)))
+    deep = [r[0] for r in rows(paging.offset_page(data, "id", 500, 5, shallow=10))]
     assert deep == [500, 501, 502, 503, 504]
+    texts = data.select(F.lpad(F.col("id").cast("string"), 4, "0").alias("t"))
+    by_text = [r[0] for r in rows(paging.offset_page(texts, "t", 500, 5, shallow=10))]
+    assert by_text == ["0500", "0501", "0502", "0503", "0504"]
     assert paging.offset_page(data, "id", 990, -1, shallow=10).count() == 10
     assert [r[0] for r in rows(paging.keyset_page(data, "id", 41, 2))] == [42, 43]
     assert paging.limit(data, -1).count() == 1000

@@ -68,3 +68,13 @@ def test_index_finds_what_the_scan_finds(spark):
     for words in (["all"], ["all", "b"], ["b", "c", "d"], ["none"], ["all", "none"]):
         got = sorted(r["id"] for r in search.index_lookup(index, words).collect())
         assert got == sorted(r["id"] for r in search.search(frame, " ".join(words)).collect())
+
+
+def test_index_search_equals_the_scan(spark):
+    texts = ["red fish blue fish", "blue red", "fish red blue", "one two", "", "red one"]
+    frame = search.add_search_column(spark.createDataFrame(list(enumerate(texts)), "id bigint, text string"), "text")
+    index = search.inverted_index(frame, "id", block=2)
+    for query in ('"red fish"', "red -fish", "blue or one", '"fish red" or two -blue', "-red", "red or -fish", "none", ""):
+        want = sorted(r["id"] for r in search.search(frame, query).collect())
+        got = sorted(r["id"] for r in search.index_search(index, frame, query, "id").collect())
+        assert got == want, query
