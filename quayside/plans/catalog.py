@@ -755,7 +755,7 @@ def insert_ignore_keys(spark, sf_dir):
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate", "l_extendedprice"
     )
     source = lines.distinct().withColumn("seq", F.struct(*lines.columns))
-    target = source.select("l_orderkey", "l_partkey", "l_suppkey", "seq").where(F.lit(False))
+    target = lines.where(F.lit(False))
     return load.insert_ignore(
         source, target, [["l_orderkey"], ["l_partkey", "l_suppkey"]], "seq"
     )
