@@ -14,7 +14,7 @@ from quayside.session import ready_checkpoints
 
 MERGE_EVERY = 20
 # Rounds before the rows still open are divided into connected groups.
-ROUNDS = 8
+ROUNDS = 3
 # Rows of a connected group that one task decides; larger groups are decided in rounds.
 GROUP_ROWS = 100_000
 
