@@ -43,6 +43,7 @@ UNLIKELY = frozenset(
 )
 ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu menubar".split())
 _TOKEN = re.compile(r"[a-z]+")
+_CUT_OFF = re.compile(r"<[a-zA-Z/!?]")
 
 
 class Node:
@@ -78,6 +79,10 @@ class _Builder(HTMLParser):
     def handle_data(self, data: str) -> None:
         self.at.children.append(data)
 
+    def parse_marked_section(self, i: int, report: int = 1) -> int:
+        """Sections as ``<![if x]>`` are comments to a browser; none is worth an error."""
+        return self.parse_bogus_comment(i)
+
     def _end(self, tags: set, stop: set) -> None:
         node = self.at
         while node.parent is not None:
@@ -102,7 +107,9 @@ class _Builder(HTMLParser):
 def parse(page: str) -> Node:
     builder = _Builder()
     builder.feed(page)
-    builder.close()
+    # A tag or comment that the page's end cuts off is markup, not text.
+    if not _CUT_OFF.match(builder.rawdata):
+        builder.close()
     return builder.root
 
 
@@ -118,7 +125,7 @@ def visible(node: Node) -> Iterator[Node]:
         stack += [(c, inside) for c in reversed(x.children) if isinstance(c, Node)]
 
 
-def pieces(node: Node, links: bool = True) -> Iterator[str]:
+def pieces(node: Node) -> Iterator[str]:
     """Strings of an element in page order, with a space wherever a block begins or ends."""
     stack: list = [(node, False, False)]
     while stack:
@@ -128,7 +135,7 @@ def pieces(node: Node, links: bool = True) -> Iterator[str]:
                 yield x
             continue
         inside = inside or x.tag in ("article", "main")
-        if x.skip or (x.tag == "a" and not links) or (x.tag == "header" and not inside):
+        if x.skip or (x.tag == "header" and not inside):
             continue
         if x.tag == "header":
             header = True  # of a header within an article only the headings are text
@@ -141,8 +148,8 @@ def pieces(node: Node, links: bool = True) -> Iterator[str]:
         stack += [(c, inside, header) for c in reversed(x.children)]
 
 
-def text_of(node: Node, links: bool = True) -> str:
-    return " ".join("".join(pieces(node, links)).split())
+def text_of(node: Node) -> str:
+    return " ".join("".join(pieces(node)).split())
 
 
 def own_text(node: Node) -> str:
@@ -163,9 +170,27 @@ def points(text: str) -> float:
     return 1 + text.count(",") + min(len(text) / 100, 3)
 
 
-def link_density(node: Node) -> float:
-    size = len(text_of(node))
-    return 1 - len(text_of(node, links=False)) / size if size else 0.0
+def link_densities(root: Node) -> dict[int, float]:
+    """Share of link text in the text of every element, spaces aside; one pass from the leaves up."""
+    order, stack = [], [(root, False)]
+    while stack:
+        x, linked = stack.pop()
+        linked = linked or x.tag == "a"
+        order.append((x, linked))
+        if not x.skip:
+            stack += [(c, linked) for c in x.children if isinstance(c, Node)]
+    size: dict[int, tuple[int, int]] = {}
+    for x, linked in reversed(order):
+        total = links = 0
+        for c in () if x.skip else x.children:
+            if isinstance(c, Node):
+                n, of_links = size[id(c)]
+            else:
+                n = len("".join(c.split()))
+                of_links = n if linked else 0
+            total, links = total + n, links + of_links
+        size[id(x)] = total, links
+    return {k: links / total if total else 0.0 for k, (total, links) in size.items()}
 
 
 def extract(page: str | None) -> str:
@@ -194,7 +219,8 @@ def extract(page: str | None) -> str:
             up, level = up.parent, level + 1
     if not scored:
         return text_of(root)
-    final = {k: n.score * (1 - link_density(n)) for k, n in scored.items()}
+    density = link_densities(root)
+    final = {k: n.score * (1 - density[k]) for k, n in scored.items()}
     top = scored[max(final, key=final.get)]
     up = top
     while up is not None and up.tag not in ("article", "main"):
@@ -211,7 +237,7 @@ def extract(page: str | None) -> str:
         same = node is top or final.get(id(node), 0.0) >= max(10.0, best / 5)
         if not same and node.tag == "p":
             text = text_of(node)
-            same = len(text) > 80 and link_density(node) < 0.25
+            same = len(text) > 80 and density[id(node)] < 0.25
         if same:
             out.append(text_of(node) if node.tag != "header" else "")
     return " ".join(t for t in out if t)

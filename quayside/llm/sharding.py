@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 SHARDS = 8
-SLICES = 1024
+SLICES = 1024  # at least
+SLICE_ROWS = 1 << 20  # rows a slice holds, on average, at most
 SEED = 17
 
 

@@ -36,6 +36,17 @@ def test_pages_without_article():
         assert isinstance(html.extract(nothing), str)
 
 
+def test_broken_markup_is_no_text():
+    assert html.extract("<p>one, two</p><![foo[ bar ]]><![if x]><p>three, four</p>") == "one, two three, four"
+    for tail in ("<a href='/x", "<!-- cut", "</arti", "<![CDATA[ cut", "<?php cut"):
+        assert html.extract("<article><p>one, two</p>" + tail) == "one, two"
+    assert html.extract("<p>1 < 2, 3 <") == "1 < 2, 3 <"
+
+
+def test_deep_pages_take_linear_time():
+    assert html.extract("<div>x y" * 20000).count("x") == 20000
+
+
 def test_page_table(spark):
     rows = [(1, "u", PAGE, "x"), (1, "u", PAGE, "x"), (None, None, None, None), (3, "v", "", "y")]
     pages = spark.createDataFrame(rows, "page_id bigint, url string, html string, text string")
