@@ -47,7 +47,7 @@ def interleaved(rows: DataFrame, source: str, order: list[str], slices: int = SL
     spread = ranked.join(starts, on).withColumn("__f", place)
     spread = spread.withColumn("__t", F.least(F.floor(F.col("__f") * slices), F.lit(slices - 1)).cast("int"))
     spread = spread.select(*rows.columns, "__h", "__f", "__t")
-    # At most `slices` rows in all.
+    # At most `slices` rows in all, one for a million documents.
     counts = spread.groupBy("__t").agg(F.count("*").alias("__c"))
     offsets = counts.select(
         F.col("__t").alias("__slice"), (F.sum("__c").over(Window.orderBy("__t")) - F.col("__c")).alias("__before")
@@ -74,8 +74,9 @@ def shards(docs: DataFrame, count: int = SHARDS, key: str = "doc_id", text: str
         F.crc32(whole).alias("text_crc32"),
         F.col(source).alias("source"),
     )
-    placed = interleaved(rows, "source", ["doc_id", "size", "text_crc32"], slices, seed)
     total = docs.agg(F.count("*")).first()[0]
+    slices = max(slices, -(-total // SLICE_ROWS))
+    placed = interleaved(rows, "source", ["doc_id", "size", "text_crc32"], slices, seed)
     # Whole-number division: positions may pass what a double holds exactly.
     shard = F.expr(f"(position * {count}L) div {max(1, total)}L")
     first = F.expr(f"(shard * {max(1, total)}L + {count - 1}L) div {count}L")
