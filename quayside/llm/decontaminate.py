@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from array import array
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from quayside.llm.common import DROP, map_rows, rewrite_text, stored
 
 N = 10
-BLOCK_BYTES = 32 << 20  # benchmark text held by a task at a time
+BLOCK_BYTES = 16 << 20  # benchmark text held by a task at a time, about half a gigabyte as windows
 DROP_SHARE = 0.5  # documents with at least this share of benchmark words go, others lose the words
 
 # Word characters are digits, letters a-z after lower-casing, and all beyond ASCII.
@@ -35,17 +36,25 @@ def spans(text: bytes) -> list[tuple[int, int]]:
 
 
 class Grams:
-    """The windows of some items: word numbers, and for each window the items that have it."""
+    """The windows of some items: word numbers, and for each window the items that have it.
+
+    A window is the bytes of its word numbers, four to a word.
+    """
 
     def __init__(self, items: list[tuple[str | None, bytes | None]], n: int = N):
         self.vocabulary: dict[bytes, int] = {}
-        self.windows: dict[tuple, set] = {}
+        self.windows: dict[bytes, tuple | set] = {}  # most have one item, for which a set is large
         for item, text in items:
-            ids = [self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in words(text)]
-            size = min(n, len(ids))
+            ids = array("I", [self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in words(text)])
+            size, flat, owner = min(n, len(ids)), ids.tobytes(), (item,)
             for i in range(len(ids) - size + 1 if ids else 0):
-                self.windows.setdefault(tuple(ids[i : i + size]), set()).add(item)
-        self.sizes = sorted({len(w) for w in self.windows})
+                window = flat[4 * i : 4 * (i + size)]
+                known = self.windows.setdefault(window, owner)
+                if isinstance(known, set):
+                    known.add(item)
+                elif known != owner:
+                    self.windows[window] = {*known, item}
+        self.sizes = sorted({len(w) // 4 for w in self.windows})
 
     def hits(self, parts: list[bytes]) -> tuple[list[tuple[int, int]], set]:
         """Word spans of the windows that occur, merged, and the items they belong to."""
@@ -54,15 +63,16 @@ class Grams:
         ids = list(map(self.vocabulary.get, parts))
         found: list[tuple[int, int]] = []
         items: set = set()
-        start = 0
+        start, least = 0, self.sizes[0]
         # Only runs of words that the benchmark knows can hold one of its windows.
         for end in [i for i, x in enumerate(ids) if x is None] + [len(ids)]:
-            for size in self.sizes:
-                for i in range(start, end - size + 1):
-                    owners = self.windows.get(tuple(ids[i : i + size]))
+            flat = array("I", ids[start:end]).tobytes() if end - start >= least else b""
+            for size in self.sizes if flat else ():
+                for i in range(end - start - size + 1):
+                    owners = self.windows.get(flat[4 * i : 4 * (i + size)])
                     if owners:
-                        found.append((i, i + size))
-                        items |= owners
+                        found.append((start + i, start + i + size))
+                        items.update(owners)
             start = end + 1
         return merged(found), items
 
@@ -173,8 +183,10 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", n:
                   share: float = DROP_SHARE, limit: int = BLOCK_BYTES) -> DataFrame:
     """Documents without benchmark passages: spans are cut, documents mostly made of them dropped.
 
-    Clean documents, NULL and empty texts pass unchanged, as do all other columns.
+    Clean documents, NULL and empty texts pass unchanged, as do all other columns; only a column
+    ``n_chars`` follows the text.
     """
+    kinds = docs.schema
     for number, block in enumerate(blocks(benchmark, text=text, limit=limit)):
 
         def work(lists: Iterator[list], block=block) -> Iterator[list]:
@@ -183,4 +195,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", n:
                 yield [cut(t, grams, share) for t in texts]
 
         docs = rewrite_text(stored(docs, "decontaminate") if number else docs, work, text)
+    if "n_chars" in docs.columns:
+        length = F.length(text).cast(kinds["n_chars"].dataType)
+        docs = docs.withColumn("n_chars", F.coalesce(length, F.col("n_chars")))
     return docs

@@ -99,6 +99,7 @@ def test_decontamination_against_all_windows(spark, frame):
         assert sorted(map(tuple, got)) == want
     kept = decontaminate.decontaminate(frame(texts), benchmark)
     assert kept.columns == frame([]).columns
+    assert all(r["n_chars"] == len(r["text"] or "") for r in kept.collect())
     left = {r["doc_id"]: r["text"] for r in kept.collect()}
     assert left[0] is None and left[1] == "" and left[3] == texts[3]
     assert 5 not in left and 4 not in left
