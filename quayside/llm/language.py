@@ -35,10 +35,15 @@ FAMILIES = {
     "celtic": "ga cy br gd",
 }
 _FAMILY = {code: family for family, codes in FAMILIES.items() for code in codes.split()}
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = re.compile(r"[^\W\d_]")  # or a number sign such as ½
 _OTHER = re.compile(r"[\W\d_]+")
 
 
+def lettered(text: str) -> bool:
+    """Whether there is a letter in it."""
+    return any(m[0].isalpha() for m in _LETTER.finditer(text))
+
+
 def family(code: str) -> str:
     return _FAMILY.get(code.lower().split("-")[0], "other")
 
@@ -82,7 +87,7 @@ class Model:
     def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
         """Language and score from 0 to 1 of each text; ``und`` with 0 without any letter."""
         out = [(UNKNOWN, 0.0)] * len(texts)
-        rows = [i for i, t in enumerate(texts) if t and _LETTER.search(t)]
+        rows = [i for i, t in enumerate(texts) if t and lettered(t)]
         if not rows or not self.families:
             return out
         x = np.stack([features(texts[i]) for i in rows])
@@ -152,7 +157,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE, key: str = "doc_id", text: str =
 
     def work(rows: Iterator[tuple]) -> Iterator[tuple]:
         for t, c in rows:
-            if _LETTER.search(t):
+            if lettered(t):
                 yield features(t).tobytes(), c
 
     rows = map_rows(taken, work, "x binary, c string").limit(2 * sample).collect()

@@ -55,7 +55,7 @@ def test_page_table(spark):
     assert html.main_texts(pages.limit(0)).count() == 0
 
 
-def test_shards_hold_the_mixture(frame):
+def test_shards_hold_the_mixture(frame, monkeypatch):
     sources = ["big"] * 500 + ["mid"] * 90 + [None] * 50 + [f"one{i}" for i in range(40)]
     rows = [(i, f"text {i}", "en", s, 0, "", "", 0) for i, s in enumerate(sources)]
     rows += [(None, None, None, "big", None, "", "", 0)] * 5
@@ -70,6 +70,10 @@ def test_shards_hold_the_mixture(frame):
         each = Counter(g["shard"] for g in got if g["doc_id"] is not None and source[g["doc_id"]] == s)
         assert max(each.values()) - min(each[k] for k in range(8)) <= 2 + 5 * (s == "big"), (s, n, each)
     assert {(g["size"], g["text_crc32"]) for g in got if g["doc_id"] is None} == {(1, 0)}
+    monkeypatch.setattr(sharding, "SLICE_ROWS", 10)
+    again = sharding.shards(frame(rows).repartition(7), slices=16).collect()
+    assert sorted(g["shard"] for g in again) == sorted(g["shard"] for g in got)
+    monkeypatch.undo()
     again = sharding.shards(frame(rows).repartition(7), slices=16).collect()
     assert Counter(map(tuple, again)) == Counter(map(tuple, got))
     assert sharding.shards(frame([])).count() == 0
@@ -116,7 +120,7 @@ def test_collision_guarantee():
 def test_languages(frame):
     letters = {"en": "etaoinshr", "de": "enisratdü", "fr": "esaitnéèu", "es": "eaosnrñóc"}
     rows = [(i, prose(i, 5 + i % 40, letters[c]), c, "s", 0, "", "", 0) for i in range(400) for c in [list(letters)[i % 4]]]
-    odd = [None, "", "123 456 !!", "é"]
+    odd = [None, "", "123 456 ½² !!", "é"]
     rows += [(1000 + i, t, "en", "s", 0, "", "", 0) for i, t in enumerate(odd)] + [(None, prose(1, 50, letters["fr"]), None, None, 0, "", "", 0)]
     got = language.identify(frame(rows)).collect()
     assert len(got) == len(rows) and all(0 <= g["score"] <= 1 for g in got)
