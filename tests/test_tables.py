@@ -22,7 +22,7 @@ def test_declared_types(declared, target):
     assert target_type(target) == target
 
 
-def test_json_targets_and_spark_types():
+def test_json_targets_and_spark_types(spark):
     assert target_type("JSON", json="jsonb") == "jsonb"
     assert spark_type("numeric(10, 2)").simpleString() == "decimal(10,2)"
     assert spark_type("numeric").simpleString() == "decimal(38,18)"
