@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from quayside.llm.common import DROP, map_rows, rewrite_text, stored
 
 N = 10
-BLOCK_BYTES = 16 << 20  # benchmark text held by a task at a time, about half a gigabyte as windows
+BLOCK_BYTES = 16 << 20  # benchmark text held by a task at a time, about 0.3 GB as windows
 DROP_SHARE = 0.5  # documents with at least this share of benchmark words go, others lose the words
 
 # Word characters are digits, letters a-z after lower-casing, and all beyond ASCII.
