@@ -1,0 +1,80 @@
+import random
+
+import numpy as np
+
+from conftest_llm import prose
+from quayside.llm import similar
+
+
+def slow_shingles(text):
+    words = (text or "").lower().split()
+    return {" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def slow_kept(docs):
+    """Least id of each group joined by a Jaccard similarity of 0.8, from all pairs."""
+    sets = {i: slow_shingles(t) for i, t in docs}
+    label = {i: i for i in sets}
+    changed = True
+    while changed:
+        changed = False
+        for a in sets:
+            for b in sets:
+                x, y = sets[a], sets[b]
+                if label[a] < label[b] and (x == y or len(x & y) >= 0.8 * len(x | y)):
+                    label[b] = label[a]
+                    changed = True
+    return sorted(set(label.values()))
+
+
+def edited(r, text, edits):
+    words = text.split()
+    for _ in range(edits):
+        words[r.randrange(len(words))] = prose(r.random(), 1)
+    return " ".join(words)
+
+
+def test_near_copies_against_all_pairs(frame):
+    r = random.Random(8)
+    texts = [None, "", "  ", "one", "One", "one two three four", "one two three four five"]
+    for seed in range(25):
+        first = prose(1000 + seed, r.randint(20, 300))
+        texts += [first, *(edited(r, first, r.randint(0, 5)) for _ in range(4)), prose(2000 + seed, 120)]
+    r.shuffle(texts)
+    docs = list(enumerate(texts))
+    want = slow_kept(docs)
+    assert 40 < len(want) < 120
+    for bucket in (similar.BUCKET, 4):  # lists as they are, and dealt
+        kept = similar.drop_similar(frame(texts), bucket=bucket)
+        assert sorted(x["doc_id"] for x in kept.collect()) == want
+
+
+def test_the_stage_finds_copies_beyond_two_bits(spark, frame):
+    import corpus_pipeline
+    from quayside.llm import simhash
+
+    first = prose(5, 400)
+    texts = [first, *(edited(random.Random(i), first, 4) for i in range(6)), prose(6, 400)]
+    prints = [simhash.fingerprint(t.encode()) for t in texts[:7]]
+    assert any(min((p ^ q).bit_count() for q in prints if q != p) > simhash.RADIUS for p in prints)
+    kept = corpus_pipeline.near_dedup(spark, frame(texts), "")
+    assert sorted(x["doc_id"] for x in kept.collect()) == [0, 7]
+
+
+def test_bands_keep_their_chance():
+    r = np.random.default_rng(2)
+    missed = 0
+    for _ in range(1500):
+        held = r.integers(1 << 63, size=200, dtype=np.uint64)
+        a, b = np.sort(held[:180]), np.sort(held[20:])  # 160 of 200
+        missed += set(enumerate(similar.bands(a))).isdisjoint(enumerate(similar.bands(b)))
+    assert missed <= 1
+
+
+def test_odd_rows(frame):
+    assert similar.drop_similar(frame([])).count() == 0
+    lone = frame([(None, "a b c d", None, None, None, "", "", 0)] * 2)
+    assert similar.drop_similar(lone).count() == 1
+    docs = frame([(2, prose(1, 50), None, None, None, "", "", 0), (None, prose(1, 50), None, None, None, "", "", 0)])
+    kept = similar.drop_similar(docs)
+    assert kept.columns == docs.columns and [x["doc_id"] for x in kept.collect()] == [2]
