@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 from collections import Counter
 from dataclasses import dataclass
@@ -14,7 +15,7 @@ LEAST = 0.8  # containment of a template's shingles in a window
 ROWS = 1  # MinHash values per band
 BANDS = 12
 SLACK = 4  # a window is a template's length plus this part of it, and moves by that part
-TEMPLATES = 200  # more are refused: they travel inside the plan
+TEMPLATES = 200  # more are refused: they travel inside the plan, as one constant
 
 # Licence notices as published.
 NOTICES = {
@@ -66,6 +67,138 @@ NOTICES = {
     ),
 }
 
+# The Creative Commons licences by their elements: short form, name, and versions in use.
+_COMMONS = {
+    "BY": "Attribution",
+    "BY-SA": "Attribution-ShareAlike",
+    "BY-NC": "Attribution-NonCommercial",
+    "BY-ND": "Attribution-NoDerivatives",
+    "BY-NC-SA": "Attribution-NonCommercial-ShareAlike",
+    "BY-NC-ND": "Attribution-NonCommercial-NoDerivatives",
+}
+for _short, _long in _COMMONS.items():
+    _name = f"cc-{_short.lower()}"
+    NOTICES[f"{_name}-short"] = (f"CC-{_short}-4.0", f"Licensed under CC {_short} 4.0.")
+    NOTICES[f"{_name}-3-short"] = (f"CC-{_short}-3.0", f"Licensed under CC {_short} 3.0.")
+    NOTICES.setdefault(
+        f"{_name}-notice",
+        (f"CC-{_short}-4.0", f"This work is licensed under a Creative Commons {_long} 4.0 International License."),
+    )
+    _long = _long.replace("NoDerivatives", "NoDerivs")
+    NOTICES[f"{_name}-3-notice"] = (
+        f"CC-{_short}-3.0",
+        f"This work is licensed under a Creative Commons {_long} 3.0 Unported License.",
+    )
+
+# One-line notices "Licensed under ..." of other licences.
+for _name, _code, _title in (
+    ("gpl3", "GPL-3.0", "the GNU General Public License v3.0"),
+    ("gpl2", "GPL-2.0", "the GNU General Public License v2.0"),
+    ("lgpl3", "LGPL-3.0", "the GNU Lesser General Public License, version 3"),
+    ("lgpl21", "LGPL-2.1", "the GNU Lesser General Public License, version 2.1"),
+    ("agpl3", "AGPL-3.0", "the GNU Affero General Public License, version 3"),
+    ("gfdl", "GFDL", "the GNU Free Documentation License"),
+    ("epl2", "EPL-2.0", "the Eclipse Public License 2.0"),
+    ("epl1", "EPL-1.0", "the Eclipse Public License 1.0"),
+    ("mpl2", "MPL-2.0", "the Mozilla Public License 2.0"),
+    ("cddl", "CDDL", "the Common Development and Distribution License"),
+    ("eupl", "EUPL-1.2", "the European Union Public Licence"),
+    ("bsd2", "BSD", "the BSD 2-Clause License"),
+    ("isc", "ISC", "the ISC License"),
+    ("zlib", "Zlib", "the zlib License"),
+    ("boost", "BSL-1.0", "the Boost Software License, Version 1.0"),
+    ("artistic", "Artistic-2.0", "the Artistic License 2.0"),
+    ("busl", "BUSL-1.1", "the Business Source License 1.1"),
+    ("sspl", "SSPL-1.0", "the Server Side Public License"),
+    ("elastic", "Elastic-2.0", "the Elastic License 2.0"),
+    ("odbl", "ODbL-1.0", "the Open Database License"),
+    ("ofl", "OFL-1.1", "the SIL Open Font License, Version 1.1"),
+    ("polyform", "PolyForm-Noncommercial-1.0.0", "the PolyForm Noncommercial License 1.0.0"),
+):
+    NOTICES[f"{_name}-licensed"] = (_code, f"Licensed under {_title}.")
+
+_AS_IS = (
+    'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO '
+    "THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE "
+    "AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF "
+    "CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS "
+    "IN THE SOFTWARE."
+)
+# Whole short licences, and long ones by the title and opening that every copy of them has.
+NOTICES |= {
+    "mit-text": (
+        "MIT",
+        f"{NOTICES['mit-grant'][1]}, subject to the following conditions: The above copyright notice and this "
+        f"permission notice shall be included in all copies or substantial portions of the Software. {_AS_IS}",
+    ),
+    "bsd2-text": (
+        "BSD",
+        f"{NOTICES['bsd-grant'][1]}: 1. Redistributions of source code must retain the above copyright notice, this "
+        "list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above "
+        "copyright notice, this list of conditions and the following disclaimer in the documentation and/or other "
+        "materials provided with the distribution.",
+    ),
+    "unlicense-text": (
+        "Unlicense",
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, "
+        "publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, "
+        "for any purpose, commercial or non-commercial, and by any means.",
+    ),
+    "unlicense-notice": ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    "public-domain": ("Public-Domain", "This work has been released into the public domain."),
+    "cc0-notice": (
+        "CC0-1.0",
+        "To the extent possible under law, the author has waived all copyright and related or neighboring rights to "
+        "this work.",
+    ),
+    "cc0-licensed": ("CC0-1.0", "Licensed under CC0 1.0 Universal."),
+    "cc0-title": ("CC0-1.0", "CC0 1.0 Universal (CC0 1.0) Public Domain Dedication"),
+    "zlib-text": (
+        "Zlib",
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be "
+        "held liable for any damages arising from the use of this software. Permission is granted to anyone to use "
+        "this software for any purpose, including commercial applications, and to alter it and redistribute it freely",
+    ),
+    "boost-text": (
+        "BSL-1.0",
+        "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software "
+        'and accompanying documentation covered by this license (the "Software") to use, reproduce, display, '
+        "distribute, execute, and transmit the Software",
+    ),
+    "boost-header": ("BSL-1.0", "Distributed under the Boost Software License, Version 1.0."),
+    "0bsd-text": (
+        "0BSD",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
+        'hereby granted. THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS '
+        "SOFTWARE",
+    ),
+    "apache-text": (
+        "Apache-2.0",
+        "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/ TERMS AND CONDITIONS FOR USE, "
+        "REPRODUCTION, AND DISTRIBUTION",
+    ),
+    "gpl3-text": ("GPL-3.0", "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    "gpl2-text": ("GPL-2.0", "GNU GENERAL PUBLIC LICENSE Version 2, June 1991"),
+    "lgpl3-text": ("LGPL-3.0", "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    "lgpl21-text": ("LGPL-2.1", "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999"),
+    "agpl3-text": ("AGPL-3.0", "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007"),
+    "mpl2-text": ("MPL-2.0", "Mozilla Public License Version 2.0 1. Definitions"),
+    "epl2-text": (
+        "EPL-2.0",
+        "THE ACCOMPANYING PROGRAM IS PROVIDED UNDER THE TERMS OF THIS ECLIPSE PUBLIC LICENSE",
+    ),
+    "lgpl-header": (
+        "LGPL",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser "
+        "General Public License as published by the Free Software Foundation",
+    ),
+    "agpl-header": (
+        "AGPL-3.0",
+        "you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as "
+        "published by the Free Software Foundation",
+    ),
+}
+
 
 @dataclass(frozen=True)
 class Template:
@@ -149,7 +282,7 @@ def scan(docs: DataFrame, notices: dict[str, tuple[str, str]] = NOTICES, key: st
     :meth:`Template.signs`). A window is one template length plus a step long and moves by a
     step, so every passage of a template's length lies whole in one of them.
 
-    One pass without a shuffle; templates, a bounded number, are part of the plan. NULL and empty
+    One pass without a shuffle; templates, a bounded number, are a constant of the plan. NULL and empty
     texts have no matches. Repeated rows each get a row; other columns are not read.
     """
     found = templates(notices)
@@ -165,10 +298,10 @@ def scan(docs: DataFrame, notices: dict[str, tuple[str, str]] = NOTICES, key: st
     )
     placed = split.select(key, "w", at.alias("at"))
 
-    def best(t: Template) -> Column:
-        mine = F.filter("at", lambda p: p["x"].isin(sorted(t.signs())))
-        step, window = t.step, t.window
-        back = -(-(window - 1) // step)
+    def best(t: Column) -> Column:
+        mine = F.filter("at", lambda p: F.array_contains(t["signs"], p["x"]))
+        step, window, texts, wanted = t["step"], t["window"], t["texts"], t["wanted"]
+        back = F.ceil((window - 1) / step).cast("int")
         # Starts, as multiples of the step, of the windows over a sign.
         spots = F.array_distinct(
             F.flatten(
@@ -180,8 +313,6 @@ def scan(docs: DataFrame, notices: dict[str, tuple[str, str]] = NOTICES, key: st
                 )
             )
         )
-        texts = F.array(*[F.lit(s) for s in t.shingles])
-        wanted = F.array(*[F.lit(k) for k in keys[t.name]])
 
         def one(spot: Column) -> Column:
             start = spot * step
@@ -196,7 +327,7 @@ def scan(docs: DataFrame, notices: dict[str, tuple[str, str]] = NOTICES, key: st
                     F.transform(s, lambda x: F.xxhash64(x)),
                     lambda h: F.exists(F.zip_with(_bands(h, bands, rows), wanted, lambda a, b: a == b), lambda e: e),
                 )
-                share = F.size(F.array_intersect(s, texts)) / float(len(t.shingles))
+                share = F.size(F.array_intersect(s, texts)) / F.size(texts)
                 return F.when(F.coalesce(hit, F.lit(False)), F.struct(share.alias("share"), (-start).alias("at")))
 
             return let(shingles, judged)
@@ -206,11 +337,20 @@ def scan(docs: DataFrame, notices: dict[str, tuple[str, str]] = NOTICES, key: st
             top,
             lambda x: F.when(
                 x.isNotNull(),
-                F.struct(F.lit(t.name).alias("name"), (-x["at"]).alias("word"), x["share"].alias("containment")),
+                F.struct(t["name"].alias("name"), (-x["at"]).alias("word"), x["share"].alias("containment")),
             ),
         )
 
-    matches = F.array_compact(F.array(*[best(t) for t in found]))
+    held = [
+        {"name": t.name, "signs": sorted(t.signs()), "step": t.step, "window": t.window, "texts": t.shingles, "wanted": keys[t.name]}
+        for t in found
+    ]
+    # One expression over a constant array, so the plan does not grow with the templates.
+    kind = "name:string,signs:array<string>,step:int,window:int,texts:array<string>,wanted:array<bigint>"
+    constant = F.from_json(F.lit(json.dumps(held)), f"array<struct<{kind}>>")
+    seen = F.transform("at", lambda p: p["x"])
+    likely = F.filter(constant, lambda t: F.arrays_overlap(t["signs"], seen))
+    matches = F.array_compact(F.transform(likely, best))
     # Of templates that fit the same place, as versions of one licence do, the closest stay.
     near = F.lit(min(t.window for t in found))
     better = lambda m, o: (F.abs(o["word"] - m["word"]) <= near) & (o["containment"] > m["containment"])

@@ -111,6 +111,31 @@ def test_licences_against_all_windows(frame):
     assert licenses.report(frame([])).count() == 0
 
 
+def test_licence_families(frame):
+    texts = {
+        "Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0",
+        "Licensed under CC BY-NC-SA 4.0.": "CC-BY-NC-SA-4.0",
+        "Licensed under CC BY 4.0.": "CC-BY-4.0",
+        "Licensed under the GNU Affero General Public License, version 3.": "AGPL-3.0",
+        "Licensed under the GNU Lesser General Public License, version 3.": "LGPL-3.0",
+        "This is free and unencumbered software released into the public domain.": "Unlicense",
+        "GNU GENERAL PUBLIC LICENSE\n  Version 3, 29 June 2007\n\n Copyright (C) 2007": "GPL-3.0",
+        licenses.NOTICES["mit-text"][1]: "MIT",
+    }
+    docs = frame([f"{prose(i, 40)}. {t} {prose(60 + i, 20)}" for i, t in enumerate(texts)])
+    got = {r["doc_id"]: r["licenses"] for r in licenses.report(docs).collect()}
+    assert got == dict(enumerate(texts.values()))
+
+
+@pytest.mark.skipif(not Path("/root/testdata/sf0.01").exists(), reason="test data not present")
+def test_every_licence_sentence_of_the_table_is_found(spark):
+    from pyspark.sql import functions as F
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where(F.col("text").rlike("(?i)licensed? "))
+    assert docs.count() > 0
+    assert licenses.report(docs).where("n_matches = 0").count() == 0
+
+
 def test_collision_guarantee():
     assert min(licenses.collision_chance(t) for t in licenses.templates()) > 0.999
     with pytest.raises(ValueError):
