@@ -6,10 +6,11 @@ import uuid
 from array import array
 from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quayside.llm.common import DROP, map_rows, rewrite_text, stored
+from quayside.llm.common import DROP, map_rows, stored
 
 N = 10
 BLOCK_BYTES = 16 << 20  # benchmark text held by a task at a time, about 0.3 GB as windows
@@ -88,7 +89,7 @@ def merged(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def blocks(benchmark: DataFrame, item: str = "item_id", text: str = "text", limit: int = BLOCK_BYTES):
-    """The benchmark as named broadcast sets, each made of at most about ``limit`` bytes of text.
+    """The benchmark as named broadcast sets, each made of at most about ``limit`` bytes of text; and whether it is the last.
 
     The size is checked first. A benchmark above it is dealt by hash into several blocks, made one
     at a time, so neither the driver nor a task ever holds more than one.
@@ -100,7 +101,8 @@ def blocks(benchmark: DataFrame, item: str = "item_id", text: str = "text", limi
     for k in range(count):
         part = rows if count == 1 else rows.where(F.pmod(F.xxhash64("t"), F.lit(count)) == k)
         held = [tuple(r) for r in part.collect()]
-        yield uuid.uuid4().hex, spark.sparkContext.broadcast([(i, bytes(t or b"")) for i, t in held])
+        made = spark.sparkContext.broadcast([(i, bytes(t or b"")) for i, t in held])
+        yield (uuid.uuid4().hex, made), k == count - 1
 
 
 _MADE: dict = {}
@@ -131,7 +133,7 @@ def find(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str =
         F.col(key), F.col(text).cast("binary").alias("t"), F.lit(0).cast("bigint").alias("n_words"),
         none.alias("hits"), empty.alias("items"),
     )
-    for number, block in enumerate(blocks(benchmark, text=text, limit=limit)):
+    for number, (block, _) in enumerate(blocks(benchmark, text=text, limit=limit)):
 
         def scan(rows: Iterator[tuple], block=block) -> Iterator[tuple]:
             grams = _grams(block, n)
@@ -161,18 +163,14 @@ def contamination(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame
     )
 
 
-def cut(text: str | None, grams: Grams, share: float = DROP_SHARE) -> object:
-    """The text without benchmark passages, or ``DROP`` when they make up most of it."""
-    if not text:
+def cut(text: str | None, found: list[tuple[int, int]], share: float = DROP_SHARE) -> object:
+    """The text without the given spans of words, or ``DROP`` when they make up most of it."""
+    if not text or not found:
         return text
     raw = text.encode()
-    parts = words(raw)
-    found, _ = grams.hits(parts)
-    if not found:
-        return text
-    if sum(b - a for a, b in found) >= share * len(parts):
-        return DROP
     places, out, at = spans(raw), [], 0
+    if sum(b - a for a, b in found) >= share * len(places):
+        return DROP
     for a, b in found:
         out.append(raw[at : places[a][0]])
         at = places[b - 1][1]
@@ -183,18 +181,37 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", n:
                   share: float = DROP_SHARE, limit: int = BLOCK_BYTES) -> DataFrame:
     """Documents without benchmark passages: spans are cut, documents mostly made of them dropped.
 
-    Clean documents, NULL and empty texts pass unchanged, as do all other columns; only a column
-    ``n_chars`` follows the text.
+    The hits of all blocks are found in the unchanged text, each pass adding those of its block;
+    the last one decides once per document. Clean documents, NULL and empty texts pass unchanged,
+    as do all other columns; only a column ``n_chars`` follows the text.
     """
-    kinds = docs.schema
-    for number, block in enumerate(blocks(benchmark, text=text, limit=limit)):
+    kinds, place, last = docs.schema, docs.columns.index(text), len(docs.columns)
+    marked = docs.withColumn("__hits", F.array().cast("array<bigint>"))  # ends of spans, two by two
+    for number, (block, final) in enumerate(blocks(benchmark, text=text, limit=limit)):
 
-        def work(lists: Iterator[list], block=block) -> Iterator[list]:
+        def run(batches: Iterator[pa.RecordBatch], block=block, final=final) -> Iterator[pa.RecordBatch]:
             grams = _grams(block, n)
-            for texts in lists:
-                yield [cut(t, grams, share) for t in texts]
-
-        docs = rewrite_text(stored(docs, "decontaminate") if number else docs, work, text)
+            for batch in batches:
+                for start in range(0, batch.num_rows, 512):
+                    piece = batch.slice(start, 512)
+                    texts, before = piece.column(place).to_pylist(), piece.column(last).to_pylist()
+                    hits = [
+                        merged([*zip(h[::2], h[1::2], strict=True), *grams.hits(words(t.encode() if t else None))[0]])
+                        for t, h in zip(texts, before, strict=True)
+                    ]
+                    if final:
+                        made = [cut(t, h, share) for t, h in zip(texts, hits, strict=True)]
+                        keep = pa.array([x is not DROP for x in made])
+                        column = pa.array([None if x is DROP else x for x in made], type=piece.schema.field(place).type)
+                        piece = piece.set_column(place, piece.schema.field(place), column).filter(keep)
+                        yield piece.select(list(range(last)))
+                    else:
+                        field = piece.schema.field(last)
+                        column = pa.array([[x for ab in h for x in ab] for h in hits], type=field.type)
+                        yield piece.set_column(last, field, column)
+
+        marked = (stored(marked, "decontaminate") if number else marked).mapInArrow(run, kinds if final else marked.schema)
+    docs = marked
     if "n_chars" in docs.columns:
         length = F.length(text).cast(kinds["n_chars"].dataType)
         docs = docs.withColumn("n_chars", F.coalesce(length, F.col("n_chars")))

@@ -110,6 +110,22 @@ def test_decontamination_against_all_windows(spark, frame):
     assert decontaminate.contamination(frame([]), benchmark).count() == 0
 
 
+def test_decontamination_does_not_depend_on_blocks(spark, frame):
+    passage = prose(700, 40).split()
+    # Overlapping items, and enough others that they are dealt to several blocks.
+    items = [(i, " ".join(passage[3 * i : 3 * i + 13])) for i in range(10)]
+    items += [(100 + i, prose(800 + i, 20)) for i in range(20)]
+    texts = [None, "", prose(1, 60), " ".join(passage) + " " + prose(2, 20), prose(3, 90) + " " + " ".join(passage)]
+    texts += [" ".join(prose(800 + i + j, 20) for j in range(4)) + " " + prose(40 + i, 70) for i in range(8)]
+    texts += [prose(60, 20) + " " + prose(800, 20)[:40] + " " + prose(801, 20) + " " + prose(61, 25)]
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    one = sorted(map(tuple, decontaminate.decontaminate(frame(texts), benchmark).collect()), key=lambda r: r[0])
+    many = decontaminate.decontaminate(frame(texts), benchmark, limit=400)
+    assert many.columns == frame([]).columns
+    assert sorted(map(tuple, many.collect()), key=lambda r: r[0]) == one
+    assert 3 not in {r[0] for r in one} and 4 in {r[0] for r in one}
+
+
 # --- packing
 
 
