@@ -18,7 +18,7 @@ BLOCK = frozenset(
     "tfoot th thead tr ul".split()
 )
 NEVER = frozenset(
-    "head script style noscript template iframe object svg math canvas nav footer aside form button select textarea "
+    "head script style noscript template iframe object svg math canvas nav footer aside button select textarea "
     "input menu dialog title".split()
 )
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
@@ -42,15 +42,20 @@ UNLIKELY = frozenset(
     "skyscraper social sponsor sponsored sponsors subscribe subscription taboola tags toolbar tooltip widget widgets".split()
 )
 ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu menubar".split())
+WHOLE = 0.6  # share of the page's text outside links that shows a doubtful element to be the page itself
+TINY = 80  # characters; a shorter result is tried again with doubtful elements
 _TOKEN = re.compile(r"[a-z]+")
 _CUT_OFF = re.compile(r"<[a-zA-Z/!?]")
 
 
 class Node:
-    __slots__ = ("children", "parent", "score", "skip", "tag")
+    __slots__ = ("children", "doubt", "header", "parent", "score", "skip", "tag", "within")
 
     def __init__(self, tag: str, parent: Node | None, skip: bool = False):
         self.tag, self.parent, self.skip, self.score = tag, parent, skip, 0.0
+        self.doubt = False  # its names, or that it is a form, say that it may be no content
+        self.within = parent is not None and (parent.within or parent.tag in ("article", "main"))
+        self.header = tag == "header"
         self.children: list[Node | str] = []
 
 
@@ -64,7 +69,8 @@ class _Builder(HTMLParser):
             self._end({"p"}, {"table", "article", "section", "div", "body", "button"})
         if tag in IMPLIED:
             self._end(*IMPLIED[tag])
-        node = Node(tag, self.at, tag in NEVER or self._boilerplate(tag, attrs))
+        node = Node(tag, self.at, tag in NEVER)
+        self._judge(node, dict(attrs))
         self.at.children.append(node)
         if tag not in VOID:
             self.at = node
@@ -93,15 +99,17 @@ class _Builder(HTMLParser):
                 return
             node = node.parent
 
-    def _boilerplate(self, tag: str, attrs: list) -> bool:
-        """Whether the element's names say that it is no content; never for whole pages or articles."""
-        if tag in ("html", "body", "article", "main"):
-            return False
-        given = dict(attrs)
-        if "hidden" in given or (given.get("role") or "").lower() in ROLES:
-            return True
+    def _judge(self, node: Node, given: dict) -> None:
+        """What the element's attributes say about it; nothing for whole pages or articles."""
+        if node.tag in ("html", "body", "article", "main"):
+            return
+        node.skip |= "hidden" in given or (given.get("role") or "").lower() in ROLES
         names = f"{given.get('class') or ''} {given.get('id') or ''}".lower()
-        return bool(names.strip()) and not UNLIKELY.isdisjoint(_TOKEN.findall(names))
+        telling = UNLIKELY.intersection(_TOKEN.findall(names)) if names.strip() else ()
+        if node.within and telling == {"header"}:
+            node.header = True  # the head of an article, whatever its tag
+        elif telling or node.tag == "form":
+            node.doubt = True
 
 
 def parse(page: str) -> Node:
@@ -113,13 +121,46 @@ def parse(page: str) -> Node:
     return builder.root
 
 
+def settle(root: Node) -> bool:
+    """Skip the doubtful elements that are no content, and tell whether there are any.
+
+    One that holds the page's only articles, or most of its text outside links, is the page's frame
+    and stays; what is doubtful inside it is judged by itself.
+    """
+    order, stack = [], [(root, False, False)]
+    while stack:
+        x, linked, doubted = stack.pop()
+        linked, doubted = linked or x.tag == "a", doubted or x.doubt
+        order.append((x, linked, doubted))
+        if not x.skip:
+            stack += [(c, linked, doubted) for c in x.children if isinstance(c, Node)]
+    if not any(x.doubt for x, _, _ in order):
+        return False
+    plain = any(x.tag in ("article", "main") and not doubted for x, _, doubted in order)
+    size: dict[int, tuple[int, bool]] = {}
+    for x, linked, _ in reversed(order):
+        total, holds = 0, x.tag in ("article", "main") and not x.skip
+        for c in () if x.skip else x.children:
+            if isinstance(c, Node):
+                total, holds = total + size[id(c)][0], holds or size[id(c)][1]
+            elif not linked:
+                total += len("".join(c.split()))
+        size[id(x)] = total, holds
+    page, dropped = size[id(root)][0], False
+    for x, _, _ in order:
+        total, holds = size[id(x)]
+        if x.doubt and not x.skip and not (holds and not plain) and not (page and total >= WHOLE * page):
+            x.skip = dropped = True
+    return dropped
+
+
 def visible(node: Node) -> Iterator[Node]:
     """Elements in page order, without those that are no content; no recursion, pages may be deep."""
     stack = [(node, False)]
     while stack:
         x, inside = stack.pop()
         inside = inside or x.tag in ("article", "main")
-        if x.skip or (x.tag == "header" and not inside):
+        if x.skip or (x.header and not inside):
             continue
         yield x
         stack += [(c, inside) for c in reversed(x.children) if isinstance(c, Node)]
@@ -135,9 +176,9 @@ def pieces(node: Node) -> Iterator[str]:
                 yield x
             continue
         inside = inside or x.tag in ("article", "main")
-        if x.skip or (x.tag == "header" and not inside):
+        if x.skip or (x.header and not inside):
             continue
-        if x.tag == "header":
+        if x.header:
             header = True  # of a header within an article only the headings are text
         elif x.tag in HEADINGS:
             header = False
@@ -200,11 +241,22 @@ def extract(page: str | None) -> str:
     level beyond; scores are discounted by the share of link text. The best container is kept
     with those of its siblings that score a fifth of it, or that are paragraphs of low link
     density; within an ``article`` or ``main`` element that is the container, and only sections
-    and articles are its siblings. A page without paragraphs gives the text of its body.
+    and articles are its siblings. A page without paragraphs gives the text of its body. Forms, and
+    elements whose names say that they are no content, are left out unless they frame the page
+    (:func:`settle`); a page that then has hardly any text is tried again with them.
     """
     if not page or not page.strip():
         return ""
     root = parse(page)
+    dropped = settle(root)
+    text = main_text(root)
+    if dropped and len(text) < TINY:
+        text = max(text, main_text(parse(page)), key=len)
+    return text
+
+
+def main_text(root: Node) -> str:
+    """The text of the best container of a parsed page."""
     scored: dict[int, Node] = {}
     for node in visible(root):
         text = own_text(node) if node.tag in PARAGRAPHS or node.tag in ("div", "section", "article", "main") else ""
@@ -239,7 +291,7 @@ def extract(page: str | None) -> str:
             text = text_of(node)
             same = len(text) > 80 and density[id(node)] < 0.25
         if same:
-            out.append(text_of(node) if node.tag != "header" else "")
+            out.append(text_of(node) if not node.header else "")
     return " ".join(t for t in out if t)
 
 

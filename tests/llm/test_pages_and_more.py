@@ -36,6 +36,23 @@ def test_pages_without_article():
         assert isinstance(html.extract(nothing), str)
 
 
+def test_frames_with_unlikely_names_keep_their_page():
+    words = ", ".join(prose(i, 30) for i in range(3))
+    article = f"<article><h1>Head line</h1><p>{words}</p></article>"
+    side = "<div class='sidebar'><p>about us, and more, and more</p></div>"
+    for page in (
+        f"<body><div class='layout with-sidebar'>{article}{side}</div></body>",
+        f"<body><form id='aspnetForm'>{article}{side}</form></body>",
+        f"<body><form><nav>menu</nav><div><h1>Head line</h1><p>{words}</p></div>{side}</form></body>",
+        f"<body><article><header class='entry-header'><h1>Head line</h1></header><p>{words}</p></article></body>",
+        f"<body><article><div class='post-header'><h1>Head line</h1>by</div><p>{words}</p></article>{side}</body>",
+    ):
+        assert html.extract(page) == f"Head line {words}"
+    lone = "<body><ul><li>" + prose(9, 40) + "</li></ul><div class='widget'><p>Short text.</p></div></body>"
+    assert "about" not in html.extract(lone.replace("</body>", side + "</body>"))
+    assert html.extract("<body><div class='promo'><p>Only this</p></div></body>") == "Only this"
+
+
 def test_broken_markup_is_no_text():
     assert html.extract("<p>one, two</p><![foo[ bar ]]><![if x]><p>three, four</p>") == "one, two three, four"
     for tail in ("<a href='/x", "<!-- cut", "</arti", "<![CDATA[ cut", "<?php cut"):
