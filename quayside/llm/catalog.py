@@ -10,6 +10,7 @@ from quayside.llm import (
     language,
     licenses,
     packing,
+    periodic,
     pii,
     quality,
     sharding,
@@ -59,6 +60,10 @@ def op10_language(spark, d):
     return language.identify(table(spark, d, "documents"))
 
 
+def op13_periodic(spark, d):
+    return periodic.run_report(table(spark, d, "documents"), plant=True)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -72,6 +77,7 @@ QUERIES = {
         op8_quality,
         op9_decontaminate,
         op10_language,
+        op13_periodic,
     )
 }
 
