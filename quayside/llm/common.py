@@ -35,11 +35,16 @@ def stored(rows: DataFrame, name: str) -> DataFrame:
 
 
 def map_rows(
-    rows: DataFrame, work: Callable[[Iterator[tuple]], Iterable[tuple]], schema: str | T.StructType
+    rows: DataFrame,
+    work: Callable[[Iterator[tuple]], Iterable[tuple]],
+    schema: str | T.StructType,
+    taken: int = 512,
+    given: int = OUT_ROWS,
 ) -> DataFrame:
     """Run ``work`` over the rows of each partition, as a stream of tuples, through Arrow batches.
 
-    Whole numbers beside NULLs stay exact, as no data frame library stands between.
+    Whole numbers beside NULLs stay exact, as no data frame library stands between. ``taken`` rows
+    are Python objects at once and ``given`` are held back for a batch: few where a row is large.
     """
     struct = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     out = to_arrow_schema(struct)
@@ -48,14 +53,14 @@ def map_rows(
         def tuples() -> Iterator[tuple]:
             for batch in batches:
                 # Slices bound what a batch of long texts costs as Python objects.
-                for start in range(0, batch.num_rows, 512):
-                    piece = batch.slice(start, 512)
+                for start in range(0, batch.num_rows, taken):
+                    piece = batch.slice(start, taken)
                     yield from zip(*(c.to_pylist() for c in piece.columns), strict=True)
 
         held: list[tuple] = []
         for row in work(tuples()):
             held.append(row)
-            if len(held) == OUT_ROWS:
+            if len(held) == given:
                 yield _batch(held, out)
                 held = []
         if held:
