@@ -7,6 +7,7 @@ import public_tokenizers
 from quayside.llm import (
     decontaminate,
     html,
+    jaccard,
     language,
     lexical,
     licenses,
@@ -61,6 +62,10 @@ def op10_language(spark, d):
     return language.identify(table(spark, d, "documents"))
 
 
+def op11_jaccard(spark, d):
+    return jaccard.similar_groups(table(spark, d, "documents"))
+
+
 def op12_search(spark, d):
     return lexical.search(lexical.index(table(spark, d, "documents")), table(spark, d, "benchmark"))
 
@@ -82,6 +87,7 @@ QUERIES = {
         op8_quality,
         op9_decontaminate,
         op10_language,
+        op11_jaccard,
         op12_search,
         op13_periodic,
     )
