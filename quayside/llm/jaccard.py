@@ -24,7 +24,8 @@ different groups, leaving out the pairs within the largest. A list of a hundred
 text thus costs a hundred thousand comparisons. Every pair that could still join two groups is looked
 at, so the groups are exact. ``links`` without this shortcut gives every link between classes.
 
-Candidates are verified by the number of 64-bit hashes that two sets share; classes and subsets go by
+Candidates are first compared by parity bitmaps, which differ in no more places than their sets differ
+in shingles, and then verified by the number of 64-bit hashes that two sets share; classes and subsets go by
 128 bits. Words are split at ASCII blanks and only A-Z are folded; fewer words than ``words`` make one
 shingle. NULL and texts without words have the empty set and link with nothing, each is a group of its
 own. Repeated rows are one class and each give their row. A NULL key takes part; a group is named after
@@ -51,7 +52,10 @@ LEAST = (80, 100)  # shared : all, as whole numbers so that the bound is exact
 SLOTS = 1 << 18  # counters of the sketch that orders shingles
 LIGHTEST, LIGHTER = 1, 24  # the boundary lies between; larger subsets are too many for any corpus
 SEED = 42
+LANES = 8  # 64-bit words of a set's parity bitmap
+HOT = 16  # entries of a list from which bitmaps are compared within the join
 
+_SHIFT = np.uint64(64 - SLOTS.bit_length() + 1)
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _KNOWN = 1 << 20  # word hashes remembered by a task
 
@@ -110,47 +114,101 @@ def subsets_listed(s: int, below: int, least: tuple[int, int] = LEAST) -> int:
 
 @dataclass
 class Classes:
-    """Documents by set: ``rows`` (row, key, print, size) and ``nodes`` (node, print, size, least)."""
-
-    rows: DataFrame
-    nodes: DataFrame
-    sets: DataFrame  # node, size, s: the distinct non-empty sets
-
-
-def classes(docs: DataFrame, key: str, text: str, words: int) -> Classes:
+    """Documents by set. Whole sets are made where they are needed, from the texts of ``docs``."""
+
+    rows: DataFrame  # row, key, print, size
+    nodes: DataFrame  # node, print, size, least (key), key and hash of the text it is read from
+    prefixes: DataFrame  # node, size, tokens: the rarest shingles in order, of a set that may be light all
+    docs: DataFrame
+    key: str
+    text: str
+    words: int
+    repeated: bool  # some rows have both key and text in common
+
+    def texts(self, wanted: DataFrame) -> DataFrame:
+        """``node, text`` of the wanted nodes, a text each."""
+        nodes = self.nodes.select("node", "from").join(wanted.select("node").distinct(), "node", "left_semi")
+        nodes = stored(nodes.select("node", F.col("from.key").alias("__key"), F.col("from.hash").alias("__hash")), "wanted")
+        own = F.col(f"`{self.key}`").alias("key"), F.col(f"`{self.text}`").alias("text")
+        docs = self.docs.select(*own).withColumn("hash", F.xxhash64("text"))
+        found = docs.join(nodes, (docs["hash"] == nodes["__hash"]) & docs["key"].eqNullSafe(nodes["__key"]))
+        found = found.select("node", F.col("text").cast("binary").alias("text"))
+        return found.dropDuplicates(["node"]) if self.repeated else found
+
+
+def classes(docs: DataFrame, key: str, text: str, words: int, least: tuple[int, int]) -> Classes:
     kind = docs.schema[key].dataType.simpleString()
-    given = docs.select(F.monotonically_increasing_id(), key, F.col(text).cast("binary"))
+    whole = F.col(f"`{text}`")
+    counts = sketch(docs.select(whole.cast("binary")), words).tobytes()
+    given = docs.select(F.monotonically_increasing_id(), F.col(f"`{key}`"), F.xxhash64(whole), whole.cast("binary"))
 
     def work(rows: Iterator[tuple]) -> Iterator[tuple]:
-        sets = Shingler(words)
-        for row, number, whole in rows:
-            held = sets(whole).tobytes()
-            yield row, number, xxhash.xxh128_digest(held, SEED), len(held) // 8, held
+        sets, n = Shingler(words), np.frombuffer(counts, np.uint32)
+        for row, number, hashed, whole in rows:
+            held = sets(whole)
+            size = len(held)
+            # Hashes are sorted, so a stable sort by count is the order by count, then hash.
+            order = np.argsort(n[(held >> _SHIFT).astype(np.int64)], kind="stable")
+            first = held[order[: size if size < LIGHTER else prefix(size, least)]]
+            yield row, number, hashed, xxhash.xxh128_digest(held.tobytes(), SEED), size, first.tobytes(), bitmap(held)
+
+    schema = f"row bigint, key {kind}, hash bigint, print binary, size bigint, tokens binary, bits array<bigint>"
+    made = stored(map_rows(given, work, schema, given=512), "prefixes")
+    nodes = made.where("size > 0").groupBy("print", "size")
+    nodes = nodes.agg(F.min(F.struct("row", "key", "hash", "bits")).alias("from"), F.min("key").alias("least"))
+    nodes = stored(nodes.withColumn("node", F.col("from.row")), "classes")
+    prefixes = made.where("size > 0").select(F.col("row").alias("node"), "size", "tokens")
+    prefixes = prefixes.join(nodes.select("node"), "node", "left_semi")
+    repeated = not made.where("size > 0").groupBy("key", "hash").count().where("count > 1").isEmpty()
+    return Classes(made.select("row", "key", "print", "size"), nodes, prefixes, docs, key, text, words, repeated)
+
+
+def bitmap(held: np.ndarray) -> list[int]:
+    """Per slot whether an odd number of a set's hashes fall into it.
+
+    Two such bitmaps differ in no more places than their sets differ in hashes.
+    """
+    odd = np.bincount(((held >> np.uint64(20)) & np.uint64(64 * LANES - 1)).astype(np.int64), minlength=64 * LANES) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64).tolist()
+
+
+def sketch(texts: DataFrame, words: int) -> np.ndarray:
+    """How often shingles of each slot occur in sets, at most ``2**32 - 1``; of one size for any corpus."""
 
-    made = stored(map_rows(given, work, f"row bigint, key {kind}, print binary, size bigint, s binary", given=256), "sets")
-    rows = made.select("row", "key", "print", "size")
-    nodes = rows.where("size > 0").groupBy("print", "size").agg(F.min("row").alias("node"), F.min("key").alias("least"))
-    nodes = stored(nodes, "classes")
-    sets = made.where("size > 0").select(F.col("row").alias("node"), "size", "s")
-    return Classes(rows, nodes, sets.join(nodes.select("node"), "node", "left_semi"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sets, n = Shingler(words), np.zeros(SLOTS, np.int64)
+        for batch in batches:
+            for whole in batch.column(0):
+                slots = (sets(whole.as_py()) >> _SHIFT).astype(np.int64)
+                np.add.at(n, slots, 1)
+        some = np.flatnonzero(n)
+        for start in range(0, len(some), 1 << 16):
+            part = some[start : start + (1 << 16)]
+            yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(n[part])], ["slot", "n"])
+
+    counted = texts.mapInArrow(run, "slot int, n bigint").groupBy("slot").agg(F.sum("n").alias("n"))
+    out = np.zeros(SLOTS, np.uint32)
+    for slot, n in counted.collect():
+        out[slot] = min(n, 0xFFFFFFFF)
+    return out
 
 
 # --- light sets
 
 
-def light_keys(sets: DataFrame, below: int, least: tuple[int, int]) -> DataFrame:
+def light_keys(prefixes: DataFrame, below: int, least: tuple[int, int]) -> DataFrame:
     """Rows ``subset, node, smaller``; sharing a subset is a link if one of the two is ``smaller``."""
 
     def work(rows: Iterator[tuple]) -> Iterator[tuple]:
         for node, size, held in rows:
-            parts = [held[i : i + 8] for i in range(0, 8 * size, 8)]
+            parts = sorted(held[i : i + 8] for i in range(0, 8 * size, 8))
             for t in partners(size, least):
                 if t < below:
                     sizes = b"%d,%d," % (min(size, t), max(size, t))
                     for chosen in combinations(parts, need(size, t, least)):
                         yield xxhash.xxh128_digest(sizes + b"".join(chosen), SEED), node, size <= t
 
-    return map_rows(sets.where(F.col("size") < below), work, "subset binary, node bigint, smaller boolean")
+    return map_rows(prefixes.where(F.col("size") < below), work, "subset binary, node bigint, smaller boolean")
 
 
 def light_stars(keys: DataFrame) -> DataFrame:
@@ -171,41 +229,16 @@ def light_links(keys: DataFrame) -> DataFrame:
 # --- heavy sets
 
 
-def sketch(sets: DataFrame) -> np.ndarray:
-    """How often shingles of each slot occur, at most ``2**32 - 1``; of the same size for any corpus."""
-    shift = np.uint64(64 - SLOTS.bit_length() + 1)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n = np.zeros(SLOTS, np.int64)
-        for batch in batches:
-            for held in batch.column(0):
-                n += np.bincount((np.frombuffer(held.as_buffer(), np.uint64) >> shift).astype(np.int64), minlength=SLOTS)
-        some = np.flatnonzero(n)
-        for start in range(0, len(some), 1 << 16):
-            part = some[start : start + (1 << 16)]
-            yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(n[part])], ["slot", "n"])
-
-    counted = sets.select("s").mapInArrow(run, "slot int, n bigint").groupBy("slot").agg(F.sum("n").alias("n"))
-    out = np.zeros(SLOTS, np.uint32)
-    for slot, n in counted.collect():
-        out[slot] = min(n, 0xFFFFFFFF)
-    return out
-
-
-def postings(sets: DataFrame, counts: np.ndarray, least: tuple[int, int]) -> DataFrame:
+def postings(prefixes: DataFrame, least: tuple[int, int]) -> DataFrame:
     """Rows ``token, node, size, at``: the prefix of every set with its places in the global order."""
-    held_counts, shift = counts.tobytes(), np.uint64(64 - SLOTS.bit_length() + 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n = np.frombuffer(held_counts, np.uint32)
         for batch in batches:
             out: list[tuple] = []
             rows = 0
             for node, size, held in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
-                tokens = np.frombuffer(held.as_buffer(), np.uint64)
-                # Tokens are sorted, so a stable sort by count is the order by count, then hash.
-                first = np.argsort(n[(tokens >> shift).astype(np.int64)], kind="stable")[: prefix(size, least)]
-                out.append((tokens[first].view(np.int64), node, size, len(first)))
+                first = np.frombuffer(held.as_buffer(), np.int64)[: prefix(size, least)]
+                out.append((first, node, size, len(first)))
                 rows += len(first)
                 if rows >= 1 << 16:
                     yield _entries(out)
@@ -213,7 +246,7 @@ def postings(sets: DataFrame, counts: np.ndarray, least: tuple[int, int]) -> Dat
             if out:
                 yield _entries(out)
 
-    return sets.select("node", "size", "s").mapInArrow(run, "token bigint, node bigint, size bigint, at bigint")
+    return prefixes.select("node", "size", "tokens").mapInArrow(run, "token bigint, node bigint, size bigint, at bigint")
 
 
 def _entries(out: list[tuple]) -> pa.RecordBatch:
@@ -235,25 +268,33 @@ def boundary(shared: DataFrame, nodes: DataFrame, least: tuple[int, int]) -> int
 
     def cost(x: int) -> int:
         listed = sum(n * subsets_listed(s, x, least) for s, n in sets.items() if s < x)
-        return listed + sum(n for s, n in scans.items() if s >= x)
+        return listed + sum(n * prefix(s, least) + scans.get(s, 0) for s, n in sets.items() if s >= x)
 
     return min(range(LIGHTEST, LIGHTER + 1), key=lambda x: (cost(x), x))
 
 
-def verified(pairs: DataFrame, sets: DataFrame, least: tuple[int, int]) -> DataFrame:
-    """Those of the pairs ``a, b`` that are links."""
-    num, den = least
+def verified(pairs: DataFrame, c: Classes, least: tuple[int, int]) -> DataFrame:
+    """Those of the stored pairs ``a, b`` that are links.
+
+    Texts travel, as they take less than half of what their sets would. Pairs of one ``b`` come one
+    after the other, so its set is made once.
+    """
+    (num, den), words = least, c.words
+    texts = c.texts(pairs.select(F.explode(F.array("a", "b")).alias("node")))
 
     def work(rows: Iterator[tuple]) -> Iterator[tuple]:
-        for a, x, b, y in rows:
-            x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+        sets, held, y = Shingler(words), None, None
+        for a, one, b, other in rows:
+            if b != held:
+                held, y = b, sets(other)
+            x = sets(one)
             both = len(np.intersect1d(x, y, assume_unique=True))
             if den * both >= num * (len(x) + len(y) - both):
                 yield a, b
 
-    first = pairs.join(sets.select(F.col("node").alias("a"), F.col("s").alias("x")), "a")
-    rows = first.join(sets.select(F.col("node").alias("b"), F.col("s").alias("y")), "b")
-    return map_rows(rows.select("a", "x", "b", "y"), work, "a bigint, b bigint", taken=64)
+    first = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("one")), "a")
+    rows = first.join(texts.select(F.col("node").alias("b"), F.col("text").alias("other")), "b")
+    return map_rows(rows.select("a", "one", "b", "other"), work, "a bigint, b bigint", taken=64)
 
 
 def _fits(least: tuple[int, int], s: str, i: str, t: str, j: str) -> Column:
@@ -274,34 +315,64 @@ def drawn(shared: DataFrame, heavy: int, least: tuple[int, int]) -> DataFrame:
     return pairs.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
 
 
-def scanned(shared: DataFrame, heavy: int, least: tuple[int, int]) -> DataFrame:
-    """Pairs ``a, b`` of sets of different groups (``label``) that meet in a list and may be links."""
+def _near_bits(least: tuple[int, int], s: str, t: str) -> Column:
+    """Whether bitmaps ``x0 …`` and ``y0 …`` allow a link of sets of sizes s, t."""
+    num, den = least
+    apart = sum((F.bit_count(F.col(f"x{i}").bitwiseXOR(F.col(f"y{i}"))) for i in range(LANES)), F.lit(0))
+    total = F.col(s) + F.col(t)
+    return (total - apart) * (num + den) >= total * (2 * num)
+
+
+def _bits(c: Classes, node: str, size: str, lane: str) -> DataFrame:
+    lanes = [F.get("from.bits", F.lit(i)).alias(f"{lane}{i}") for i in range(LANES)]
+    return c.nodes.select(F.col("node").alias(node), F.col("size").alias(size), *lanes)
+
+
+def allowed(pairs: DataFrame, c: Classes, least: tuple[int, int]) -> DataFrame:
+    """Those of the pairs ``a, b`` that their bitmaps allow to be links."""
+    seen = pairs.join(_bits(c, "a", "s", "x"), "a").join(_bits(c, "b", "t", "y"), "b")
+    return seen.where(_near_bits(least, "s", "t")).select("a", "b")
+
+
+def scanned(shared: DataFrame, c: Classes, heavy: int, least: tuple[int, int]) -> DataFrame:
+    """Pairs ``a, b`` of sets of different groups (``label``) that meet in a list and may be links.
+
+    In lists of many sets bitmaps are part of the join, so that pairs that cannot be links are not made.
+    """
     num, den = least
     each = shared.groupBy("token", "label").agg(F.count("*").alias("n"))
     lists = each.groupBy("token").agg(F.max_by("label", F.struct("n", "label")).alias("major"), F.count("*").alias("labels"))
     rows = shared.join(lists.where("labels > 1").select("token", "major"), "token")
     # The smaller set of a link has the shingle among its rarest (den - num) / (den + num).
     core = (F.col("size") - F.col("at")) * (num + den) >= 2 * num * F.col("size")
-    small = rows.where(core).select(
-        "token", F.explode(F.array("band", F.col("band") + 1)).alias("band"), F.col("node").alias("a"),
-        F.col("size").alias("s"), F.col("at").alias("i"), F.col("label").alias("l"), (F.col("label") == F.col("major")).alias("m"),
-    )
-    large = rows.select(
-        "token", "band", F.col("node").alias("b"), F.col("size").alias("t"), F.col("at").alias("j"),
-        F.col("label").alias("k"), (F.col("label") == F.col("major")).alias("o"),
-    )
-    fit = _fits(least, "s", "i", "t", "j") & F.expr(f"l <> k and (s < t or (s = t and a < b)) and t >= {heavy}")
-    found = [
-        x.join(y, ["token", "band"]).where(fit).select("a", "b")
-        for x, y in ((small.where("not m"), large), (small.where("m"), large.where("not o")))
-    ]
-    both = found[0].unionAll(found[1])
-    return both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+    def met(rows: DataFrame, bits: bool) -> DataFrame:
+        own = rows.join(_bits(c, "node", "_size", "x").drop("_size"), "node") if bits else rows
+        lanes = [f"x{i}" for i in range(LANES)] if bits else []
+        small = own.where(core).select(
+            "token", F.explode(F.array("band", F.col("band") + 1)).alias("band"), F.col("node").alias("a"), F.col("size").alias("s"),
+            F.col("at").alias("i"), F.col("label").alias("l"), (F.col("label") == F.col("major")).alias("m"), *lanes,
+        )
+        large = own.select(
+            "token", "band", F.col("node").alias("b"), F.col("size").alias("t"), F.col("at").alias("j"), F.col("label").alias("k"),
+            (F.col("label") == F.col("major")).alias("o"), *[F.col(x).alias(x.replace("x", "y")) for x in lanes],
+        )
+        fit = _fits(least, "s", "i", "t", "j") & F.expr(f"l <> k and (s < t or (s = t and a < b)) and t >= {heavy}")
+        if bits:
+            fit = fit & _near_bits(least, "s", "t")
+        found = [
+            x.join(y, ["token", "band"]).where(fit).select("a", "b")
+            for x, y in ((small.where("not m"), large), (small.where("m"), large.where("not o")))
+        ]
+        both = found[0].unionAll(found[1])
+        return both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+    return met(rows.where(F.col("n") <= HOT), False).unionAll(met(rows.where(F.col("n") > HOT), True)).distinct()
 
 
 def inverted(c: Classes, least: tuple[int, int]) -> DataFrame:
     """Lists of two and more sets: ``token, node, size, at, n, band``."""
-    entries = postings(c.sets, sketch(c.sets), least)
+    entries = postings(c.prefixes, least)
     lists = entries.groupBy("token").agg(F.count("*").alias("n")).where("n > 1")
     num, den = least
     band = F.floor(F.log(F.col("size").cast("double")) / float(np.log(den / num)) + 1e-9)
@@ -315,22 +386,22 @@ def links(c: Classes, least: tuple[int, int] = LEAST) -> DataFrame:
     """Every link ``a, b`` between classes (``a < b``)."""
     shared = inverted(c, least)
     heavy = boundary(shared, c.nodes, least)
-    pairs = stored(scanned(shared.withColumn("label", F.col("node")), heavy, least), "pairs")
-    keys = light_keys(c.sets, heavy, least)
-    return light_links(keys).unionAll(verified(pairs, c.sets, least))
+    pairs = stored(allowed(scanned(shared.withColumn("label", F.col("node")), c, heavy, least), c, least), "pairs")
+    keys = light_keys(c.prefixes, heavy, least)
+    return light_links(keys).unionAll(verified(pairs, c, least))
 
 
 def labels(c: Classes, least: tuple[int, int] = LEAST) -> DataFrame:
     """Groups of classes connected by links: ``node, label`` for every class that has a link."""
     shared = inverted(c, least)
     heavy = boundary(shared, c.nodes, least)
-    first = stored(drawn(shared, heavy, least), "drawn")
-    stars = light_stars(light_keys(c.sets, heavy, least))
-    known = stored(stars.unionAll(verified(first, c.sets, least)), "links")
+    first = stored(allowed(drawn(shared, heavy, least), c, least), "drawn")
+    stars = light_stars(light_keys(c.prefixes, heavy, least))
+    known = stored(stars.unionAll(verified(first, c, least)), "links")
     groups = stored(components(known), "groups")
     marked = shared.join(groups, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    rest = stored(scanned(marked, heavy, least).join(first, ["a", "b"], "left_anti"), "pairs")
-    more = stored(verified(rest, c.sets, least), "links")
+    rest = stored(allowed(scanned(marked, c, heavy, least), c, least).join(first, ["a", "b"], "left_anti"), "pairs")
+    more = stored(verified(rest, c, least), "links")
     if more.isEmpty():
         return groups
     return components(known.unionAll(more))
@@ -340,7 +411,7 @@ def similar_groups(
     docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, least: tuple[int, int] = LEAST
 ) -> DataFrame:
     """Per document ``key, n_shingles, component_id``: the smallest key that links lead to, its own included."""
-    c = classes(docs, key, text, words)
+    c = classes(docs, key, text, words, least)
     named = c.nodes.join(labels(c, least), "node", "left").withColumn("label", F.coalesce("label", "node"))
     names = named.groupBy("label").agg(F.min("least").alias("component_id"))
     named = named.join(names, "label").select("print", "component_id")
@@ -353,7 +424,7 @@ def members(
     docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, least: tuple[int, int] = LEAST
 ) -> tuple[DataFrame, DataFrame]:
     """The whole join: ``key, node`` per document (NULL for an empty set), and all links ``a, b`` of nodes."""
-    c = classes(docs, key, text, words)
+    c = classes(docs, key, text, words, least)
     own = c.rows.where("size > 0").join(c.nodes.select("print", "node"), "print").select(F.col("key").alias(key), "node")
     none = c.rows.where("size = 0").select(F.col("key").alias(key), F.lit(None).cast("bigint").alias("node"))
     return own.unionAll(none), links(c, least)
