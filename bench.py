@@ -18,7 +18,7 @@ HEADLINE = (
     "ranged_scan typed_load coerce_rejects coerce_timestamp align_columns upsert_mirror upsert_changes "
     "insert_ignore insert_replace assign_identity unique_violations fk_violations verify_counts "
     "topn_per_key group_concat json_group_array strftime julianday json_extract json_contains "
-    "insert_ignore_keys insert_ignore_chain catch_up_stream coerce_integer coerce_double inverted_index search_and search_rank search_by_index search_phrase_by_index offset_page_deep present_iso"
+    "insert_ignore_keys insert_ignore_chain catch_up_stream coerce_integer coerce_double inverted_index search_and search_rank search_by_index search_phrase_by_index search_rank_by_index group_concat_parts copy_upsert publish_followed offset_page_deep present_iso"
 ).split()
 
 

@@ -3,7 +3,8 @@
 They are SQL functions: Spark replaces each call by its expression, so a call with literal
 arguments is folded to the same plan the column functions give. Names Spark already has with the
 same meaning (``ifnull``, ``instr``, ``coalesce``, ``json_array_length``, ``regexp``, ``ilike``,
-``listagg``) are left to Spark. ``strftime`` always gives text.
+``listagg``) are left to Spark. ``strftime`` always gives text. Spark's own ``date`` takes one argument
+and cannot be replaced: ``date('now', '-7 days')`` is spelled ``date_of('now', '-7 days')``.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from quayside.functions.dates import IGNORED_MODIFIERS, ISO_WEEK, SPECIFIERS, UN
 MODIFIERS = 4
 _SHIFT = rf"(?i)^\s*([+-]?)\s*(\d+(?:\.\d+)?)\s+({'|'.join(UNITS)})s?\s*$"
 _PARAMETERS = ", ".join(f"m{i} STRING DEFAULT NULL" for i in range(1, MODIFIERS + 1))
+_PATH = r"""^[$](\."[^"]*"|\.[^.\["]+|\[\d+\])*$"""
 _MARK = "\\u0001"  # stands for a quote in the format while the pattern is put together
 
 
@@ -68,8 +70,10 @@ def _statements() -> dict[str, str]:
               THEN raise_error(concat('format specifier not supported: ', fmt))
             WHEN fmt = '' THEN '' ELSE date_format(t, {_pattern()}) END""",
         "strftime": f"(fmt STRING, {now}, {_PARAMETERS}) RETURNS STRING RETURN format_time(fmt, {_shifted()})",
-        "json_extract": """(doc STRING, path STRING) RETURNS STRING
-            RETURN get_json_object(doc, regexp_replace(path, r'\\."([^"]*)"', r"['$1']"))""",
+        "json_extract": f"""(doc STRING, path STRING) RETURNS STRING RETURN CASE
+            WHEN path IS NULL OR path RLIKE r'{_PATH}' THEN get_json_object(doc, regexp_replace(path, r'\\."([^"]*)"', r"['$1']"))
+            ELSE raise_error(concat('JSON path not supported: ', path)) END""",
+        "date_of": f"({now}, {_PARAMETERS}) RETURNS DATE RETURN cast({_shifted()} as date)",
         "randomblob": """(n INT) RETURNS BINARY
             RETURN unhex(substr(array_join(transform(sequence(1, n div 32 + 1), i -> sha2(uuid(), 256)), ''), 1, 2 * n))""",
     }

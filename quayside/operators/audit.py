@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quayside.operators.keys import complete, same_key
-from quayside.tables import Table
+from quayside.tables import Table, folded
 
 
 def _key_text(key: Sequence[str]) -> Column:
@@ -31,10 +31,11 @@ def unique_violations(
 ) -> DataFrame:
     """Keys that occur more than once; keys with a NULL are exempt.
 
-    Columns in ``nocase`` are compared in lower case.
+    Columns in ``nocase``, and those whose type says so, are compared in lower case.
     """
+    nocase = {*nocase, *(f.name for f in rows.schema if f.name in key and folded(f.dataType))}
     named = ", ".join(f"{table}.{c}" for c in key)
-    parts = [F.lower(c).alias(c) if c in nocase else F.col(c) for c in key]
+    parts = [F.lower(F.col(c).cast("string")).alias(c) if c in nocase else F.col(c) for c in key]
     counted = rows.where(complete(key)).groupBy(*parts).agg(F.count("*").alias("n"))
     return counted.where("n > 1").select(
         *_labels(f"UNIQUE constraint failed: {named}", table, key), _key_text(key), "n"
@@ -112,8 +113,9 @@ def audit(rows: DataFrame, table: Table, parents: Mapping[str, DataFrame]) -> Da
     for fk in table.foreign_keys:
         parent = parents[fk.parent]
         reports.append(fk_violations(rows, table.name, fk.columns, parent, fk.parent_columns))
-    if table.checks:
-        reports.append(check_violations(rows, table.name, table.checks))
+    checks = table.sound_checks()
+    if checks:
+        reports.append(check_violations(rows, table.name, checks))
     if not reports:
         schema = "message string, table string, columns string, n bigint, key string"
         return rows.sparkSession.createDataFrame([], schema)

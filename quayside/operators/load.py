@@ -4,19 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quayside.operators.groups import connected
+from quayside.operators import greedy
 from quayside.operators.keys import complete, first_per_key, guard, same_key
-from quayside.session import ready_checkpoints
-
-MERGE_EVERY = 20
-# Rounds before the rows still open are divided into connected groups.
-ROUNDS = 3
-# Rows of a connected group that one task decides; larger groups are decided in rounds.
-GROUP_ROWS = 100_000
 
 
 class NoKey(ValueError):
@@ -160,7 +152,7 @@ def accepted_rows(
     live = source
     for key in keys:
         live = _without(live, target, key)
-    return _settle(live, keys, sequence)
+    return greedy.accepted(live, keys, sequence)
 
 
 def _without(rows: DataFrame, taken: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -169,107 +161,6 @@ def _without(rows: DataFrame, taken: DataFrame, key: Sequence[str]) -> DataFrame
     return rows.alias("r").join(held, same_key("r", "h", key), "left_anti")
 
 
-def _settle(live: DataFrame, keys: Sequence[Sequence[str]], sequence: str) -> DataFrame:
-    """Accept rows among themselves, earlier first, when there are several keys.
-
-    Each round accepts every row that is the earliest undecided one under all of its keys and
-    drops what conflicts with it. Rounds are cut by checkpoints, so a lost executor repeats one
-    round at most. The earliest row is always decided, hence the loop ends.
-
-    Chains of conflicts would take a round per link. Rows still open after a few rounds are
-    therefore divided into connected groups, in a logarithmic number of rounds, and each group of
-    up to ``GROUP_ROWS`` rows is decided in order within one task. Only larger groups go on in
-    rounds. The accepted rows are the same either way.
-    """
-    ready_checkpoints(live.sparkSession)
-    accepted, rounds = None, 0
-    live = live.checkpoint()
-    while not live.isEmpty():
-        if rounds == ROUNDS:
-            won, live = _settle_groups(live, keys, sequence)
-            accepted = accepted.unionAll(won)
-            rounds += 1
-            continue
-        rounds += 1
-        due = F.lit(0)
-        for key in keys:
-            due = due + complete(key).cast("int")
-        counted = live.withColumn("_due", due)
-        firsts = None
-        for key in keys:
-            least = (
-                counted.where(complete(key))
-                .groupBy(*key)
-                .agg(F.min(F.struct(sequence, "_due")).alias("m"))
-                .select("m.*")
-            )
-            firsts = least if firsts is None else firsts.unionAll(least)
-        winners = firsts.groupBy(sequence, "_due").count().where("count = _due").select(sequence)
-        free = counted.where("_due = 0").select(sequence)
-        chosen = winners.unionAll(free).alias("w")
-        won = live.alias("r").join(chosen, F.col(f"r.{sequence}") == F.col(f"w.{sequence}"), "left_semi")
-        won = won.checkpoint()
-        rest = live.alias("r").join(
-            won.select(sequence).alias("w"), F.col(f"r.{sequence}") == F.col(f"w.{sequence}"), "left_anti"
-        )
-        for key in keys:
-            rest = _without(rest, won, key)
-        live = rest.checkpoint()
-        accepted = won if accepted is None else accepted.unionAll(won)
-        if rounds % MERGE_EVERY == 0:  # keep the union of rounds short
-            accepted = accepted.checkpoint()
-    return live if accepted is None else accepted
-
-
-def _settle_groups(
-    live: DataFrame, keys: Sequence[Sequence[str]], sequence: str
-) -> tuple[DataFrame, DataFrame]:
-    """Decide the connected groups that fit a task; gives the accepted and the undecided rows."""
-    claims, links = live.select(sequence, *dict.fromkeys(c for k in keys for c in k)), None
-    for i, key in enumerate(keys):
-        least = claims.where(complete(key)).groupBy(*key).agg(F.min(sequence).alias(f"_k{i}")).alias("l")
-        joined = claims.alias("c").join(least, same_key("c", "l", key), "left")
-        claims = joined.select("c.*", f"l._k{i}")
-        edges = claims.where(F.col(f"_k{i}").isNotNull()).select(
-            F.col(sequence).alias("a"), F.col(f"_k{i}").alias("b")
-        )
-        links = edges if links is None else links.unionAll(edges)
-    # A row alone is never left after a round, so every row has a link.
-    labels = connected(links).checkpoint()
-    marks = F.array(*[F.to_json(F.struct(f"_k{i}")) for i in range(len(keys))])
-    absent = [F.col(f"_k{i}").isNull() for i in range(len(keys))]
-    named = F.transform(
-        F.arrays_zip(F.array(*absent).alias("no"), marks.alias("m")), lambda x: F.when(~x["no"], x["m"])
-    )
-    claims = claims.select(F.col(sequence).alias("_s"), named.alias("_m"))
-    grouped = claims.join(labels, F.col("_s") == F.col("node")).select("_s", "_m", "label")
-    sizes = grouped.groupBy("label").count()
-    small = sizes.where(F.col("count") <= GROUP_ROWS).select("label")
-    lists = grouped.join(small, "label", "left_semi").groupBy("label").agg(
-        F.array_sort(F.collect_list(F.struct("_s", "_m"))).alias("rows")
-    )
-
-    @F.pandas_udf("array<boolean>")
-    def in_order(groups: pd.Series) -> pd.Series:
-        def decide(rows) -> list[bool]:
-            held, out = set(), []
-            for row in rows:
-                claimed = [(i, m) for i, m in enumerate(row) if m is not None]
-                out.append(held.isdisjoint(claimed))
-                if out[-1]:
-                    held.update(claimed)
-            return out
-
-        return groups.map(decide)
-
-    decided = lists.select("rows", in_order(F.transform("rows", lambda r: r["_m"])).alias("ok"))
-    each = decided.select(F.explode(F.arrays_zip("rows", "ok")).alias("x"))
-    verdicts = each.select(F.col("x.rows._s").alias("_s"), F.col("x.ok").alias("ok")).checkpoint().alias("v")
-    same = F.col(f"r.{sequence}") == F.col("v._s")
-    won = live.alias("r").join(verdicts.where("ok"), same, "left_semi").checkpoint()
-    return won, live.alias("r").join(verdicts, same, "left_anti").checkpoint()
-
-
 def insert_replace(
     source: DataFrame,
     target: DataFrame,

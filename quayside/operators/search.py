@@ -108,14 +108,16 @@ def cover_density(words: Column, query: str) -> Column:
         F.transform(words, lambda w, i: F.when(w.isin(*wanted), i)), lambda at: at.isNotNull()
     )
     numbered = F.array(*map(F.lit, wanted))
-    seen = F.transform(
+    hits = F.transform(
         places,
-        lambda at, nth: F.struct(
-            at.alias("at"),
-            F.array_position(numbered, F.get(words, at)).cast("int").alias("which"),
-            nth.alias("nth"),
-        ),
+        lambda at: F.struct(at.alias("at"), F.array_position(numbered, F.get(words, at)).cast("int").alias("which")),
     )
+    return _covers(hits, wanted)
+
+
+def _covers(hits: Column, wanted: Sequence[str]) -> Column:
+    """Cover density from the occurrences ``at, which`` (the word's number from 1) in order."""
+    seen = F.transform(hits, lambda hit, nth: F.struct(hit["at"].alias("at"), hit["which"].alias("which"), nth.alias("nth")))
     none = F.struct(F.lit(-1).alias("at"), F.lit(-1).alias("nth"))
     start = F.struct(
         F.array(*[none for _ in wanted]).alias("last"), F.lit(0.0).alias("rank")
@@ -236,3 +238,121 @@ def index_search(
     ids = met.select(F.explode(reduce(F.array_union, both)).alias("_candidate"))
     near = rows.join(ids, F.col(id_column) == F.col("_candidate"), "left_semi")
     return search(near, query, words)
+
+
+# --- posting lists with places
+
+POSITION_BLOCK = 4096
+# Blocks of the greatest bounds that are ranked first, to learn what the others must reach.
+LEADING_BLOCKS = 8
+
+
+def positional_index(
+    rows: DataFrame, id_column: str, words: str = "search", block: int = POSITION_BLOCK
+) -> DataFrame:
+    """Posting lists ``term, block, n, top, hits`` with every place of a word.
+
+    ``hits`` are the occurrences ``id, at`` in order, ``n`` the documents and ``top`` the most
+    occurrences in one of them, which bounds what the block can add to a rank. A block is a stretch of
+    ids, so the list of a word that is everywhere is spread over many rows and tasks. Publish it with
+    ``cluster_by=["term", "block"]``: lookups then read the files of their words alone.
+    """
+    each = rows.select(F.col(id_column).alias("id"), F.posexplode(words).alias("at", "term"))
+    placed = each.withColumn("block", F.floor(F.col("id") / block).cast("bigint")).repartition("term", "block")
+    lists = placed.groupBy("term", "block").agg(F.array_sort(F.collect_list(F.struct("id", "at"))).alias("hits"))
+    start = F.struct(F.lit(None).cast("bigint").alias("id"), *[F.lit(0).alias(x) for x in ("run", "n", "top")])
+
+    def count(state: Column, hit: Column) -> Column:
+        same = state["id"].eqNullSafe(hit["id"])
+        run = F.when(same, state["run"] + 1).otherwise(1)
+        n = state["n"] + F.when(same, 0).otherwise(1)
+        return F.struct(hit["id"].cast("bigint").alias("id"), run.alias("run"), n.alias("n"), F.greatest(run, state["top"]).alias("top"))
+
+    sized = lists.withColumn("_size", F.aggregate("hits", start, count))
+    return sized.select("term", "block", F.col("_size.n").alias("n"), F.col("_size.top").alias("top"), "hits")
+
+
+def _clause_words(query: str) -> list[str]:
+    return sorted({w for clauses in web_query(query) for c in clauses for w in c.words})
+
+
+def index_matches(index: DataFrame, query: str, id_name: str = "id") -> DataFrame:
+    """Ids of the documents that satisfy a web-style query, from a positional index alone.
+
+    Phrases are places that follow each other, unwanted clauses are taken out; no text is read. Every
+    alternative needs a wanted word, as lists only name documents that hold something.
+    """
+    return _matched(index, query).select(F.col("id").alias(id_name))
+
+
+def _matched(index: DataFrame, query: str) -> DataFrame:
+    alternatives = web_query(query)
+    if any(all(c.unwanted for c in clauses) for clauses in alternatives):
+        raise ValueError(f"an alternative of {query!r} wants no word; scan the rows instead")
+    kind = index.schema["hits"].dataType
+    met = (
+        index.where(F.col("term").isin(*_clause_words(query)))
+        .groupBy("block")
+        .agg(F.map_from_entries(F.collect_list(F.struct("term", "hits"))).alias("lists"))
+    )
+
+    def hits(word: str) -> Column:
+        return F.coalesce(F.try_element_at("lists", F.lit(word)), F.array().cast(kind))
+
+    def holders(clause: Clause) -> Column:
+        def begun(k: int, word: str) -> Column:
+            return F.transform(hits(word), lambda h: F.struct(h["id"].alias("id"), (h["at"] - k).alias("at")))
+
+        starts = [begun(k, w) for k, w in enumerate(clause.words)]
+        return F.array_distinct(F.transform(reduce(F.array_intersect, starts), lambda h: h["id"]))
+
+    found = F.array().cast(f"array<{kind.elementType['id'].dataType.simpleString()}>")
+    for clauses in alternatives:
+        held = reduce(F.array_intersect, [holders(c) for c in clauses if not c.unwanted])
+        for c in clauses:
+            if c.unwanted:
+                held = F.array_except(held, holders(c))
+        found = F.array_union(found, held)
+    return met.select("block", F.explode(found).alias("id"))
+
+
+def _index_scores(index: DataFrame, query: str, method: str) -> DataFrame:
+    """``id, rank`` of all matching documents in the blocks of ``index``."""
+    wanted = wanted_words(query)
+    places = index.where(F.col("term").isin(*wanted)).select("block", "term", F.inline("hits"))
+    matched = _matched(index, query)
+    if method == "frequency":
+        counts = places.groupBy("block", "id").agg(F.count("*").alias("rank"))
+    else:
+        numbered = F.array(*map(F.lit, wanted))
+        hit = F.struct("at", F.array_position(numbered, F.col("term")).cast("int").alias("which"))
+        counts = places.groupBy("block", "id").agg(_covers(F.array_sort(F.collect_list(hit)), wanted).alias("rank"))
+    return matched.join(counts, ["block", "id"]).select("id", "rank")
+
+
+def index_ranked(
+    index: DataFrame, query: str, id_name: str = "id", method: str = "frequency", limit: int | None = None
+) -> DataFrame:
+    """Matching documents with their rank from a positional index, best first and then by id.
+
+    With a ``limit`` the blocks that may score highest are ranked first; of the others only those are
+    read whose bound reaches the last rank found there. Ranks are those of :func:`ranked`.
+    """
+    if method not in ("frequency", "cover"):
+        raise KeyError(method)
+    if not wanted_words(query):
+        return _matched(index, query).select(F.col("id").alias(id_name), F.lit(0).alias("rank"))
+    order = [F.col("rank").desc(), F.col(id_name)]
+    if limit is None:
+        return _index_scores(index, query, method).withColumnRenamed("id", id_name).orderBy(*order)
+    # An occurrence adds one to the frequency and ends at most one span, which adds the cover weight.
+    each = {"frequency": F.lit(1), "cover": F.lit(COVER_WEIGHT)}[method]
+    bounds = index.where(F.col("term").isin(*wanted_words(query))).groupBy("block").agg((F.sum("top") * each).alias("bound"))
+    leading = [r["block"] for r in bounds.orderBy(F.col("bound").desc(), "block").limit(LEADING_BLOCKS).collect()]
+    first = _index_scores(index.where(F.col("block").isin(leading)), query, method)
+    ranks = [r["rank"] for r in first.orderBy(F.col("rank").desc()).limit(limit).select("rank").collect()]
+    reach = ranks[-1] if len(ranks) == limit else 0
+    # A rank is a sum of fractions; a bound that is hardly lower is looked at.
+    near = bounds.where(F.col("bound") >= reach - 1e-9).select("block")
+    rest = index.join(near, "block", "left_semi")
+    return _index_scores(rest, query, method).withColumnRenamed("id", id_name).orderBy(*order).limit(limit)

@@ -6,6 +6,7 @@ runs on the same tables elsewhere and must give the same rows.
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Callable
 
@@ -15,12 +16,12 @@ from pyspark.sql import functions as F
 from quayside.functions import aggregates, coerce, dates, jsons, scalars, sql_names
 from quayside.operators import align, audit, grouping, identity, load, paging, search
 from quayside.operators.present import present
-from quayside.plans.copyjob import count_report
+from quayside.plans.copyjob import copy_tables, report_frame
 from quayside.session import delete_at_exit, shared_dir, tune
 from quayside.sources.publish import latest, publish
 from quayside.sources.scan import key_slices, sliced
 from quayside.streaming import catch_up
-from quayside.tables import Expr, Field, Table
+from quayside.tables import Expr, Field, ForeignKey, Table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -131,15 +132,99 @@ def align_columns(spark, sf_dir):
     return align.align(source, target, row_key="o_orderkey")
 
 
-@query("""
-SELECT 'customer' AS "table", 'load' AS mode, count(*) AS n_rows, CAST(NULL AS VARCHAR) AS skipped FROM customer
-UNION ALL SELECT 'orders', 'load', count(*), NULL FROM orders
-UNION ALL SELECT 'lineitem', 'load', count(*), NULL FROM lineitem
-UNION ALL SELECT 'events', 'skipped', 0, 'no target table'
+def scratch(spark: SparkSession, name: str) -> tuple[str, str]:
+    """A table name of its own and a folder below the shared one that goes with the session."""
+    unique = f"{name}_{uuid.uuid4().hex}"
+    return unique, delete_at_exit(spark, f"{shared_dir(spark)}/{unique}")
+
+
+def declared(spark: SparkSession, suffix: str) -> list[Table]:
+    """Typed targets for the copies below."""
+    customer, orders = f"customer{suffix}", f"orders{suffix}"
+    return [
+        Table(customer, (Field("c_custkey", "INTEGER"), Field("c_name", "TEXT", not_null=True), Field("c_acctbal", "REAL"),
+                         Field("vip", "BOOLEAN", default=0), Field("tier", "TEXT", default="none")),
+              pk=("c_custkey",), unique=(("c_name",),), checks={"vip_flag": "vip in (0, 1)", "balance": F.col("c_acctbal") > -900}),
+        Table(orders, (Field("o_orderkey", "INTEGER"), Field("o_custkey", "INTEGER"), Field("o_orderstatus", "TEXT", not_null=True),
+                       Field("o_orderdate", "DATETIME"), Field("rowid", "INTEGER")),
+              pk=("o_orderkey",), foreign_keys=(ForeignKey(("o_custkey",), customer, ("c_custkey",)),)),
+    ]
+
+
+def loose_customers(spark, sf_dir):
+    """Untyped customers, some of them without a name."""
+    name = F.when(F.col("c_custkey") % 11 != 0, F.col("c_name"))
+    return read(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string"), name.alias("c_name"), "c_acctbal")
+
+
+def loose_orders(spark, sf_dir):
+    """Untyped orders with their place as an implicit row key, some dates no dates."""
+    day = F.when(F.col("o_orderkey") % 13 == 0, "soon").otherwise(F.col("o_orderdate").cast("date").cast("string"))
+    return read(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").cast("string"), "o_custkey", "o_orderstatus", day.alias("o_orderdate"), F.col("o_orderkey").alias("_at")
+    )
+
+
+_COPIED = """
+WITH c AS (SELECT c_custkey, c_name, c_acctbal FROM customer WHERE c_custkey % 11 <> 0 AND c_acctbal > -900),
+lost AS (SELECT (CASE WHEN c_custkey % 11 = 0 THEN 1 ELSE 0 END) + (CASE WHEN c_acctbal > -900 THEN 0 ELSE 1 END) AS n FROM customer),
+o AS (SELECT o_orderkey, o_custkey, o_orderkey % 13 <> 0 AS typed,
+             o_custkey IN (SELECT c_custkey FROM c) AS known FROM orders)
+"""
+
+
+@query(_COPIED + """
+SELECT 'customer' AS "table", 'load' AS mode, (SELECT count(*) FROM c) AS n_rows, (SELECT count(*) FROM c) AS inserted,
+       CAST(0 AS BIGINT) AS updated, CAST(0 AS BIGINT) AS removed, (SELECT CAST(sum(n) AS BIGINT) FROM lost) AS rejected,
+       'vip, tier' AS defaulted, (SELECT max(c_custkey) + 1 FROM c) AS next_identity, CAST(NULL AS VARCHAR) AS skipped
+UNION ALL SELECT 'orders', 'load', count(*) FILTER (known AND typed), count(*) FILTER (known AND typed), 0, 0,
+       count(*) FILTER (NOT typed) + count(*) FILTER (typed AND NOT known), '',
+       max(o_orderkey) FILTER (known AND typed) + 1, NULL FROM o
+UNION ALL SELECT 'events', 'skipped', 0, 0, 0, 0, 0, '', NULL, 'no target table'
 """)
 def copy_report(spark, sf_dir):
-    tables = {n: read(spark, sf_dir, n) for n in ("customer", "orders", "lineitem", "events")}
-    return count_report(tables, "load", missing=["events"]).withColumnRenamed("rows", "n_rows")
+    """A copy of three sources, with what happened to each as the job reports it."""
+    suffix, base = scratch(spark, "")
+    sources = {f"customer{suffix}": loose_customers(spark, sf_dir), f"orders{suffix}": loose_orders(spark, sf_dir),
+               f"events{suffix}": read(spark, sf_dir, "events")}
+    reports = copy_tables(spark, sources, declared(spark, suffix), base, rejects="keep", row_keys={f"orders{suffix}": "_at"})
+    return report_frame(spark, reports).select(
+        F.replace("table", F.lit(suffix)).alias("table"), "mode", F.col("rows").alias("n_rows"), "inserted", "updated",
+        "removed", "rejected", F.array_join("defaulted", ", ").alias("defaulted"), "next_identity", "skipped",
+    )
+
+
+@query(_COPIED + """
+SELECT o_orderkey, CASE WHEN NOT typed THEN 'o_orderdate' ELSE 'o_custkey' END AS "column",
+       CASE WHEN NOT typed THEN 'timestamptz' ELSE 'foreign key' END AS "type",
+       CASE WHEN NOT typed THEN 'soon' ELSE '["' || o_custkey || '"]' END AS value
+FROM o WHERE NOT typed OR NOT known
+""")
+def copy_rejects(spark, sf_dir):
+    """The rows a copy left out, with the reason: values that do not fit, references without a parent."""
+    suffix, base = scratch(spark, "")
+    sources = {f"customer{suffix}": loose_customers(spark, sf_dir), f"orders{suffix}": loose_orders(spark, sf_dir)}
+    copy_tables(spark, sources, declared(spark, suffix), base, rejects="keep", row_keys={f"orders{suffix}": "_at"})
+    return spark.read.parquet(f"{base}/orders{suffix}-rejects").select("o_orderkey", "column", "type", "value")
+
+
+@query("""
+WITH old AS (SELECT * FROM customer WHERE c_custkey % 3 <> 0), new AS (SELECT * FROM customer WHERE c_custkey % 5 <> 0)
+SELECT new.c_custkey, new.c_name, new.c_acctbal + 1000 AS c_acctbal, old.c_custkey IS NOT NULL AS vip,
+       CASE WHEN old.c_custkey IS NOT NULL THEN 'gold' ELSE 'none' END AS tier
+FROM new LEFT JOIN old USING (c_custkey)
+""")
+def copy_upsert(spark, sf_dir):
+    """A copied table mirrored to a source that lacks some of its columns, which keep what they hold."""
+    suffix, base = scratch(spark, "")
+    name = f"customer{suffix}"
+    customers = read(spark, sf_dir, "customer").select("c_custkey", "c_name", F.col("c_acctbal") + 1000)
+    customers = customers.withColumnRenamed("(c_acctbal + 1000)", "c_acctbal")
+    first = customers.where("c_custkey % 3 <> 0").withColumns({"vip": F.lit("yes"), "tier": F.lit("gold")})
+    (target, _) = declared(spark, suffix)
+    copy_tables(spark, {name: first}, [target], base)
+    copy_tables(spark, {name: customers.where("c_custkey % 5 <> 0")}, [target], base, mode="upsert")
+    return latest(spark, name)
 
 
 # ------------------------------------------------------------------------------- coercion
@@ -534,6 +619,21 @@ def group_concat(spark, sf_dir):
     )
 
 
+@query("""
+WITH p AS (SELECT o_orderpriority, o_orderkey, CAST(o_orderkey AS VARCHAR) AS piece FROM orders),
+c AS (SELECT *, greatest(strlen(piece) + 1, 32) AS cost FROM p),
+s AS (SELECT *, sum(cost) OVER (PARTITION BY o_orderpriority ORDER BY o_orderkey) - cost AS start FROM c)
+SELECT o_orderpriority, CAST(start // 4096 AS BIGINT) AS part, string_agg(piece, ';' ORDER BY o_orderkey) AS all_orders
+FROM s GROUP BY 1, 2
+""")
+def group_concat_parts(spark, sf_dir):
+    """The same for few large groups, as parts cut by size."""
+    orders = read(spark, sf_dir, "orders")
+    return grouping.group_concat_parts(
+        orders, ["o_orderpriority"], F.col("o_orderkey"), ["o_orderkey"], ";", "all_orders", part_bytes=4096
+    )
+
+
 @query("""
 SELECT o_custkey, string_agg(DISTINCT o_orderpriority, ', ' ORDER BY o_orderpriority) AS priorities
 FROM orders GROUP BY o_custkey
@@ -569,6 +669,21 @@ def json_group_array(spark, sf_dir):
     return grouping.json_group_array(orders, ["o_custkey"], value, ["o_orderkey"], "statuses")
 
 
+@query("""
+WITH p AS (SELECT o_orderpriority, o_orderkey, coalesce(CAST(to_json(nullif(o_orderstatus, 'P')) AS VARCHAR), 'null') AS piece FROM orders),
+c AS (SELECT *, greatest(strlen(piece) + 1, 32) AS cost FROM p),
+s AS (SELECT *, sum(cost) OVER (PARTITION BY o_orderpriority ORDER BY o_orderkey) - cost AS start FROM c)
+SELECT o_orderpriority, CAST(start // 8192 AS BIGINT) AS part, '[' || string_agg(piece, ',' ORDER BY o_orderkey) || ']' AS statuses
+FROM s GROUP BY 1, 2
+""")
+def json_group_array_parts(spark, sf_dir):
+    orders = read(spark, sf_dir, "orders")
+    value = F.nullif(F.col("o_orderstatus"), F.lit("P"))
+    return grouping.json_group_array_parts(
+        orders, ["o_orderpriority"], value, ["o_orderkey"], "statuses", part_bytes=8192
+    )
+
+
 @query("""
 SELECT o_custkey,
        '{' || string_agg('"' || o_orderkey || '":' || coalesce(CAST(to_json(nullif(o_orderstatus, 'P')) AS VARCHAR), 'null'), ',' ORDER BY o_orderkey) || '}' AS statuses
@@ -748,6 +863,51 @@ def insert_ignore(spark, sf_dir):
     return load.insert_ignore(source, target, [["custkey"]], "orderkey")
 
 
+def mixed_parts(spark, sf_dir, kind) -> DataFrame:
+    """Parts whose names come in upper case for one type; the name is a key without case."""
+    name = F.when(F.col("p_type") == "ECONOMY", F.upper("p_name")).otherwise(F.col("p_name")).cast(kind)
+    return read(spark, sf_dir, "part").select("p_partkey", name.alias("p_name"), "p_retailprice")
+
+
+_MIXED = """
+WITH p AS (SELECT p_partkey, CASE WHEN p_type = 'ECONOMY' THEN upper(p_name) ELSE p_name END AS p_name, p_retailprice FROM part)
+"""
+
+
+@query(_MIXED + """,
+held AS (SELECT * FROM p WHERE p_partkey % 7 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY lower(p_name) ORDER BY p_partkey) AS rn FROM p WHERE p_partkey % 7 <> 0)
+SELECT p_partkey, p_name, p_retailprice FROM held
+UNION ALL SELECT p_partkey, p_name, p_retailprice FROM r WHERE rn = 1 AND lower(p_name) NOT IN (SELECT lower(p_name) FROM held)
+""")
+def insert_ignore_nocase(spark, sf_dir):
+    """Names that differ only in case are one key; each is stored as it came."""
+    target = Table("part", (Field("p_partkey", "INTEGER"), Field("p_name", "TEXT", nocase=True), Field("p_retailprice", "REAL")))
+    parts = mixed_parts(spark, sf_dir, target.type_of("p_name"))
+    got = load.insert_ignore(parts.where("p_partkey % 7 <> 0"), parts.where("p_partkey % 7 = 0"), [["p_name"]], "p_partkey")
+    return got.withColumn("p_name", F.col("p_name").cast("string"))
+
+
+@query(_MIXED + """,
+new AS (SELECT lower(p_name) AS k, min(p_name) AS p_name, sum(p_partkey) AS n FROM p WHERE p_partkey % 2 = 0 GROUP BY 1),
+old AS (SELECT lower(p_name) AS k, min(p_partkey) AS first_seen FROM p WHERE p_partkey % 3 <> 0 GROUP BY 1)
+SELECT new.p_name, CAST(n AS BIGINT) AS n, coalesce(first_seen, -1) AS first_seen FROM new LEFT JOIN old USING (k)
+""")
+def upsert_nocase(spark, sf_dir):
+    """A copy mirrored by a key without case, where the two sides spell their keys differently."""
+    suffix, base = scratch(spark, "")
+    name = f"part{suffix}"
+    table = Table(name, (Field("p_name", "TEXT", nocase=True), Field("n", "INTEGER"), Field("first_seen", "INTEGER", default=-1)), pk=("p_name",))
+    parts = mixed_parts(spark, sf_dir, "string")
+    old = parts.where("p_partkey % 3 <> 0").groupBy(F.upper("p_name").alias("p_name")).agg(
+        F.lit(0).alias("n"), F.min("p_partkey").alias("first_seen"))
+    new = parts.where("p_partkey % 2 = 0").groupBy(F.lower("p_name").alias("k")).agg(
+        F.min("p_name").alias("p_name"), F.sum("p_partkey").alias("n")).drop("k")
+    copy_tables(spark, {name: old}, [table], base)
+    copy_tables(spark, {name: new}, [table], base, mode="upsert")
+    return latest(spark, name).withColumn("p_name", F.col("p_name").cast("string"))
+
+
 @query()
 def insert_ignore_keys(spark, sf_dir):
     """Two unique keys at once: one line per order and one per part and supplier."""
@@ -889,6 +1049,40 @@ def catch_up_stream(spark, sf_dir):
     return latest(spark, name)
 
 
+@query("""
+WITH t0 AS (SELECT c_custkey, c_acctbal, c_mktsegment FROM customer WHERE c_mktsegment <> 'BUILDING'),
+best AS (SELECT o_custkey, max(o_orderkey) FILTER (o_orderkey % 2 = 0) AS e, max(o_orderkey) FILTER (o_orderkey % 2 = 1) AS o
+         FROM orders GROUP BY o_custkey),
+t1 AS (SELECT coalesce(c_custkey, o_custkey) AS k, CASE WHEN e IS NULL THEN c_acctbal ELSE
+         (SELECT o_totalprice FROM orders WHERE o_orderkey = e) END AS bal, e
+       FROM t0 FULL JOIN (SELECT * FROM best WHERE e IS NOT NULL) b ON c_custkey = o_custkey),
+t2 AS (SELECT k, bal + 1000 AS bal, e FROM t1 WHERE k % 5 <> 0)
+SELECT coalesce(k, o_custkey) AS c_custkey,
+       CASE WHEN o IS NOT NULL AND (k IS NULL OR t2.e IS NULL OR o > t2.e)
+            THEN (SELECT o_totalprice FROM orders WHERE o_orderkey = o) ELSE bal END AS c_acctbal
+FROM t2 FULL JOIN (SELECT * FROM best WHERE o IS NOT NULL) b ON k = o_custkey
+""")
+def publish_followed(spark, sf_dir):
+    """A table that follows a stream, replaced by another writer between two batches of it."""
+    name, base = scratch(spark, "followed")
+    target = read(spark, sf_dir, "customer").where("c_mktsegment <> 'BUILDING'").select("c_custkey", "c_acctbal")
+    publish(target, name, f"{base}/table")
+    orders = read(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("c_custkey"), F.col("o_totalprice").alias("c_acctbal"), "o_orderkey"
+    )
+
+    def follow(arriving: DataFrame) -> None:
+        arriving.write.mode("append").parquet(f"{base}/inbox")
+        changes = spark.readStream.schema(orders.schema).parquet(f"{base}/inbox")
+        catch_up(changes, name, f"{base}/table", ["c_custkey"], "o_orderkey", f"{base}/checkpoint", parts=8).awaitTermination()
+
+    follow(orders.where("o_orderkey % 2 = 0"))
+    kept = latest(spark, name).where("c_custkey % 5 <> 0").withColumn("c_acctbal", F.col("c_acctbal") + 1000)
+    publish(kept, name, f"{base}/table")
+    follow(orders.where("o_orderkey % 2 = 1"))
+    return latest(spark, name)
+
+
 # ------------------------------------------------------------------------ dates and times
 
 
@@ -1235,6 +1429,22 @@ def check_violations(spark, sf_dir):
     return audit.check_violations(read(spark, sf_dir, "orders"), "orders", checks)
 
 
+@query("""
+SELECT 'CHECK constraint failed: open_flag' AS message, 'orders' AS "table", 'open_flag' AS columns, count(*) AS n
+FROM orders WHERE o_orderstatus = 'P'
+""")
+def check_boolean(spark, sf_dir):
+    """That a column is 0 or 1 is not asked of one that has become a boolean, but still of a number."""
+    status = F.col("o_orderstatus")
+    source = read(spark, sf_dir, "orders").select(
+        "o_orderkey", F.when(status == "F", "yes").otherwise("no").alias("done"),
+        F.when(status == "O", 1).when(status == "P", 2).otherwise(0).alias("is_open"),
+    )
+    table = Table("orders", (Field("o_orderkey", "INTEGER"), Field("done", "BOOLEAN"), Field("is_open", "INTEGER")),
+                  checks={"done_flag": "done in (0, 1)", "open_flag": "is_open in (0, 1)"})
+    return audit.audit(align.align(source, table), table, {})
+
+
 @query("""
 SELECT 'customer' AS "table", (SELECT count(*) FROM customer) AS source, (SELECT count(*) FROM customer) AS target, true AS ok
 UNION ALL SELECT 'orders', count(*), count(*) FILTER (WHERE o_orderstatus <> 'P'), false FROM orders
@@ -1256,15 +1466,30 @@ def worded(spark, sf_dir) -> DataFrame:
     return search.add_search_column(read(spark, sf_dir, "documents").select("doc_id", "text"), "text")
 
 
+def kept(spark, sf_dir, name: str, build: Callable[[], DataFrame], cluster_by: list[str]) -> DataFrame:
+    """A published table made from the documents, made anew only when their files have changed.
+
+    An index is there to be built once and asked often.
+    """
+    path = f"{sf_dir.rstrip('/')}/documents.parquet"
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    status = place.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(place)
+    version = hashlib.md5(f"{path} {status.getModificationTime()} {status.getLen()}".encode()).hexdigest()
+    table = f"{name}_{version}"
+    if not spark.catalog.tableExists(table):
+        base = delete_at_exit(spark, f"{shared_dir(spark)}/{table}_{uuid.uuid4().hex}")
+        publish(build(), table, base, cluster_by=cluster_by)
+    return latest(spark, table)
+
+
 def stored_index(spark, sf_dir) -> DataFrame:
     """The documents' posting lists, published in the order of their words."""
-    name = f"postings_{uuid.uuid4().hex}"
-    base = delete_at_exit(spark, f"{shared_dir(spark)}/{name}")
-    index = search.inverted_index(worded(spark, sf_dir), "doc_id")
-    publish(index, name, base, cluster_by=["term", "block"])
-    stored = latest(spark, name)
-    spark.sql(f"DROP TABLE {name}")  # external: the files stay for the result
-    return stored
+    return kept(spark, sf_dir, "postings", lambda: search.inverted_index(worded(spark, sf_dir), "doc_id"), ["term", "block"])
+
+
+def stored_places(spark, sf_dir) -> DataFrame:
+    """The same with the places of the words."""
+    return kept(spark, sf_dir, "places", lambda: search.positional_index(worded(spark, sf_dir), "doc_id"), ["term", "block"])
 
 
 @query(f"""
@@ -1323,10 +1548,30 @@ SELECT doc_id FROM documents WHERE (contains(' ' || array_to_string({WORDS}, ' '
     AND NOT list_contains({WORDS}, 'with')) OR (list_contains({WORDS}, 'der') AND list_contains({WORDS}, 'und'))
 """)
 def search_phrase_by_index(spark, sf_dir):
-    found = search.index_search(
-        stored_index(spark, sf_dir), worded(spark, sf_dir), '"of the" -with or der und', "doc_id"
-    )
-    return found.select("doc_id")
+    """Phrases and unwanted words from the places in the index; no text is read."""
+    return search.index_matches(stored_places(spark, sf_dir), '"of the" -with or der und', "doc_id")
+
+
+@query(f"""
+SELECT term, doc_id // 4096 AS block, count(DISTINCT doc_id) AS n, max(tf) AS top, md5(string_agg(doc_id || ':' || place, ',' ORDER BY doc_id, place)) AS digest
+FROM (SELECT doc_id, term, place, count(*) OVER (PARTITION BY doc_id, term) AS tf FROM (
+  SELECT doc_id, unnest(words) AS term, unnest(range(len(words))) AS place FROM (SELECT doc_id, {WORDS} AS words FROM documents)))
+GROUP BY 1, 2
+""")
+def positional_index(spark, sf_dir):
+    index = search.positional_index(worded(spark, sf_dir), "doc_id")
+    texts = F.transform("hits", lambda h: F.concat_ws(":", h["id"], h["at"]))
+    return index.select("term", "block", F.col("n").cast("bigint").alias("n"), F.col("top").cast("bigint").alias("top"),
+                        F.md5(F.array_join(texts, ",")).alias("digest"))
+
+
+@query(f"""
+SELECT doc_id, len(list_filter({WORDS}, lambda w: w IN ('of', 'the'))) AS "rank" FROM documents
+WHERE contains(' ' || array_to_string({WORDS}, ' ') || ' ', ' of the ') ORDER BY 2 DESC, 1 LIMIT 100
+""")
+def search_rank_by_index(spark, sf_dir):
+    """The hundred best of a phrase from the index; blocks that cannot reach them are not read."""
+    return search.index_ranked(stored_places(spark, sf_dir), '"of the"', "doc_id", limit=100)
 
 
 @query(f"""

@@ -5,18 +5,18 @@ Deletes cannot be seen in an append-only stream; a batch upsert mirrors those.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from quayside.operators.load import insert_replace
-from quayside.sources.publish import APPLIED, PART, current_version
+from quayside.sources.publish import commit_folder, in_parts, latest, part_of
+from quayside.sources.snapshots import APPLIED, PART, ConcurrentPublish, Layout, new_folder, read_state, state_of
 
 PARTS = 64
-_PROPERTY = "quayside.parts"
+TRIES = 5  # merges of one batch when other writers keep committing first
 
 
 def catch_up(
@@ -36,57 +36,50 @@ def catch_up(
     The sequence a row was last replaced at stays in the table, so a late row replaces nothing,
     whichever batch brings it. Rows of the first state are older than any streamed one.
 
-    The first batch divides the table into ``parts`` by a hash of the key, once; choose them so
-    that a part fits a task. From then on a batch reads and rewrites only the parts its keys are
-    in. Parts are switched one after the other: a reader between two switches sees some of a
-    batch. A batch that is delivered again after a failure changes nothing that it had done.
-    Read the table by ``sources.latest``. Replaced files are left to whoever knows the readers.
+    The first batch divides the table into ``parts`` by a hash of the key. From then on a batch reads
+    and rewrites only the parts its keys are in; a part of any size is written by as many tasks as
+    its rows call for. A batch is one commit of the table (``sources.snapshots``), so it is there
+    as a whole or not at all for those who read by ``sources.latest``; the catalog's own entry is
+    switched part by part after the commit. A batch that is delivered again changes nothing. When
+    another writer commits first, the batch is merged again, into that writer's state.
+    Replaced files are left to whoever knows the readers.
     """
 
     def apply(rows: DataFrame, batch: int) -> None:
+        for left in reversed(range(TRIES)):
+            try:
+                return merge(rows, batch)
+            except ConcurrentPublish:
+                if not left:
+                    raise
+
+    def merge(rows: DataFrame, batch: int) -> None:
         spark = rows.sparkSession
-        version, last = current_version(spark, table)
-        if batch <= last or rows.isEmpty():
+        latest(spark, table)  # a commit whose writer died before the catalog knew is shown first
+        state = state_of(spark, table)[1]
+        if batch <= state.batch or rows.isEmpty():
             return
-        spark.catalog.refreshTable(table)
-        state = spark.table(table)
-        divided = PART in state.columns
-        count = _parts(spark, table) if divided else parts
-        kinds = {k: state.schema[k].dataType for k in key}
-        place = F.pmod(F.xxhash64(*[F.col(k).cast(kinds[k]) for k in key]), F.lit(count)).cast("int")
+        divided = bool(state.layout.parts)
+        layout = state.layout if divided else Layout(key=tuple(key), parts=parts)
+        if layout.key != tuple(key):
+            raise ValueError(f"{table} is divided by {list(layout.key)}, not by {list(key)}")
+        kept = None
         if divided:
-            touched = [r[0] for r in rows.select(place.alias("p")).distinct().collect()]  # part numbers
-            old = state.where(F.col(PART).isin(touched)).drop(PART)
+            kinds = {f.name: f.dataType for f in state.schema}
+            keys = rows.select(*[F.col(f"`{k}`").cast(kinds[k]).alias(k) for k in key])
+            touched = [r[0] for r in keys.select(part_of(keys, layout).alias("p")).distinct().collect()]  # part numbers
+            old = read_state(spark, state, touched)
+            kept = {p: f for p, f in state.folders.items() if int(p) not in touched}
         else:
-            old = state.withColumn(APPLIED, F.lit(None).cast(rows.schema[sequence].dataType))
+            old = latest(spark, table).withColumn(APPLIED, F.lit(None).cast(rows.schema[sequence].dataType))
+        own = [c for c in old.columns if c != APPLIED]
         merged = insert_replace(
-            rows, old, sequence, pk=key, listed=listed or state.columns, defaults=defaults, table=table, applied=APPLIED
+            rows, old, sequence, pk=key, listed=listed or own, defaults=defaults, table=table, applied=APPLIED
         )
-        placed = merged.withColumn(PART, place).repartition(PART)
-        folder = f"{base.rstrip('/')}/v-{version + 1}-{batch}-{uuid.uuid4().hex}"
-        if divided:
-            placed.write.partitionBy(PART).parquet(folder)
-            _switch(spark, table, folder, touched)
-        else:
-            staged = f"{table}_{uuid.uuid4().hex}"
-            placed.write.partitionBy(PART).option("path", folder).saveAsTable(staged)
-            spark.sql(f"ALTER TABLE {staged} SET TBLPROPERTIES ('{_PROPERTY}' = '{count}')")
-            spark.sql(f"DROP TABLE {table}")  # external: its files stay
-            spark.sql(f"ALTER TABLE {staged} RENAME TO {table}")
-        spark.catalog.refreshTable(table)
+        placed = in_parts(merged, layout)
+        folder = new_folder(base, state.version + 1)
+        placed.write.format(state.file_format).partitionBy(PART).save(folder)
+        commit_folder(spark, table, base.rstrip("/"), state, folder, placed, layout, batch, state.file_format, kept)
 
     writer = changes.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
-
-
-def _parts(spark: SparkSession, table: str) -> int:
-    return int(spark.sql(f"SHOW TBLPROPERTIES {table} ('{_PROPERTY}')").first()["value"])
-
-
-def _switch(spark: SparkSession, table: str, folder: str, touched: Sequence[int]) -> None:
-    """Point the touched parts to the new folder, the table's own location last: it names the batch."""
-    for part in touched:
-        spec, place = f"PARTITION ({PART} = {part})", f"'{folder}/{PART}={part}'"
-        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {spec} LOCATION {place}")
-        spark.sql(f"ALTER TABLE {table} {spec} SET LOCATION {place}")
-    spark.sql(f"ALTER TABLE {table} SET LOCATION '{folder}'")

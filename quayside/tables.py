@@ -91,6 +91,14 @@ def spark_type(target: str) -> T.DataType:
     return T.DataType.fromDDL(SPARK_TYPES.get(target, "string"))
 
 
+NOCASE = T.StringType("UTF8_LCASE")
+
+
+def folded(kind: T.DataType) -> bool:
+    """Whether texts of a type are compared without their case."""
+    return isinstance(kind, T.StringType) and kind.collation == NOCASE.collation
+
+
 def _inner(text: str) -> str:
     """A default expression without outer parentheses."""
     text = text.strip()
@@ -110,6 +118,9 @@ def is_now_default(default: Any) -> bool:
     return bare in NOW_DEFAULTS or bare.startswith("datetime('now'")
 
 
+_ZERO_OR_ONE = re.compile(r'''[(\s]*[`"\[]?(\w+)[`"\]]?\s+in\s*\(\s*(?:0\s*,\s*1|1\s*,\s*0)\s*\)[)\s]*''', re.IGNORECASE)
+
+
 @dataclass(frozen=True)
 class Expr:
     """A default given as a known function call, such as ``Expr("datetime('now', '+7 days')")``.
@@ -155,6 +166,7 @@ class Field:
     default: Any = None
     not_null: bool = False
     generated: Callable[[], Column] | None = None
+    nocase: bool = False  # texts that differ only in case are one key
 
     def target(self, json: str = "text", promote_text_timestamps: bool = True) -> str:
         target = target_type(self.declared, json)
@@ -189,7 +201,7 @@ class Table:
     pk: tuple[str, ...] = ()
     unique: tuple[tuple[str, ...], ...] = ()
     foreign_keys: tuple[ForeignKey, ...] = ()
-    checks: dict[str, Column] = field(default_factory=dict)
+    checks: dict[str, Column | str] = field(default_factory=dict)  # conditions, or their SQL text
     json: str = "text"
     promote_text_timestamps: bool = True
 
@@ -197,6 +209,20 @@ class Table:
     def columns(self) -> list[str]:
         return [f.name for f in self.fields]
 
+    def sound_checks(self) -> dict[str, Column]:
+        """The checks as conditions, without those that say that a boolean is 0 or 1.
+
+        Such a check was there because the source had no booleans; a typed column always meets it.
+        """
+        kept = {}
+        for name, test in self.checks.items():
+            text = test if isinstance(test, str) else str(test).removeprefix("Column<'").removesuffix("'>")
+            zero_or_one = _ZERO_OR_ONE.fullmatch(text)
+            column = zero_or_one and next((c for c in self.columns if c.lower() == zero_or_one[1].lower()), None)
+            if not (column and self.target(column) == "boolean"):
+                kept[name] = F.expr(test) if isinstance(test, str) else test
+        return kept
+
     @property
     def identity(self) -> str | None:
         """The single integer primary key column, which numbers new rows by itself."""
@@ -212,7 +238,10 @@ class Table:
         return self.field(name).target(self.json, self.promote_text_timestamps)
 
     def type_of(self, name: str) -> T.DataType:
-        return spark_type(self.target(name))
+        """The Spark type of a column. A ``nocase`` text carries its comparison in its type, so keys, guards,
+        joins and audits over it all follow, and the text itself is stored as it came."""
+        kind = spark_type(self.target(name))
+        return NOCASE if self.field(name).nocase and isinstance(kind, T.StringType) else kind
 
     def schema(self) -> T.StructType:
         return T.StructType([T.StructField(n, self.type_of(n)) for n in self.columns])

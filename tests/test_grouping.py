@@ -90,3 +90,37 @@ def test_separator_is_taken_literally(spark):
     data = spark.createDataFrame([(1, "a"), (2, "b")], "seq int, v string")
     for separator in ("'", "\\", "\n", "", "''\\'"):
         assert one(grouping.group_concat(data, [], F.col("v"), ["seq"], separator)) == (f"a{separator}b",)
+
+
+def test_parts_are_cut_by_bytes(spark):
+    """Sizes from nothing to a hundred times the others': no part holds more than its size and one value."""
+    data = spark.range(4000).selectExpr("id % 3 as k", "id", "repeat('x', int(if(id % 97 = 0, 3000, id % 40))) as v").repartition(7)
+    parts = rows(grouping.group_concat_parts(data, ["k"], F.col("v"), ["id"], "|", part_bytes=2000))
+    texts = {}
+    for k, part, text in sorted(parts):
+        values = text.split("|")
+        cost = sum(max(len(v) + 1, grouping.VALUE_BYTES) for v in values[:-1])
+        assert cost < 2000
+        texts.setdefault(k, []).extend(values)
+    want = {}
+    for k, n, v in sorted(rows(data), key=lambda r: r[1]):
+        want.setdefault(k, []).append(v)
+    assert texts == want
+
+
+def test_tiny_values_are_a_large_group_too(spark):
+    data = spark.range(200_000).selectExpr("id", "'' as v")
+    parts = grouping.json_group_array_parts(data, [], F.col("v"), ["id"], part_bytes=1 << 20)
+    sizes = [len(json.loads(t)) for _, t in rows(parts)]
+    assert sum(sizes) == 200_000 and max(sizes) <= (1 << 20) // grouping.VALUE_BYTES + 1
+    whole = grouping.group_concat(data, [], F.col("v"), ["id"], ",", part_bytes=1 << 20)
+    assert one(whole) == ("," * 199_999,)
+
+
+def test_json_objects_in_parts(skewed):
+    parts = grouping.json_group_object_parts(skewed, ["k"], F.lit("x"), F.col("v"), ["seq"], part_bytes=900)
+    pairs = {}
+    for k, _, text in sorted(rows(parts), key=lambda r: r[1]):
+        pairs.setdefault(k, []).extend(json.loads(text, object_pairs_hook=list))
+    assert pairs == {k: [("x", v) for v in vs] for k, vs in expected(skewed).items()}
+    assert rows(grouping.json_group_object_parts(skewed.where("false"), ["k"], F.lit("x"), F.col("v"), ["seq"])) == []

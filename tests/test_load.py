@@ -107,25 +107,12 @@ def test_insert_ignore_several_keys(spark, seed):
     assert sorted(r["seq"] for r in got.collect()) == serial_ignore(source, target, keys, "seq")
 
 
-def test_insert_ignore_follows_long_chains(spark, monkeypatch):
+def test_insert_ignore_follows_long_chains(spark):
     source = spark.range(1, 1201).select("id", F.expr("(id + 1) div 2").alias("a"), F.expr("id div 2").alias("b"))
     got = load.accepted_rows(source, source.where("false"), [["a"], ["b"]], "id")
     assert sorted(r["id"] for r in got.collect()) == list(range(1, 1201, 2))
 
 
-@pytest.mark.parametrize("largest", [0, 5, 100])
-def test_insert_ignore_is_the_same_by_rounds_and_by_groups(spark, monkeypatch, largest):
-    monkeypatch.setattr(load, "ROUNDS", 1)
-    monkeypatch.setattr(load, "GROUP_ROWS", largest)
-    r = random.Random(3)
-    pick = lambda: r.choice([None, *range(25)])
-    source = [{"seq": i, "a": pick(), "b": pick(), "c": pick()} for i in range(60)]
-    keys = [["a"], ["b"], ["c"]]
-    data = frame(spark, [tuple(x.values()) for x in source], "seq int, a int, b int, c int")
-    got = load.accepted_rows(data, data.where("false"), keys, "seq")
-    assert sorted(x["seq"] for x in got.collect()) == serial_ignore(source, [], keys, "seq")
-
-
 def test_other_unique_keys_must_hold(spark, users):
     source = frame(spark, [(1, "b", 1)], "id bigint, email string, seq int")
     with pytest.raises(PySparkException, match="UNIQUE constraint failed: users.email"):

@@ -1,7 +1,7 @@
 import random
 
 import pytest
-from helpers import rows
+from helpers import plan, rows
 from pyspark.sql import functions as F
 
 from quayside.operators import search
@@ -78,3 +78,47 @@ def test_index_search_equals_the_scan(spark):
         want = sorted(r["id"] for r in search.search(frame, query).collect())
         got = sorted(r["id"] for r in search.index_search(index, frame, query, "id").collect())
         assert got == want, query
+
+
+QUERIES = (
+    "w1", "w1 w2", "w1 w2 w3", '"w1 w2"', '"w2 w1 w1"', "w1 -w2", '"w1 w2" -"w2 w3" w4', 'w9 or "w3 w1" or w8 -w1',
+    "w77", "w1 w77", '"w1 w77"', "",
+)
+
+
+@pytest.fixture(scope="module")
+def places(spark):
+    r = random.Random(4)
+    texts = [(i * 3 - 40, " ".join(f"w{min(9, int(r.paretovariate(0.8)))}" for _ in range(r.randint(0, 60)))) for i in range(300)]
+    rows = search.add_search_column(spark.createDataFrame(texts, "id long, text string"), "text").cache()
+    return rows, search.positional_index(rows, "id", block=32).cache()
+
+
+@pytest.mark.parametrize("query", QUERIES)
+def test_an_index_with_places_answers_as_the_rows_do(places, query):
+    rows, index = places
+    want = sorted(r["id"] for r in search.search(rows, query).collect())
+    assert sorted(r["id"] for r in search.index_matches(index, query).collect()) == want
+    for method in ("frequency", "cover"):
+        ranked = [(r["id"], round(r["rank"], 9)) for r in search.ranked(rows, query, "id", method=method).collect()]
+        assert [(r["id"], round(r["rank"], 9)) for r in search.index_ranked(index, query, method=method).collect()] == ranked
+        for limit in (1, 7, 1000):
+            got = [(r["id"], round(r["rank"], 9)) for r in search.index_ranked(index, query, method=method, limit=limit).collect()]
+            assert got == ranked[:limit]
+
+
+def test_only_the_words_files_are_read(spark, places, tmp_path):
+    index = places[1]
+    with pytest.raises(ValueError, match="wants no word"):
+        search.index_matches(index, "w1 or -w2")
+    index.write.parquet(str(tmp_path / "index"))
+    text = plan(search.index_matches(spark.read.parquet(str(tmp_path / "index")), '"w1 w2" -w3'))
+    assert "PushedFilters: [In(term, [w1,w2,w3])]" in text.replace('"', "")
+
+
+def test_blocks_below_the_reach_are_skipped(spark):
+    """One block of long matches; the others can hold none of the best."""
+    rows = spark.range(4000).selectExpr("id", "split(if(id < 40, repeat('a b ', 30), 'a b c'), ' ') as search")
+    index = search.positional_index(rows, "id", block=64)
+    best = search.index_ranked(index, "a b", limit=10)
+    assert [r["id"] for r in best.collect()] == list(range(10))

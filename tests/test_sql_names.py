@@ -50,3 +50,16 @@ def test_json_and_random(spark, sql):
 def test_literal_modifiers_are_folded(spark, sql):
     text = spark.sql("select * from (select timestamp_ntz'2024-01-01' at) where at > datetime('now', '-7 days')")
     assert "rlike" not in text._jdf.queryExecution().optimizedPlan().toString().lower()
+
+
+def test_paths_that_are_not_supported_are_errors(sql):
+    for path in ("$.a[#-1]", "a", "$..a", "$.a[x]", "$.a["):
+        with pytest.raises(PySparkException, match="JSON path not supported"):
+            sql(f"""json_extract('{{"a":[1]}}', '{path}')""")
+    assert sql("""json_extract('{"a":[1]}', '$.a[0]')""") == "1" and sql("json_extract('[3]', '$[0]')") == "3"
+    assert sql("json_extract('[3]', cast(null as string))") is None and sql("json_extract('{}', '$')") == "{}"
+
+
+def test_dates_with_modifiers(sql):
+    assert str(sql("date_of('2024-03-31 10:00:00', '-1 month')")) == "2024-02-29"
+    assert sql("date_of('now') = current_date()") is True
