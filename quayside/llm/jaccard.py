@@ -116,7 +116,7 @@ def subsets_listed(s: int, below: int, least: tuple[int, int] = LEAST) -> int:
 class Classes:
     """Documents by set. Whole sets are made where they are needed, from the texts of ``docs``."""
 
-    rows: DataFrame  # row, key, print, size
+    rows: DataFrame  # row, key, hash, print, size
     nodes: DataFrame  # node, print, size, least (key), key and hash of the text it is read from
     prefixes: DataFrame  # node, size, tokens: the rarest shingles in order, of a set that may be light all
     docs: DataFrame
@@ -160,7 +160,7 @@ def classes(docs: DataFrame, key: str, text: str, words: int, least: tuple[int,
     prefixes = made.where("size > 0").select(F.col("row").alias("node"), "size", "tokens")
     prefixes = prefixes.join(nodes.select("node"), "node", "left_semi")
     repeated = not made.where("size > 0").groupBy("key", "hash").count().where("count > 1").isEmpty()
-    return Classes(made.select("row", "key", "print", "size"), nodes, prefixes, docs, key, text, words, repeated)
+    return Classes(made.select("row", "key", "hash", "print", "size"), nodes, prefixes, docs, key, text, words, repeated)
 
 
 def bitmap(held: np.ndarray) -> list[int]:
@@ -428,3 +428,26 @@ def members(
     own = c.rows.where("size > 0").join(c.nodes.select("print", "node"), "print").select(F.col("key").alias(key), "node")
     none = c.rows.where("size = 0").select(F.col("key").alias(key), F.lit(None).cast("bigint").alias("node"))
     return own.unionAll(none), links(c, least)
+
+
+def drop_similar(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, least: tuple[int, int] = LEAST
+) -> DataFrame:
+    """Keep one document of each group that links connect: the one of the smallest key (NULL last).
+
+    Texts without words are one group here. All columns stay; of repeated rows one does.
+    """
+    c = classes(docs, key, text, words, least)
+    named = c.nodes.join(labels(c, least), "node", "left").select("print", F.coalesce("label", "node").alias("label"))
+    placed = c.rows.where("size > 0").join(named, "print").select("label", "key", "hash")
+    placed = placed.unionAll(c.rows.where("size = 0").select(F.lit(-1).cast("bigint").alias("label"), "key", "hash"))
+    times = placed.groupBy("label", "key", "hash").agg(F.count("*").alias("times"))
+    first = F.min(F.struct(F.col("key").isNull().alias("none"), "key", "hash", "times")).alias("x")
+    stay = stored(times.groupBy("label").agg(first).select("x.key", "x.hash", "x.times"), "stay")
+    stay = stay.select(F.col("key").alias("__key"), F.col("hash").alias("__stays"), F.col("times").alias("__times"))
+    marked = docs.withColumn("__hash", F.xxhash64(F.col(f"`{text}`")))
+    kept = marked.join(stay, (marked["__hash"] == stay["__stays"]) & marked[key].eqNullSafe(stay["__key"]))
+    columns = [F.col(f"`{x}`") for x in docs.columns]
+    # Whole rows are only moved where some are repeated.
+    once = kept.where("__times = 1").select(*columns)
+    return once.unionAll(kept.where("__times > 1").dropDuplicates(["__key", "__stays"]).select(*columns))

@@ -133,3 +133,33 @@ def test_bounds_are_the_definition():
     long = " ".join(str(i % 5000) for i in range(300_000)).encode()
     assert len(jaccard.Shingler()(long)) == 5000
     assert not np.intersect1d(jaccard.Shingler()(b"a b c d"), jaccard.Shingler()(b"a b c d e")).size
+
+
+def test_one_of_each_group_stays(frame):
+    texts = corpus(random.Random(8))
+    docs = frame(texts)
+    named = {g for i, n, g in slow_groups(list(enumerate(texts))) if n}
+    want = named | {min(i for i, t in enumerate(texts) if not slow_set(t))}
+    kept = jaccard.drop_similar(docs)
+    assert kept.columns == docs.columns
+    assert sorted(x["doc_id"] for x in kept.collect()) == sorted(want)
+
+
+def test_the_stage_finds_copies_beyond_two_bits(spark, frame):
+    import corpus_pipeline
+    from quayside.llm import simhash
+
+    first = prose(5, 400)
+    texts = [first, *(edited(random.Random(i), first, 4) for i in range(6)), prose(6, 400)]
+    prints = [simhash.fingerprint(t.encode()) for t in texts[:7]]
+    assert any(min((p ^ q).bit_count() for q in prints if q != p) > simhash.RADIUS for p in prints)
+    kept = corpus_pipeline.near_dedup(spark, frame(texts), "")
+    assert sorted(x["doc_id"] for x in kept.collect()) == [0, 7]
+
+
+def test_keeping_of_odd_rows(frame):
+    assert jaccard.drop_similar(frame([])).count() == 0
+    lone = frame([(None, "a b c d", None, None, None, "", "", 0)] * 2)
+    assert jaccard.drop_similar(lone).count() == 1
+    docs = frame([(2, prose(1, 50), None, None, None, "", "", 0), (None, prose(1, 50), None, None, None, "", "", 0)])
+    assert [x["doc_id"] for x in jaccard.drop_similar(docs).collect()] == [2]
