@@ -38,23 +38,29 @@ UNLIKELY = frozenset(
     "ad ads adv advert advertisement adverts advertising banner banners breadcrumb breadcrumbs comment comments "
     "commentlist consent cookie cookies disclaimer discussion disqus dropdown foot footer gdpr header login masthead "
     "menu menus modal nav navbar navigation newsletter notice notices outbrain overlay pager pagination popup promo "
-    "promoted promotion recommended related remark replies reply respond rss share sharing shoutbox sidebar signup "
+    "promoted promotion reactions recommended related remark replies reply respond responses rss share sharing shoutbox sidebar signup "
     "skyscraper social sponsor sponsored sponsors subscribe subscription taboola tags toolbar tooltip widget widgets".split()
 )
+# Of these, words that a story may be about.
+EVERYDAY = frozenset("discussion notice notices promotion reactions related remark reply responses share sharing social tags".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu menubar".split())
 WHOLE = 0.6  # share of the page's text outside links that shows a doubtful element to be the page itself
 TINY = 80  # characters; a shorter result is tried again with doubtful elements
+SENTENCE = 60  # characters of a text that may be a sentence and no label
+LINKED = 0.33  # share of link text up to which a block beside the story is no menu
+_ENDED = re.compile(r"[.!?:;…。！？]['\")\]»”’]*$")
 _TOKEN = re.compile(r"[a-z]+")
 _CUT_OFF = re.compile(r"<[a-zA-Z/!?]")
 
 
 class Node:
-    __slots__ = ("children", "doubt", "header", "parent", "score", "skip", "tag", "within")
+    __slots__ = ("children", "doubt", "header", "parent", "score", "skip", "tag", "weak", "within")
 
     def __init__(self, tag: str, parent: Node | None, skip: bool = False):
         self.tag, self.parent, self.skip, self.score = tag, parent, skip, 0.0
         self.doubt = False  # its names, or that it is a form, say that it may be no content
         self.within = parent is not None and (parent.within or parent.tag in ("article", "main"))
+        self.weak = False  # its names are everyday words inside an article
         self.header = tag == "header"
         self.children: list[Node | str] = []
 
@@ -110,6 +116,8 @@ class _Builder(HTMLParser):
             node.header = True  # the head of an article, whatever its tag
         elif telling or node.tag == "form":
             node.doubt = True
+            # Inside an article an everyday word is a weak sign: what it names is judged by its text.
+            node.weak = node.within and node.tag != "form" and telling <= EVERYDAY
 
 
 def parse(page: str) -> Node:
@@ -124,8 +132,8 @@ def parse(page: str) -> Node:
 def settle(root: Node) -> bool:
     """Skip the doubtful elements that are no content, and tell whether there are any.
 
-    One that holds the page's only articles, or most of its text outside links, is the page's frame
-    and stays; what is doubtful inside it is judged by itself.
+    One that holds the page's only articles, or most of the text outside links of a page without
+    other articles, is the page's frame and stays; what is doubtful inside it is judged by itself.
     """
     order, stack = [], [(root, False, False)]
     while stack:
@@ -149,11 +157,32 @@ def settle(root: Node) -> bool:
     page, dropped = size[id(root)][0], False
     for x, _, _ in order:
         total, holds = size[id(x)]
-        if x.doubt and not x.skip and not (holds and not plain) and not (page and total >= WHOLE * page):
+        if x.weak and not x.skip and tells(x):
+            continue
+        if x.doubt and not x.skip and not (holds and not plain) and not (page and total >= WHOLE * page and not plain):
             x.skip = dropped = True
     return dropped
 
 
+def tells(node: Node) -> bool:
+    """Whether an element has a paragraph of whole sentences, few of whose words are links."""
+    stack = [node]
+    while stack:
+        x = stack.pop()
+        if x.tag == "p" and is_sentence(text_of(x)) and link_density(x) < LINKED:
+            return True
+        stack += [c for c in x.children if isinstance(c, Node) and not c.skip]
+    return False
+
+
+def is_sentence(text: str) -> bool:
+    return len(text) >= SENTENCE and bool(_ENDED.search(text))
+
+
+def link_density(node: Node) -> float:
+    return link_densities(node)[id(node)]
+
+
 def visible(node: Node) -> Iterator[Node]:
     """Elements in page order, without those that are no content; no recursion, pages may be deep."""
     stack = [(node, False)]
@@ -180,7 +209,7 @@ def pieces(node: Node) -> Iterator[str]:
             continue
         if x.header:
             header = True  # of a header within an article only the headings are text
-        elif x.tag in HEADINGS:
+        elif x.tag in HEADINGS or (header and x.tag == "p" and is_lead(x)):
             header = False
         edge = x.tag in BLOCK
         if edge:
@@ -189,6 +218,11 @@ def pieces(node: Node) -> Iterator[str]:
         stack += [(c, inside, header) for c in reversed(x.children)]
 
 
+def is_lead(node: Node) -> bool:
+    """A paragraph of a header that is a sentence and not a line about the author or the date."""
+    return is_sentence(own_text(node)) and link_density(node) < LINKED
+
+
 def text_of(node: Node) -> str:
     return " ".join("".join(pieces(node)).split())
 
@@ -240,17 +274,21 @@ def extract(page: str | None) -> str:
     Paragraphs give their points to the parent, half of them to the next ancestor and a third per
     level beyond; scores are discounted by the share of link text. The best container is kept
     with those of its siblings that score a fifth of it, or that are paragraphs of low link
-    density; within an ``article`` or ``main`` element that is the container, and only sections
-    and articles are its siblings. A page without paragraphs gives the text of its body. Forms, and
-    elements whose names say that they are no content, are left out unless they frame the page
-    (:func:`settle`); a page that then has hardly any text is tried again with them.
+    density, and with what stands between and beside those and is no menu (:func:`_walked`). An
+    ``article`` or ``main`` element is the container itself, and only sections and articles are its
+    siblings, but for lists of replies. Equal scores: the first element in page order. A page without
+    paragraphs gives the text of its body. Forms, and elements whose names say that they are no
+    content, are left out unless they frame the page (:func:`settle`), or are named by an everyday
+    word inside an article and hold sentences; a page without an article that then has hardly any
+    text, or one without any text, is tried again with them.
     """
     if not page or not page.strip():
         return ""
     root = parse(page)
     dropped = settle(root)
     text = main_text(root)
-    if dropped and len(text) < TINY:
+    short = not text or (len(text) < TINY and not any(x.tag in ("article", "main") for x in visible(root)))
+    if dropped and short:
         text = max(text, main_text(parse(page)), key=len)
     return text
 
@@ -280,21 +318,81 @@ def main_text(root: Node) -> str:
     whole = up is not None
     top = up or top  # an element that the page itself calls its article is the container
     best = final.get(id(top), 0.0)
-    out = []
-    for node in top.parent.children:
-        if not isinstance(node, Node) or node.skip:
-            continue
-        if whole and node is not top and node.tag not in ("article", "section"):
-            continue
+    beside = top.parent.children
+
+    def scores(node: Node) -> bool:
         same = node is top or final.get(id(node), 0.0) >= max(10.0, best / 5)
         if not same and node.tag == "p":
             text = text_of(node)
             same = len(text) > 80 and density[id(node)] < 0.25
-        if same:
-            out.append(text_of(node) if not node.header else "")
+        return same
+
+    if whole:
+        kept = [
+            x for x in beside
+            if x is top or (isinstance(x, Node) and not x.skip and x.tag in ("article", "section") and scores(x)
+                            and not _thread(x, top))
+        ]
+        return " ".join(t for x in kept if (t := text_of(x) if not x.header else ""))
+    return _walked(beside, [isinstance(x, Node) and not x.skip and scores(x) for x in beside], density)
+
+
+def _thread(node: Node, story: Node) -> bool:
+    """Whether a section is a list of replies or of other stories: several articles, each less than the story."""
+    held, stack = [], [node]
+    while stack:
+        x = stack.pop()
+        if x.tag == "article" and x is not node:
+            held.append(len(text_of(x)))
+        else:
+            stack += [c for c in x.children if isinstance(c, Node) and not c.skip]
+    return len(held) > 1 and max(held) < len(text_of(story))
+
+
+def _walked(beside: list, kept: list[bool], density: dict[int, float]) -> str:
+    """The kept elements and what belongs to them, in page order.
+
+    Between kept elements everything stays that is no menu: headings, lists, short paragraphs and bare
+    text. Before the first one its headings and what is said in sentences stay, and after the last one
+    what is said in sentences.
+    """
+    first, last = kept.index(True), len(kept) - 1 - kept[::-1].index(True)
+    out: list[str] = []
+    bare: list[str] = []
+
+    def flush(inside: bool) -> None:
+        text = " ".join("".join(bare).split())
+        bare.clear()
+        if text and (inside or _ENDED.search(text)):
+            out.append(text)
+
+    for i, x in enumerate(beside):
+        inside = first < i < last
+        if isinstance(x, str):
+            bare.append(x)
+            continue
+        if x.tag not in BLOCK and not x.skip and x.tag not in NEVER:
+            bare.append("".join(pieces(x)))
+            continue
+        flush(inside or (first < i <= last))
+        if x.skip or x.header:
+            continue
+        text = text_of(x)
+        if kept[i]:
+            out.append(text)
+        elif not text or density[id(x)] > LINKED:
+            continue
+        elif inside or (i < first and x.tag in HEADINGS) or _ENDED.search(text) or (i > first and _listed(x)):
+            out.append(text)
+    flush(False)
     return " ".join(t for t in out if t)
 
 
+def _listed(node: Node) -> bool:
+    """A list of the story, which need not end like a sentence: it has no links."""
+    return node.tag in ("ul", "ol", "dl", "table") and link_density(node) == 0.0
+
+
 def main_texts(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """Main text of every page: ``page_id, url, text, n_chars``.
 
