@@ -74,8 +74,20 @@ def entity(kind: str, value: str) -> str:
 
 
 def surroundings(text: str, spans: list[tuple[str, int, int]], window: int = WINDOW) -> list[tuple]:
-    """``entity, term, start, end`` of the words around each span, outside all spans."""
-    out = []
+    """``entity, term, start, end`` of every place, outside all spans, of the words beside a span.
+
+    A word beside an entity is taken wherever the text has it, so one that gives the entity away
+    does not stay in another sentence.
+    """
+    beside: dict[str, set[str]] = {}
+    # Of each stretch of overlapping spans the first start and the last end.
+    starts, ends = [], []
+    for _, a, b in sorted(spans, key=lambda s: s[1:]):
+        if ends and a < ends[-1]:
+            ends[-1] = max(ends[-1], b)
+        else:
+            starts.append(a)
+            ends.append(b)
     for kind, a, b in spans:
         # Text enough for the words is cut out, then widened while it holds too few.
         for side in (-1, 1):
@@ -91,9 +103,20 @@ def surroundings(text: str, spans: list[tuple[str, int, int]], window: int = WIN
                 found = found[1:] if side < 0 else found[:-1]
             near = found[-window:] if side < 0 else found[:window]
             name = entity(kind, text[a:b])
-            out += [
-                (name, text[s:e].lower(), s, e) for s, e in near if not any(s < q and p < e for _, p, q in spans)
-            ]
+            for s, e in near:
+                if not any(s < q and p < e for _, p, q in spans):
+                    beside.setdefault(text[s:e].lower(), set()).add(name)
+    if not beside:
+        return []
+    out, at = [], 0
+    for m in _TERM.finditer(text):
+        s, e = m.span()
+        names = beside.get(m[0].lower())
+        if names:
+            while at < len(ends) and ends[at] <= s:
+                at += 1
+            if at == len(ends) or starts[at] >= e:
+                out += [(name, m[0].lower(), s, e) for name in sorted(names)]
     return out
 
 

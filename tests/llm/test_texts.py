@@ -307,3 +307,35 @@ def test_pii_odd_rows(frame):
 @pytest.mark.parametrize("digits, fine", [("4111111111111111", True), ("4111111111111112", False)])
 def test_luhn(digits, fine):
     assert pii.luhn(digits) is fine
+
+
+def test_a_telling_word_goes_wherever_its_text_has_it(frame):
+    texts = [f"Write to Zamboni at ann@x.io soon. {prose(i, 20)} Then ZAMBONI said, and zamboni wrote, {prose(90 + i, 9)}" for i in range(6)]
+    texts += [prose(200 + i, 60) for i in range(60)]
+    docs = frame(texts)
+    for x in pii.personal_data(docs).collect():
+        if x["doc_id"] < 6:
+            text = texts[x["doc_id"]]
+            marked = {text[int(s.split(":")[1]) : int(s.split(":")[2])].lower() for s in x["spans"].split(",") if s.startswith("term")}
+            assert "zamboni" in marked and x["spans"].count("term:") >= 3
+    for x in pii.sanitise(docs).collect():
+        assert "zamboni" not in x["text"].lower() and "ann@" not in x["text"]
+        assert x["doc_id"] < 6 or x["text"] == texts[x["doc_id"]]
+
+
+def test_places_of_words_beside_spans():
+    r = random.Random(1)
+    for _ in range(300):
+        parts = [r.choice(["a@b.io", "+1 555 123 4567", "1.2.3.4", "w1", "W1", "w2", "w3,", "4111 1111 1111 1111", "w4 w5 w6 w7"]) for _ in range(r.randint(0, 12))]
+        text = r.choice([" ", ". "]).join(parts)
+        spans = pii.base(text)
+        got = pii.surroundings(text, spans)
+        words = [m.span() for m in re.finditer(r"[^\W_]+", text)]
+        want = set()
+        for kind, a, b in spans:
+            before = [w for w in words if w[1] <= a][-pii.WINDOW :]
+            after = [w for w in words if w[0] >= b][: pii.WINDOW]
+            free = [w for w in words if not any(w[0] < q and p < w[1] for _, p, q in spans)]
+            near = {text[s:e].lower() for s, e in before + after if (s, e) in free}
+            want |= {(pii.entity(kind, text[a:b]), text[s:e].lower(), s, e) for s, e in free if text[s:e].lower() in near}
+        assert set(got) == want and len(got) == len(want)
