@@ -18,8 +18,8 @@ that shingle must suffice.
 *The boundary* is chosen by cost from exact counts: subsets that light sets of each size would list,
 against entries in the lists that sets of each size would scan.
 
-*Connected sets* are not compared again. First each list compares its sets with one of its own, drawn
-by hash, and true links make groups. Then lists that still hold several groups are scanned for pairs of
+*Connected sets* are not compared again. Short lists give all their pairs. Each longer one first compares
+its sets with one of its own, drawn by hash, and true links make groups. Then long lists that still hold several groups are scanned for pairs of
 different groups, leaving out the pairs within the largest. A list of a hundred thousand copies of one
 text thus costs a hundred thousand comparisons. Every pair that could still join two groups is looked
 at, so the groups are exact. ``links`` without this shortcut gives every link between classes.
@@ -53,7 +53,7 @@ SLOTS = 1 << 18  # counters of the sketch that orders shingles
 LIGHTEST, LIGHTER = 1, 24  # the boundary lies between; larger subsets are too many for any corpus
 SEED = 42
 LANES = 8  # 64-bit words of a set's parity bitmap
-HOT = 16  # entries of a list from which bitmaps are compared within the join
+SHORT = 16  # entries of a list whose pairs are all made at once
 
 _SHIFT = np.uint64(64 - SLOTS.bit_length() + 1)
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
@@ -305,12 +305,29 @@ def _fits(least: tuple[int, int], s: str, i: str, t: str, j: str) -> Column:
     return sized & (room * (num + den) >= (F.col(s) + F.col(t)) * num)
 
 
-def drawn(shared: DataFrame, heavy: int, least: tuple[int, int]) -> DataFrame:
+def met(short: DataFrame, heavy: int, least: tuple[int, int]) -> DataFrame:
+    """Pairs ``a, b`` of the sets of each short list that may be links; a list is a bounded array."""
+    num, den = least
+    lists = short.groupBy("token").agg(F.array_sort(F.collect_list(F.struct("size", "node", "at"))).alias("m"))
+
+    def fits(x: Column, y: Column) -> Column:
+        room = F.least(x["size"] - x["at"], y["size"] - y["at"])
+        total = x["size"] + y["size"]
+        return (y["size"] >= heavy) & (y["size"] * num <= x["size"] * den) & (room * (num + den) >= total * num)
+
+    def pairs(x: Column, i: Column) -> Column:
+        after = F.filter(F.slice("m", i + 2, F.size("m")), lambda y: fits(x, y))
+        return F.transform(after, lambda y: F.struct(F.least(x["node"], y["node"]).alias("a"), F.greatest(x["node"], y["node"]).alias("b")))
+
+    return lists.select(F.inline(F.flatten(F.transform("m", pairs)))).distinct()
+
+
+def drawn(long: DataFrame, heavy: int, least: tuple[int, int]) -> DataFrame:
     """Pairs ``a, b`` of each list's sets with one of the list, within bands of sizes."""
-    lead = shared.groupBy("token", "band").agg(
+    lead = long.groupBy("token", "band").agg(
         F.min(F.struct(F.xxhash64("node", "token"), F.col("node").alias("b"), F.col("size").alias("t"), F.col("at").alias("j"))).alias("x")
     )
-    pairs = shared.join(lead.select("token", "band", "x.b", "x.t", "x.j"), ["token", "band"])
+    pairs = long.join(lead.select("token", "band", "x.b", "x.t", "x.j"), ["token", "band"])
     pairs = pairs.where(f"node <> b and greatest(size, t) >= {heavy}").where(_fits(least, "size", "at", "t", "j"))
     return pairs.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
 
@@ -334,40 +351,35 @@ def allowed(pairs: DataFrame, c: Classes, least: tuple[int, int]) -> DataFrame:
     return seen.where(_near_bits(least, "s", "t")).select("a", "b")
 
 
-def scanned(shared: DataFrame, c: Classes, heavy: int, least: tuple[int, int]) -> DataFrame:
+def scanned(long: DataFrame, c: Classes, heavy: int, least: tuple[int, int]) -> DataFrame:
     """Pairs ``a, b`` of sets of different groups (``label``) that meet in a list and may be links.
 
-    In lists of many sets bitmaps are part of the join, so that pairs that cannot be links are not made.
+    Bitmaps are part of the join, so that pairs that cannot be links are not made.
     """
     num, den = least
-    each = shared.groupBy("token", "label").agg(F.count("*").alias("n"))
+    each = long.groupBy("token", "label").agg(F.count("*").alias("n"))
     lists = each.groupBy("token").agg(F.max_by("label", F.struct("n", "label")).alias("major"), F.count("*").alias("labels"))
-    rows = shared.join(lists.where("labels > 1").select("token", "major"), "token")
+    rows = long.join(lists.where("labels > 1").select("token", "major"), "token")
+    rows = rows.join(_bits(c, "node", "_size", "x").drop("_size"), "node")
+    lanes = [f"x{i}" for i in range(LANES)]
     # The smaller set of a link has the shingle among its rarest (den - num) / (den + num).
     core = (F.col("size") - F.col("at")) * (num + den) >= 2 * num * F.col("size")
-
-    def met(rows: DataFrame, bits: bool) -> DataFrame:
-        own = rows.join(_bits(c, "node", "_size", "x").drop("_size"), "node") if bits else rows
-        lanes = [f"x{i}" for i in range(LANES)] if bits else []
-        small = own.where(core).select(
-            "token", F.explode(F.array("band", F.col("band") + 1)).alias("band"), F.col("node").alias("a"), F.col("size").alias("s"),
-            F.col("at").alias("i"), F.col("label").alias("l"), (F.col("label") == F.col("major")).alias("m"), *lanes,
-        )
-        large = own.select(
-            "token", "band", F.col("node").alias("b"), F.col("size").alias("t"), F.col("at").alias("j"), F.col("label").alias("k"),
-            (F.col("label") == F.col("major")).alias("o"), *[F.col(x).alias(x.replace("x", "y")) for x in lanes],
-        )
-        fit = _fits(least, "s", "i", "t", "j") & F.expr(f"l <> k and (s < t or (s = t and a < b)) and t >= {heavy}")
-        if bits:
-            fit = fit & _near_bits(least, "s", "t")
-        found = [
-            x.join(y, ["token", "band"]).where(fit).select("a", "b")
-            for x, y in ((small.where("not m"), large), (small.where("m"), large.where("not o")))
-        ]
-        both = found[0].unionAll(found[1])
-        return both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-
-    return met(rows.where(F.col("n") <= HOT), False).unionAll(met(rows.where(F.col("n") > HOT), True)).distinct()
+    small = rows.where(core).select(
+        "token", F.explode(F.array("band", F.col("band") + 1)).alias("band"), F.col("node").alias("a"), F.col("size").alias("s"),
+        F.col("at").alias("i"), F.col("label").alias("l"), (F.col("label") == F.col("major")).alias("m"), *lanes,
+    )
+    large = rows.select(
+        "token", "band", F.col("node").alias("b"), F.col("size").alias("t"), F.col("at").alias("j"), F.col("label").alias("k"),
+        (F.col("label") == F.col("major")).alias("o"), *[F.col(x).alias(x.replace("x", "y")) for x in lanes],
+    )
+    fit = _fits(least, "s", "i", "t", "j") & F.expr(f"l <> k and (s < t or (s = t and a < b)) and t >= {heavy}")
+    fit = fit & _near_bits(least, "s", "t")
+    found = [
+        x.join(y, ["token", "band"]).where(fit).select("a", "b")
+        for x, y in ((small.where("not m"), large), (small.where("m"), large.where("not o")))
+    ]
+    both = found[0].unionAll(found[1])
+    return both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def inverted(c: Classes, least: tuple[int, int]) -> DataFrame:
@@ -386,7 +398,9 @@ def links(c: Classes, least: tuple[int, int] = LEAST) -> DataFrame:
     """Every link ``a, b`` between classes (``a < b``)."""
     shared = inverted(c, least)
     heavy = boundary(shared, c.nodes, least)
-    pairs = stored(allowed(scanned(shared.withColumn("label", F.col("node")), c, heavy, least), c, least), "pairs")
+    short, long = shared.where(F.col("n") <= SHORT), shared.where(F.col("n") > SHORT)
+    near = allowed(met(short, heavy, least), c, least).unionAll(scanned(long.withColumn("label", F.col("node")), c, heavy, least))
+    pairs = stored(near.distinct(), "pairs")
     keys = light_keys(c.prefixes, heavy, least)
     return light_links(keys).unionAll(verified(pairs, c, least))
 
@@ -395,12 +409,14 @@ def labels(c: Classes, least: tuple[int, int] = LEAST) -> DataFrame:
     """Groups of classes connected by links: ``node, label`` for every class that has a link."""
     shared = inverted(c, least)
     heavy = boundary(shared, c.nodes, least)
-    first = stored(allowed(drawn(shared, heavy, least), c, least), "drawn")
+    short, long = shared.where(F.col("n") <= SHORT), shared.where(F.col("n") > SHORT)
+    near = met(short, heavy, least).unionAll(drawn(long, heavy, least)).distinct()
+    first = stored(allowed(near, c, least), "drawn")
     stars = light_stars(light_keys(c.prefixes, heavy, least))
     known = stored(stars.unionAll(verified(first, c, least)), "links")
     groups = stored(components(known), "groups")
-    marked = shared.join(groups, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    rest = stored(allowed(scanned(marked, c, heavy, least), c, least).join(first, ["a", "b"], "left_anti"), "pairs")
+    marked = long.join(groups, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    rest = stored(scanned(marked, c, heavy, least).join(first, ["a", "b"], "left_anti"), "pairs")
     more = stored(verified(rest, c, least), "links")
     if more.isEmpty():
         return groups
