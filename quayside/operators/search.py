@@ -243,6 +243,8 @@ def index_search(
 # --- posting lists with places
 
 POSITION_BLOCK = 4096
+# Above any place in a text: a document's number in its block and a place make one number.
+PLACES = 1 << 32
 # Blocks of the greatest bounds that are ranked first, to learn what the others must reach.
 LEADING_BLOCKS = 8
 
@@ -293,18 +295,29 @@ def _matched(index: DataFrame, query: str) -> DataFrame:
     met = (
         index.where(F.col("term").isin(*_clause_words(query)))
         .groupBy("block")
-        .agg(F.map_from_entries(F.collect_list(F.struct("term", "hits"))).alias("lists"))
+        .agg(
+            F.map_from_entries(F.collect_list(F.struct("term", "hits"))).alias("lists"),
+            F.min(F.get("hits", F.lit(0))["id"]).alias("start"),
+        )
     )
 
     def hits(word: str) -> Column:
         return F.coalesce(F.try_element_at("lists", F.lit(word)), F.array().cast(kind))
 
     def holders(clause: Clause) -> Column:
+        # Numbers meet by hashing; arrays of structs would be compared pair by pair.
         def begun(k: int, word: str) -> Column:
-            return F.transform(hits(word), lambda h: F.struct(h["id"].alias("id"), (h["at"] - k).alias("at")))
+            late = F.filter(hits(word), lambda h: h["at"] >= k) if k else hits(word)
+            return F.transform(late, lambda h: (h["id"] - F.col("start")) * F.lit(PLACES) + (h["at"] - k))
 
+        if len(clause.words) == 1:
+            return F.array_distinct(F.transform(hits(clause.words[0]), lambda h: h["id"]))
         starts = [begun(k, w) for k, w in enumerate(clause.words)]
-        return F.array_distinct(F.transform(reduce(F.array_intersect, starts), lambda h: h["id"]))
+        ids = F.transform(
+            reduce(F.array_intersect, starts),
+            lambda x: (F.call_function("div", x, F.lit(PLACES)) + F.col("start")).cast(kind.elementType["id"].dataType),
+        )
+        return F.array_distinct(ids)
 
     found = F.array().cast(f"array<{kind.elementType['id'].dataType.simpleString()}>")
     for clauses in alternatives:

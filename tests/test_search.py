@@ -1,4 +1,5 @@
 import random
+import time
 
 import pytest
 from helpers import plan, rows
@@ -122,3 +123,15 @@ def test_blocks_below_the_reach_are_skipped(spark):
     index = search.positional_index(rows, "id", block=64)
     best = search.index_ranked(index, "a b", limit=10)
     assert [r["id"] for r in best.collect()] == list(range(10))
+
+
+def test_a_block_of_frequent_words_is_joined_in_proportion(spark):
+    """Two words with 160,000 places each in one block; pairs of places would be 27 billion."""
+    rows = spark.range(4000, 8000).selectExpr("id", "split(if(id % 2 = 0, repeat('a b ', 40), repeat('b c a ', 40)), ' ') as search")
+    index = search.positional_index(rows, "id").cache()
+    index.count()
+    begun = time.monotonic()
+    found = {r["id"] for r in search.index_matches(index, '"a b"').where("id < 4010 or id > 7990").collect()}
+    assert found == {*range(4000, 4010), *range(7991, 8000)}
+    assert {r["id"] for r in search.index_matches(index, '"b a"').where("id < 4010").collect()} == set(range(4000, 4010, 2))
+    assert time.monotonic() - begun < 60
