@@ -261,17 +261,13 @@ def positional_index(
     """
     each = rows.select(F.col(id_column).alias("id"), F.posexplode(words).alias("at", "term"))
     placed = each.withColumn("block", F.floor(F.col("id") / block).cast("bigint")).repartition("term", "block")
-    lists = placed.groupBy("term", "block").agg(F.array_sort(F.collect_list(F.struct("id", "at"))).alias("hits"))
-    start = F.struct(F.lit(None).cast("bigint").alias("id"), *[F.lit(0).alias(x) for x in ("run", "n", "top")])
-
-    def count(state: Column, hit: Column) -> Column:
-        same = state["id"].eqNullSafe(hit["id"])
-        run = F.when(same, state["run"] + 1).otherwise(1)
-        n = state["n"] + F.when(same, 0).otherwise(1)
-        return F.struct(hit["id"].cast("bigint").alias("id"), run.alias("run"), n.alias("n"), F.greatest(run, state["top"]).alias("top"))
-
-    sized = lists.withColumn("_size", F.aggregate("hits", start, count))
-    return sized.select("term", "block", F.col("_size.n").alias("n"), F.col("_size.top").alias("top"), "hits")
+    # Per document first, which the same shuffle serves: sizes are then counts, and only whole documents are put in order.
+    texts = placed.groupBy("term", "block", "id").agg(F.sort_array(F.collect_list(F.struct("id", "at"))).alias("hits"))
+    return texts.groupBy("term", "block").agg(
+        F.count("*").cast("int").alias("n"),
+        F.max(F.size("hits")).alias("top"),
+        F.flatten(F.sort_array(F.collect_list("hits"))).alias("hits"),
+    )
 
 
 def _clause_words(query: str) -> list[str]:
