@@ -27,6 +27,8 @@ from quayside.session import ready_checkpoints
 PART_BYTES = 64 * 1024 * 1024
 CELL_BYTES = 2**31 - 1024
 VALUE_BYTES = 32  # what a value takes beside its text
+# Least bytes of a slice of the order: parts may be many and small, slices are tasks.
+SLICE_BYTES = 16 * 1024 * 1024
 # Up to this many large groups of up to so many bytes of keys are known on the driver.
 FEW_KEYS, KEY_BYTES = 1000, 4 << 20
 _PIECE, _ORDER, _PART, _TEXT, _BYTES, _COST, _SLICE, _SHIFT = (
@@ -61,7 +63,7 @@ def _sizes(pieces: DataFrame, keys: Sequence[str], separator: str) -> DataFrame:
 def _parts(pieces: DataFrame, keys: Sequence[str], separator: str, part_bytes: int, total: int) -> DataFrame:
     """Consecutive stretches of each group, joined; ``_part`` counts stretches of ``part_bytes``."""
     ready_checkpoints(pieces.sparkSession)
-    slices = max(1, -(-total // part_bytes))
+    slices = max(1, -(-total // max(part_bytes, SLICE_BYTES)))
     spread = pieces.withColumn(_COST, _cost(separator).cast("bigint"))
     spread = spread.repartitionByRange(slices, *keys, _ORDER).withColumn(_SLICE, F.spark_partition_id())
     # Stored once: the cuts between slices come from a sample, and both passes need the same ones.

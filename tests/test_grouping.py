@@ -124,3 +124,22 @@ def test_json_objects_in_parts(skewed):
         pairs.setdefault(k, []).extend(json.loads(text, object_pairs_hook=list))
     assert pairs == {k: [("x", v) for v in vs] for k, vs in expected(skewed).items()}
     assert rows(grouping.json_group_object_parts(skewed.where("false"), ["k"], F.lit("x"), F.col("v"), ["seq"])) == []
+
+
+@pytest.mark.parametrize("json_form", [False, True])
+def test_small_parts_make_no_more_slices(spark, monkeypatch, json_form):
+    """Slices are tasks and go by bytes; parts of the same rows are the same however many slices there are."""
+    data = spark.range(20_000).selectExpr("id % 3 as k", "id", "repeat('x', int(id % 50)) as v").repartition(3)
+    form = grouping.json_group_array_parts if json_form else grouping.group_concat_parts
+    asked, deal = [], type(data).repartitionByRange
+
+    def counted(self, n, *columns):
+        asked.append(n)
+        return deal(self, n, *columns)
+
+    monkeypatch.setattr(type(data), "repartitionByRange", counted)
+    few = sorted(rows(form(data, ["k"], F.col("v"), ["id"], part_bytes=1000)))
+    assert asked == [1] and len(few) > 500
+    monkeypatch.setattr(grouping, "SLICE_BYTES", 50_000)
+    assert sorted(rows(form(data, ["k"], F.col("v"), ["id"], part_bytes=1000))) == few
+    assert 10 < asked[1] < 20
