@@ -8,8 +8,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Result-relevant: timestamps are UTC; a failed cast is an error unless `try_` is used.
 _SEMANTICS = {
@@ -79,3 +80,20 @@ def ready_checkpoints(spark: SparkSession) -> None:
     """Make ``DataFrame.checkpoint`` usable without overriding the cluster's own folder."""
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
+
+
+def stored(rows: DataFrame, name: str) -> DataFrame:
+    """Write rows once into the cluster's shared folder and read them from there.
+
+    Lost executors cost no recomputation of what went before, and later steps read the columns they
+    need. ``checkpoint`` computes its rows twice; it is left for those that Parquet does not hold. The
+    folder goes when the session's JVM ends.
+    """
+    spark = rows.sparkSession
+    kinds = rows.schema.simpleString()
+    if "void" in kinds or "interval" in kinds or len({c.lower() for c in rows.columns}) < len(rows.columns):
+        ready_checkpoints(spark)
+        return rows.checkpoint()
+    path = delete_at_exit(spark, f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}")
+    rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)

@@ -64,3 +64,22 @@ def test_orders_that_are_no_numbers(spark):
     source = [{"seq": f"{r.random():.9f}", "a": r.randrange(9), "b": r.randrange(30), "c": None} for _ in range(120)]
     assert chosen(spark, source, [["a"], ["b"]], "seq string, a int, b int, c int") == serial(source, [["a"], ["b"]])
     assert chosen(spark, [], [["a"], ["b"]]) == []
+
+
+def test_stored_rows_are_made_once(spark):
+    """A checkpoint computes its rows once to count and once to write them."""
+    made = spark.sparkContext.accumulator(0)
+
+    def work(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    data = spark.range(100).selectExpr("id as seq", "id % 7 as a", "id % 5 as b").mapInArrow(work, "seq bigint, a bigint, b bigint")
+    assert greedy.numbered(data, "seq").count() == 100
+    assert made.value == 100
+
+
+def test_rows_that_files_do_not_hold(spark):
+    data = spark.range(20).selectExpr("id as seq", "id % 4 as a", "id % 3 as b", "null as none")
+    assert sorted(r["seq"] for r in greedy.accepted(data, [["a"], ["b"]], "seq").collect()) == [0, 1, 2]
