@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quayside.llm import decontaminate, jaccard, language, packing, pii
+from quayside.llm import decontaminate, jaccard, language, packing, pii, simhash
 from quayside.llm.common import stored, table
 
 
@@ -15,8 +15,9 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: at least 0.8 of their five-word shingles are shared."""
-    return jaccard.drop_similar(docs)
+    """One document of each group of near copies, which both kinds of links connect: SimHash fingerprints
+    at most two bits apart, and at least 0.8 of the five-word shingles shared."""
+    return jaccard.drop_similar(docs, also=simhash.grouped_texts(docs))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

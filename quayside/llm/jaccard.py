@@ -57,7 +57,7 @@ SHORT = 16  # entries of a list whose pairs are all made at once
 
 _SHIFT = np.uint64(64 - SLOTS.bit_length() + 1)
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
-_KNOWN = 1 << 20  # word hashes remembered by a task
+_KNOWN = 1 << 17  # word hashes remembered by a task
 
 
 # --- sets
@@ -446,17 +446,34 @@ def members(
     return own.unionAll(none), links(c, least)
 
 
+def joined_by(placed: DataFrame, also: DataFrame) -> DataFrame:
+    """``label, key, hash`` with the labels connected that a group of ``also`` (``key, hash, group``) has in common."""
+    placed = stored(placed, "placed")
+    other = also.select(F.col("key").alias("__key"), F.col("hash").alias("__hash"), "group")
+    own = placed.join(other, (placed["hash"] == other["__hash"]) & placed["key"].eqNullSafe(other["__key"]))
+    own = stored(own.select("label", "group").distinct(), "shared")
+    first = own.groupBy("group").agg(F.min("label").alias("b"))
+    found = components(own.join(first, "group").select(F.col("label").alias("a"), "b")).withColumnRenamed("label", "root")
+    named = placed.join(found, placed["label"] == found["node"], "left")
+    return named.select(F.coalesce("root", "label").alias("label"), "key", "hash")
+
+
 def drop_similar(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, least: tuple[int, int] = LEAST
-) -> DataFrame:
+    docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, least: tuple[int, int] = LEAST,
+    also: DataFrame | None = None,
+) -> DataFrame:
     """Keep one document of each group that links connect: the one of the smallest key (NULL last).
 
-    Texts without words are one group here. All columns stay; of repeated rows one does.
+    Texts without words are one group here. All columns stay; of repeated rows one does. ``also`` are
+    further groups of the documents (``key, hash, group``, hash: ``xxhash64`` of the text), which
+    connect like links.
     """
     c = classes(docs, key, text, words, least)
     named = c.nodes.join(labels(c, least), "node", "left").select("print", F.coalesce("label", "node").alias("label"))
     placed = c.rows.where("size > 0").join(named, "print").select("label", "key", "hash")
     placed = placed.unionAll(c.rows.where("size = 0").select(F.lit(-1).cast("bigint").alias("label"), "key", "hash"))
+    if also is not None:
+        placed = joined_by(placed, also)
     times = placed.groupBy("label", "key", "hash").agg(F.count("*").alias("times"))
     first = F.min(F.struct(F.col("key").isNull().alias("none"), "key", "hash", "times")).alias("x")
     stay = stored(times.groupBy("label").agg(first).select("x.key", "x.hash", "x.times"), "stay")

@@ -219,3 +219,12 @@ def drop_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -
     on = [marked[key].eqNullSafe(stay["__id"]), marked["__h"] == stay["__hash"]]
     kept = marked.join(stay, on).dropDuplicates(["__id", "__hash"])
     return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def grouped_texts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``key, hash, group`` of every document (hash: ``xxhash64`` of its text), once: groups are the components."""
+    whole = F.col(f"`{text}`")
+    row = F.struct(F.col(f"`{key}`").alias("key"), F.xxhash64(whole).alias("hash")).alias("row")
+    prints = stored(with_fingerprints(docs.select(row, whole), "row", text), "simhash")
+    groups = near_groups(prints, "row")
+    return prints.join(groups, "fp").select("row.key", "row.hash", F.col("label").alias("group")).distinct()

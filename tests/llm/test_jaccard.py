@@ -163,3 +163,19 @@ def test_keeping_of_odd_rows(frame):
     assert jaccard.drop_similar(lone).count() == 1
     docs = frame([(2, prose(1, 50), None, None, None, "", "", 0), (None, prose(1, 50), None, None, None, "", "", 0)])
     assert [x["doc_id"] for x in jaccard.drop_similar(docs).collect()] == [2]
+
+
+def test_the_stage_takes_both_kinds_of_links(spark, frame):
+    """0 and 1 by fingerprints alone, 1 and 2 by shingles alone: one group."""
+    import corpus_pipeline
+    from quayside.llm import simhash
+
+    core, tail = "a b c ", prose(2, 60)
+    texts = [core * 200 + prose(1, 8), core * 200 + tail, core * 2 + tail, prose(3, 80)]
+    prints = [simhash.fingerprint(t.encode()) for t in texts]
+    apart = [[(p ^ q).bit_count() for q in prints] for p in prints]
+    assert apart[0][1] <= simhash.RADIUS < min(apart[0][2], apart[1][2])
+    sets = [slow_set(t) for t in texts]
+    alike = [[len(x & y) / len(x | y) for y in sets] for x in sets]
+    assert alike[1][2] >= 0.8 > max(alike[0][1], alike[0][2])
+    assert sorted(x["doc_id"] for x in corpus_pipeline.near_dedup(spark, frame(texts), "").collect()) == [0, 3]
