@@ -14,6 +14,8 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from quayside.session import ready_checkpoints, shared_dir
 
 OUT_ROWS = 2000
+# Rows of an Arrow batch: whole texts of ten thousand rows at once would be held by the JVM and by Python, twice each.
+BATCH_ROWS = 1000
 
 
 def table(spark, sf_dir: str, name: str) -> DataFrame:
@@ -34,6 +36,11 @@ def stored(rows: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(path)
 
 
+def small_batches(rows: DataFrame) -> None:
+    """Have the session hand texts to Python in batches of bounded size; results do not depend on it."""
+    rows.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 def map_rows(
     rows: DataFrame,
     work: Callable[[Iterator[tuple]], Iterable[tuple]],
@@ -48,6 +55,7 @@ def map_rows(
     """
     struct = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     out = to_arrow_schema(struct)
+    small_batches(rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def tuples() -> Iterator[tuple]:
@@ -83,6 +91,7 @@ def rewrite_text(rows: DataFrame, work: Callable[[Iterator[list]], Iterator[list
     ``DROP`` for rows that go.
     """
     place = rows.columns.index(text)
+    small_batches(rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

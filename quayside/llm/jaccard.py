@@ -45,7 +45,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quayside.llm.common import components, map_rows, stored
+from quayside.llm.common import components, map_rows, small_batches, stored
 
 WORDS = 5
 LEAST = (80, 100)  # shared : all, as whole numbers so that the bound is exact
@@ -186,6 +186,7 @@ def sketch(texts: DataFrame, words: int) -> np.ndarray:
             part = some[start : start + (1 << 16)]
             yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(n[part])], ["slot", "n"])
 
+    small_batches(texts)
     counted = texts.mapInArrow(run, "slot int, n bigint").groupBy("slot").agg(F.sum("n").alias("n"))
     out = np.zeros(SLOTS, np.uint32)
     for slot, n in counted.collect():
