@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -124,6 +124,23 @@ def null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "in
     return joined.drop(*[f"__r_{k}" for k in keys])
 
 
+def marks(spots: DataFrame) -> DataFrame:
+    """A bitmap of the longs ``spot``, well mixed, as rows ``__word, __bits``: 2**20 at most, for any number of spots."""
+    bit = F.expr("shiftleft(1L, cast(spot & 63 as int))")
+    return spots.groupBy(F.shiftrightunsigned("spot", 44).alias("__word")).agg(F.bit_or(bit).alias("__bits"))
+
+
+def by_marks(rows: DataFrame, spot: Column, held: DataFrame, there: bool = True) -> DataFrame:
+    """The rows whose ``spot`` is in the bitmap, which may be a few too many; or all others, which are not among its spots.
+
+    The bitmap is broadcast, so that rows with whole texts are not moved to find those that matter.
+    """
+    seen = rows.withColumn("__spot", spot)
+    seen = seen.join(F.broadcast(held), F.shiftrightunsigned("__spot", 44) == F.col("__word"), "inner" if there else "left")
+    bit = F.expr("shiftrightunsigned(__bits, cast(__spot & 63 as int)) & 1L")
+    return seen.where(F.coalesce(bit, F.lit(0)) == int(there)).drop("__spot", "__word", "__bits")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of undirected edges ``a, b`` (longs): one row ``node, label``.
 

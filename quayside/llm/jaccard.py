@@ -45,7 +45,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quayside.llm.common import components, map_rows, small_batches, stored
+from quayside.llm.common import by_marks, components, map_rows, marks, small_batches, stored
 
 WORDS = 5
 LEAST = (80, 100)  # shared : all, as whole numbers so that the bound is exact
@@ -125,15 +125,18 @@ class Classes:
     words: int
     repeated: bool  # some rows have both key and text in common
 
+    def places(self, node: str, number: str, hashed: str) -> DataFrame:
+        """Columns ``node``, and key and hash of the text it is read from."""
+        return self.nodes.select(F.col("node").alias(node), F.col("from.key").alias(number), F.col("from.hash").alias(hashed))
+
     def texts(self, wanted: DataFrame) -> DataFrame:
-        """``node, text`` of the wanted nodes, a text each."""
-        nodes = self.nodes.select("node", "from").join(wanted.select("node").distinct(), "node", "left_semi")
-        nodes = stored(nodes.select("node", F.col("from.key").alias("__key"), F.col("from.hash").alias("__hash")), "wanted")
+        """``key, hash, text`` of the wanted nodes, a text each, and of few others, which are not moved."""
+        spots = self.places("node", "key", "spot").join(wanted.select("node"), "node", "left_semi").select("spot")
         own = F.col(f"`{self.key}`").alias("key"), F.col(f"`{self.text}`").alias("text")
         docs = self.docs.select(*own).withColumn("hash", F.xxhash64("text"))
-        found = docs.join(nodes, (docs["hash"] == nodes["__hash"]) & docs["key"].eqNullSafe(nodes["__key"]))
-        found = found.select("node", F.col("text").cast("binary").alias("text"))
-        return found.dropDuplicates(["node"]) if self.repeated else found
+        found = by_marks(docs, F.col("hash"), stored(marks(spots), "marks"))
+        found = found.select("key", "hash", F.col("text").cast("binary").alias("text"))
+        return found.dropDuplicates(["key", "hash"]) if self.repeated else found
 
 
 def classes(docs: DataFrame, key: str, text: str, words: int, least: tuple[int, int]) -> Classes:
@@ -282,6 +285,8 @@ def verified(pairs: DataFrame, c: Classes, least: tuple[int, int]) -> DataFrame:
     """
     (num, den), words = least, c.words
     texts = c.texts(pairs.select(F.explode(F.array("a", "b")).alias("node")))
+    # Pairs get the places of their texts, so that each text is moved once from where it is read.
+    placed = pairs.join(c.places("a", "__ka", "__ha"), "a").join(c.places("b", "__kb", "__hb"), "b")
 
     def work(rows: Iterator[tuple]) -> Iterator[tuple]:
         sets, held, y = Shingler(words), None, None
@@ -293,8 +298,9 @@ def verified(pairs: DataFrame, c: Classes, least: tuple[int, int]) -> DataFrame:
             if den * both >= num * (len(x) + len(y) - both):
                 yield a, b
 
-    first = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("one")), "a")
-    rows = first.join(texts.select(F.col("node").alias("b"), F.col("text").alias("other")), "b")
+    one, other = texts.withColumnRenamed("text", "one"), texts.withColumnRenamed("text", "other")
+    first = placed.join(one, (F.col("__ha") == one["hash"]) & F.col("__ka").eqNullSafe(one["key"])).drop("key", "hash")
+    rows = first.join(other, (F.col("__hb") == other["hash"]) & F.col("__kb").eqNullSafe(other["key"]))
     return map_rows(rows.select("a", "one", "b", "other"), work, "a bigint, b bigint", taken=64)
 
 
