@@ -41,23 +41,43 @@ def small_batches(rows: DataFrame) -> None:
     rows.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
+_KEPT: dict = {}
+
+
+def kept(name: str, make: Callable):
+    """What an operator keeps in a worker process for its next task; see ``keeps`` of :func:`map_rows`."""
+    if name not in _KEPT:
+        _KEPT[name] = make()
+    return _KEPT[name]
+
+
+def release(but: str | None = None) -> None:
+    """Forget what other operators kept: workers live on, and stages of a pipeline would add up in them."""
+    for name in [x for x in _KEPT if x != but]:
+        del _KEPT[name]
+
+
 def map_rows(
     rows: DataFrame,
     work: Callable[[Iterator[tuple]], Iterable[tuple]],
     schema: str | T.StructType,
     taken: int = 512,
     given: int = OUT_ROWS,
+    keeps: str | None = None,
 ) -> DataFrame:
     """Run ``work`` over the rows of each partition, as a stream of tuples, through Arrow batches.
 
     Whole numbers beside NULLs stay exact, as no data frame library stands between. ``taken`` rows
     are Python objects at once and ``given`` are held back for a batch: few where a row is large.
+    Of what is ``kept`` in a worker only ``keeps`` outlasts the start of a task.
     """
     struct = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     out = to_arrow_schema(struct)
     small_batches(rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release(keeps)
+
         def tuples() -> Iterator[tuple]:
             for batch in batches:
                 # Slices bound what a batch of long texts costs as Python objects.
@@ -94,6 +114,7 @@ def rewrite_text(rows: DataFrame, work: Callable[[Iterator[list]], Iterator[list
     small_batches(rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             for start in range(0, batch.num_rows, 512):
                 piece = batch.slice(start, 512)

@@ -45,7 +45,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quayside.llm.common import by_marks, components, map_rows, marks, small_batches, stored
+from quayside.llm.common import by_marks, components, map_rows, marks, release, small_batches, stored
 
 WORDS = 5
 LEAST = (80, 100)  # shared : all, as whole numbers so that the bound is exact
@@ -179,6 +179,7 @@ def sketch(texts: DataFrame, words: int) -> np.ndarray:
     """How often shingles of each slot occur in sets, at most ``2**32 - 1``; of one size for any corpus."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         sets, n = Shingler(words), np.zeros(SLOTS, np.int64)
         for batch in batches:
             for whole in batch.column(0):
@@ -481,13 +482,18 @@ def drop_similar(
     placed = placed.unionAll(c.rows.where("size = 0").select(F.lit(-1).cast("bigint").alias("label"), "key", "hash"))
     if also is not None:
         placed = joined_by(placed, also)
-    times = placed.groupBy("label", "key", "hash").agg(F.count("*").alias("times"))
+    times = stored(placed.groupBy("label", "key", "hash").agg(F.count("*").alias("times")), "times")
     first = F.min(F.struct(F.col("key").isNull().alias("none"), "key", "hash", "times")).alias("x")
     stay = stored(times.groupBy("label").agg(first).select("x.key", "x.hash", "x.times"), "stay")
     stay = stay.select(F.col("key").alias("__key"), F.col("hash").alias("__stays"), F.col("times").alias("__times"))
-    marked = docs.withColumn("__hash", F.xxhash64(F.col(f"`{text}`")))
-    kept = marked.join(stay, (marked["__hash"] == stay["__stays"]) & marked[key].eqNullSafe(stay["__key"]))
-    columns = [F.col(f"`{x}`") for x in docs.columns]
-    # Whole rows are only moved where some are repeated.
+    goes = times.join(stay, (times["hash"] == stay["__stays"]) & times["key"].eqNullSafe(stay["__key"]), "left_anti")
+    unsure = goes.select("key", "hash").unionAll(stay.where("__times > 1").select("__key", "__stays"))
+    held = stored(marks(unsure.select(F.xxhash64("key", "hash").alias("spot"))), "marks")
+    seen = docs.withColumn("__hash", F.xxhash64(F.col(f"`{text}`")))
+    spot, columns = F.xxhash64(F.col(f"`{key}`"), "__hash"), [F.col(f"`{x}`") for x in docs.columns]
+    # A row that is surely alone or the first of its group stays where it is; only the others' texts are moved.
+    sure = by_marks(seen, spot, held, there=False).select(*columns)
+    rest = by_marks(seen, spot, held)
+    kept = rest.join(stay, (rest["__hash"] == stay["__stays"]) & rest[key].eqNullSafe(stay["__key"]))
     once = kept.where("__times = 1").select(*columns)
-    return once.unionAll(kept.where("__times > 1").dropDuplicates(["__key", "__stays"]).select(*columns))
+    return sure.unionAll(once).unionAll(kept.where("__times > 1").dropDuplicates(["__key", "__stays"]).select(*columns))

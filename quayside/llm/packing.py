@@ -11,7 +11,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quayside.llm.common import map_rows, stored
+from quayside.llm.common import kept, map_rows, stored
 
 LENGTH = 2048
 END = 1
@@ -23,8 +23,6 @@ _SIMPLE = re.compile("( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)")
 _SHOWN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 _BYTES = {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in _SHOWN)}
 
-_TOKENIZERS: dict = {}
-
 
 class _Ids(dict):
     """Ids of chunks as little-endian bytes, made when first asked for."""
@@ -98,9 +96,7 @@ def _chunks(line: str) -> list[str]:
 
 
 def tokenizer(path: str) -> ChunkTokenizer:
-    if path not in _TOKENIZERS:
-        _TOKENIZERS[path] = ChunkTokenizer(path)
-    return _TOKENIZERS[path]
+    return kept(f"tokenizer {path}", lambda: ChunkTokenizer(path))
 
 
 def pieces(docs: DataFrame, vocabulary: str, length: int = LENGTH, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -133,7 +129,7 @@ def pieces(docs: DataFrame, vocabulary: str, length: int = LENGTH, key: str = "d
         yield from flush(held)
 
     schema = f"`{key}` {kind}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, ids binary"
-    return map_rows(docs.select(key, text), work, schema)
+    return map_rows(docs.select(key, text), work, schema, keeps=f"tokenizer {vocabulary}")
 
 
 class Bins:

@@ -1,7 +1,28 @@
 """What operators keep in workers and move between them."""
 
+import public_tokenizers
+
 from conftest_llm import prose
-from quayside.llm import common, jaccard
+from quayside.llm import common, jaccard, packing
+
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+
+
+def test_workers_forget_what_others_kept(frame):
+    docs = frame([prose(i, 20) for i in range(8)]).coalesce(1).select("text")
+
+    def keep(rows):
+        common.kept("much", lambda: [0])
+        return [(len(list(rows)),)]
+
+    def look(rows):
+        n = len(list(rows))
+        return [(n, len(common._KEPT))]
+
+    assert common.map_rows(docs, keep, "n int", keeps="much").first()[0] == 8
+    assert common.map_rows(docs, look, "n int, kept int").first()[1] == 0
+    assert packing.pack(frame(["a b c"]), VOCABULARY).count() == 1
+    assert common.map_rows(docs, look, "n int, kept int").first()[1] == 0
 
 
 def test_marks_tell_rows_apart(spark):
@@ -27,5 +48,8 @@ def test_texts_of_others_are_not_moved(spark, frame, monkeypatch):
         found = c.texts(wanted)
         assert 2 <= found.count() <= 3
         assert "BroadcastHashJoin" in found._jdf.queryExecution().executedPlan().toString()
+        kept = jaccard.drop_similar(docs)
+        assert "BroadcastHashJoin" in kept._jdf.queryExecution().executedPlan().toString()
+        assert sorted(x["doc_id"] for x in kept.collect()) == [0, 2, *range(4, 30)]
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
