@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quayside.llm.common import map_rows, null_safe, stored
+from quayside.llm.common import by_marks, map_rows, marks, null_safe, stored
 
 LENGTH = 50
 GRAM = 10
@@ -95,7 +95,11 @@ def repeats(docs: DataFrame, found: DataFrame, key: str = "doc_id", text: str =
     Every step is a minimum per key with map-side combining, or a join that run-time skew
     handling may split; no group of documents is gathered or paired.
     """
-    each = found.select(key, "h", F.explode("cells").alias("c")).select(key, "h", "c.*")
+    every = found.select(key, "h", F.explode("cells").alias("c")).select(key, "h", "c.*")
+    # Equal windows have equal anchors, so a cell that is alone under its anchor has no repeats. Stored, so that
+    # nothing but this join depends on its keys.
+    shared = every.groupBy("anchor").agg(F.count("*").alias("k")).where("k > 1").select("anchor")
+    each = stored(every.join(shared, "anchor", "left_semi"), "shared")
     owners = stored(
         each.groupBy("cell").agg(
             F.min("anchor").alias("anchor"), F.min(F.struct(key, "h", "start", "n")).alias("own"), F.max(key).alias("last")
@@ -169,7 +173,10 @@ def kept_words(docs: DataFrame, key: str = "doc_id", text: str = "text", length:
                 at = g["b"]
             yield k, h, hashlib.sha256(b" ".join(out + words[at:])).hexdigest()
 
-    changed = map_rows(texts.join(partial, [key, "h"]), keep, f"`{key}` {kind}, h bigint, changed string")
+    # Texts that are kept or dropped as a whole are not moved.
+    spot = F.xxhash64(F.col(key), "h")
+    some = by_marks(texts, spot, stored(marks(partial.select(spot.alias("spot"))), "marks"))
+    changed = map_rows(some.join(partial, [key, "h"]), keep, f"`{key}` {kind}, h bigint, changed string")
     final = null_safe(rows, changed.dropDuplicates([key, "h"]), [key, "h"], "left")
     empty = F.when(F.col("n_removed") == F.col("n_words"), F.sha2(F.lit("").cast("binary"), 256))
     return final.select(

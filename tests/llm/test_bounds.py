@@ -3,7 +3,7 @@
 import public_tokenizers
 
 from conftest_llm import prose
-from quayside.llm import common, jaccard, packing
+from quayside.llm import common, jaccard, packing, substrings
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -53,3 +53,19 @@ def test_texts_of_others_are_not_moved(spark, frame, monkeypatch):
         assert sorted(x["doc_id"] for x in kept.collect()) == [0, 2, *range(4, 30)]
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_lone_cells_are_left_where_they_are(frame, monkeypatch):
+    counts = {}
+
+    def counted(rows, name):
+        made = common.stored(rows, name)
+        counts[name] = made.count()
+        return made
+
+    monkeypatch.setattr(substrings, "stored", counted)
+    texts = [prose(1, 300), prose(1, 300), *(prose(i, 300) for i in range(2, 40))]
+    got = {r["doc_id"]: r["n_removed"] for r in substrings.kept_words(frame(texts)).collect()}
+    assert got == {i: 300 if i == 1 else 0 for i in range(40)}
+    own = len(substrings.cells(texts[0].encode().split()))
+    assert counts["cells"] == own and counts["seeds"] == 40
