@@ -16,7 +16,7 @@ from quayside.llm.common import kept, map_rows, stored
 LENGTH = 2048
 END = 1
 GROUP = 1024  # pieces packed together, on average
-CACHE = 400_000  # chunks whose ids a worker keeps, twice at most
+CACHE = 400_000  # words whose ids a worker keeps, twice at most
 # A word, perhaps after a space, and a stop: tokens of their own whatever stands around them.
 _SIMPLE = re.compile("( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)")
 # The printable stand-ins of bytes in byte-level vocabularies: themselves, or the next free from U+0100.
@@ -25,24 +25,28 @@ _BYTES = {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not i
 
 
 class _Ids(dict):
-    """Ids of chunks as little-endian bytes, made when first asked for."""
+    """Ids of words after ``lead`` as little-endian bytes, made when first asked for."""
 
-    def __init__(self, model):
+    def __init__(self, model, lead: str = "", plain: _Ids | None = None):
         super().__init__()
         self.tokenize, self.split = model.model.tokenize, model.pre_tokenizer.pre_tokenize_str
+        self.lead, self.plain = lead, self if plain is None else plain
         self.old: dict[str, bytes] = {}
 
-    def __missing__(self, chunk: str) -> bytes:
-        made = self.old.get(chunk)
+    def __missing__(self, word: str) -> bytes:
+        made = self.old.get(word)
         if made is None:
+            chunk = self.lead + word
             simple = _SIMPLE.fullmatch(chunk)
             if simple is None:
                 made = b"".join(self._raw(part) for part, _ in self.split(chunk))
             elif simple[2]:
-                made = self[simple[1]] + self[simple[2]]
+                made = self[word[:-1]] + self.plain[simple[2]]
+            elif chunk.isascii():
+                made = self._raw(chunk.replace(" ", _BYTES[0x20]))
             else:
                 made = self._raw(chunk.encode().decode("latin-1").translate(_BYTES))
-        self[chunk] = made
+        self[word] = made
         return made
 
     def _raw(self, part: str) -> bytes:
@@ -55,12 +59,12 @@ class _Ids(dict):
 
 
 class ChunkTokenizer:
-    """Ids of texts as little-endian bytes, with the ids of chunks between single spaces kept.
+    """Ids of texts as little-endian bytes, with the ids of words between single spaces kept.
 
     The byte-level pre-tokenizer always starts a token at a space or line end between two other
     characters, so a text without runs of white space and without special tokens is the sum of
-    its chunks. Other texts are encoded whole. Of kept chunks those in use survive when the store
-    is full.
+    its chunks: a line's first word, and each further one with the space before it. Other texts are
+    encoded whole. Of kept words those in use survive when the store is full.
     """
 
     def __init__(self, path: str, cache: int = CACHE):
@@ -70,31 +74,39 @@ class ChunkTokenizer:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.model = Tokenizer.from_file(path)
-        special = [re.escape(t.content) for t in self.model.get_added_tokens_decoder().values()]
-        self.whole = re.compile("|".join([r"\s\s", r"[^\S \n]", *special]))
+        self.special = [t.content for t in self.model.get_added_tokens_decoder().values()]
         self.cache, self.known = cache, _Ids(self.model)
+        self.spaced = _Ids(self.model, " ", self.known)
 
     def _encode(self, text: str) -> bytes:
         return array("I", self.model.encode(text, add_special_tokens=False).ids).tobytes()
 
+    def _by_words(self, text: str) -> bool:
+        """Whether single spaces and line ends are all the white space, none at either end, without special tokens."""
+        words = text.split()
+        gaps = len(words) - 1
+        single = gaps == text.count(" ") + text.count("\n") and gaps + sum(map(len, words)) == len(text)
+        return single and not any(s in text for s in self.special)
+
+    def _line(self, line: str) -> bytes:
+        first, space, rest = line.partition(" ")
+        if not space:
+            return self.known[first]
+        return self.known[first] + b"".join(map(self.spaced.__getitem__, rest.split(" ")))
+
     def __call__(self, texts: list[str]) -> list[bytes]:
-        out, get, join = [], self.known.__getitem__, b"".join
-        line = get("\n")
+        out, end = [], self.known["\n"]
         for text in texts:
-            if self.whole.search(text):
-                out.append(self._encode(text))
+            if self._by_words(text):
+                out.append(end.join(map(self._line, text.split("\n"))))
             else:
-                out.append(line.join([join(map(get, _chunks(x))) for x in text.split("\n")]))
-            if len(self.known) > self.cache:
+                out.append(self._encode(text))
+            if len(self.known) + len(self.spaced) > self.cache:
                 self.known.turn()
+                self.spaced.turn()
         return out
 
 
-def _chunks(line: str) -> list[str]:
-    first, *rest = line.split(" ")
-    return [first, *map(" ".__add__, rest)]
-
-
 def tokenizer(path: str) -> ChunkTokenizer:
     return kept(f"tokenizer {path}", lambda: ChunkTokenizer(path))
 

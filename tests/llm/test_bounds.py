@@ -1,5 +1,7 @@
 """What operators keep in workers and move between them."""
 
+import random
+
 import public_tokenizers
 
 from conftest_llm import prose
@@ -8,6 +10,18 @@ from quayside.llm import common, jaccard, packing, substrings
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def test_ids_by_words():
+    r = random.Random(1)
+    odd = ["", " ", "\n", "a b", "a  b", " a", "a ", "a\n\nb", "a\tb", "é ü.", "x\x1cy", "a\x85b", "<|endoftext|> a b", "日本 語", "a . ,"]
+    some = ["".join(r.choice("aé .,\n'1Z🙂\t日") for _ in range(r.randint(0, 14))) for _ in range(2000)]
+    encode = packing.ChunkTokenizer(VOCABULARY, cache=50)
+    assert encode(odd + some) == [encode._encode(x) for x in odd + some]
+    encode = packing.ChunkTokenizer(VOCABULARY)
+    assert encode(["one two, two\nthree"]) == [encode._encode("one two, two\nthree")]
+    # Words are kept as they stand, without a new string for the space before each.
+    assert set(encode.spaced) == {"two,", "two"} and set(encode.known) == {"one", "three", ",", "\n"}
+
+
 def test_workers_forget_what_others_kept(frame):
     docs = frame([prose(i, 20) for i in range(8)]).coalesce(1).select("text")
 
