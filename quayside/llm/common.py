@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
@@ -52,9 +54,18 @@ def kept(name: str, make: Callable):
 
 
 def release(but: str | None = None) -> None:
-    """Forget what other operators kept: workers live on, and stages of a pipeline would add up in them."""
-    for name in [x for x in _KEPT if x != but]:
+    """Forget what other operators kept: workers live on, and stages of a pipeline would add up in them.
+
+    What is free goes back to the system, as the C library and Arrow otherwise hold it for a next time.
+    """
+    gone = [x for x in _KEPT if x != but]
+    for name in gone:
         del _KEPT[name]
+    if gone:
+        gc.collect()  # stores may refer to themselves
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
 
 
 def map_rows(

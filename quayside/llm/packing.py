@@ -16,7 +16,9 @@ from quayside.llm.common import kept, map_rows, stored
 LENGTH = 2048
 END = 1
 GROUP = 1024  # pieces packed together, on average
-CACHE = 400_000  # words whose ids a worker keeps, twice at most
+CACHE = 500_000  # words whose ids a worker keeps, twice at most
+EARLY = 1 << 14  # of them so many are kept at first sight
+SEEN = 1 << 20  # slots that remember which words were asked for once
 # A word, perhaps after a space, and a stop: tokens of their own whatever stands around them.
 _SIMPLE = re.compile("( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)")
 # The printable stand-ins of bytes in byte-level vocabularies: themselves, or the next free from U+0100.
@@ -25,37 +27,50 @@ _BYTES = {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not i
 
 
 class _Ids(dict):
-    """Ids of words after ``lead`` as little-endian bytes, made when first asked for."""
+    """Ids of words after ``lead`` as little-endian bytes, kept from the second time they are asked for.
+
+    Most words of a corpus come once, and kept they would be most of the store. The first few are kept
+    at once. Two words may share a slot of ``seen``, by which one of them is kept a time too early.
+    """
 
     def __init__(self, model, lead: str = "", plain: _Ids | None = None):
         super().__init__()
         self.tokenize, self.split = model.model.tokenize, model.pre_tokenizer.pre_tokenize_str
         self.lead, self.plain = lead, self if plain is None else plain
         self.old: dict[str, bytes] = {}
+        self.seen = bytearray(SEEN)
 
     def __missing__(self, word: str) -> bytes:
-        made = self.old.get(word)
+        made = self.old.pop(word, None)
         if made is None:
-            chunk = self.lead + word
-            simple = _SIMPLE.fullmatch(chunk)
-            if simple is None:
-                made = b"".join(self._raw(part) for part, _ in self.split(chunk))
-            elif simple[2]:
-                made = self[word[:-1]] + self.plain[simple[2]]
-            elif chunk.isascii():
-                made = self._raw(chunk.replace(" ", _BYTES[0x20]))
-            else:
-                made = self._raw(chunk.encode().decode("latin-1").translate(_BYTES))
+            made = self._made(word)
+            spot = hash(word) & (SEEN - 1)
+            if len(self) >= EARLY and not self.seen[spot]:
+                self.seen[spot] = 1
+                return made
         self[word] = made
         return made
 
+    def _made(self, word: str) -> bytes:
+        chunk = self.lead + word
+        simple = _SIMPLE.fullmatch(chunk)
+        if simple is None:
+            return b"".join(self._raw(part) for part, _ in self.split(chunk))
+        if simple[2]:
+            return self[word[:-1]] + self.plain[simple[2]]
+        if chunk.isascii():
+            return self._raw(chunk.replace(" ", _BYTES[0x20]))
+        return self._raw(chunk.encode().decode("latin-1").translate(_BYTES))
+
     def _raw(self, part: str) -> bytes:
         return array("I", [t.id for t in self.tokenize(part)]).tobytes()
 
     def turn(self) -> None:
         """Forget what has not been asked for since the last turn."""
-        self.old = dict(self)
+        self.old.clear()  # first, so that three generations are never held
+        self.old.update(self)
         self.clear()
+        self.seen = bytearray(SEEN)
 
 
 class ChunkTokenizer:
@@ -64,7 +79,7 @@ class ChunkTokenizer:
     The byte-level pre-tokenizer always starts a token at a space or line end between two other
     characters, so a text without runs of white space and without special tokens is the sum of
     its chunks: a line's first word, and each further one with the space before it. Other texts are
-    encoded whole. Of kept words those in use survive when the store is full.
+    encoded whole. Words that come again are kept, and of those the ones in use survive when the store is full.
     """
 
     def __init__(self, path: str, cache: int = CACHE):
@@ -111,10 +126,12 @@ def tokenizer(path: str) -> ChunkTokenizer:
     return kept(f"tokenizer {path}", lambda: ChunkTokenizer(path))
 
 
-def pieces(docs: DataFrame, vocabulary: str, length: int = LENGTH, key: str = "doc_id", text: str = "text") -> DataFrame:
+def pieces(docs: DataFrame, vocabulary: str, length: int = LENGTH, key: str = "doc_id", text: str = "text",
+           ids: bool = True) -> DataFrame:
     """Tokenised documents cut every ``length`` ids, an end id closing each: a row per piece.
 
-    ``doc_id, start, length, ids_crc32, doc_tokens, ids`` (little-endian 32-bit ids).
+    ``doc_id, start, length, ids_crc32, doc_tokens, ids`` (little-endian 32-bit ids). Without ``ids``
+    that column is left out and the ids stay in the worker.
     ``vocabulary`` is a tokenizer file at the same path on every machine.
     """
     kind = docs.schema[key].dataType.simpleString()
@@ -124,12 +141,13 @@ def pieces(docs: DataFrame, vocabulary: str, length: int = LENGTH, key: str = "d
         encode = tokenizer(vocabulary)
 
         def flush(held: list[tuple]) -> Iterator[tuple]:
-            for (k, _), ids in zip(held, encode([t or "" for _, t in held]), strict=True):
-                ids += end
-                total = len(ids) // 4
+            for (k, _), made in zip(held, encode([t or "" for _, t in held]), strict=True):
+                made += end
+                total = len(made) // 4
                 for start in range(0, total, length):
-                    part = ids[4 * start : 4 * (start + length)]
-                    yield k, start, len(part) // 4, zlib.crc32(part), total, part
+                    part = made[4 * start : 4 * (start + length)]
+                    row = k, start, len(part) // 4, zlib.crc32(part), total
+                    yield (*row, part) if ids else row
 
         held, size = [], 0
         for row in rows:
@@ -140,7 +158,8 @@ def pieces(docs: DataFrame, vocabulary: str, length: int = LENGTH, key: str = "d
                 held, size = [], 0
         yield from flush(held)
 
-    schema = f"`{key}` {kind}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, ids binary"
+    schema = f"`{key}` {kind}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
+    schema += ", ids binary" if ids else ""
     return map_rows(docs.select(key, text), work, schema, keeps=f"tokenizer {vocabulary}")
 
 
@@ -222,7 +241,7 @@ def pack(docs: DataFrame, vocabulary: str, length: int = LENGTH, key: str = "doc
 
     A NULL or empty text is its end id alone. Repeated rows, also of one id, are packed one by one.
     """
-    parts = pieces(docs, vocabulary, length, key, text).drop("ids")
+    parts = pieces(docs, vocabulary, length, key, text, ids=False)
     return packed(stored(parts, "pieces"), length, key, group)
 
 

@@ -39,6 +39,42 @@ def test_workers_forget_what_others_kept(frame):
     assert common.map_rows(docs, look, "n int, kept int").first()[1] == 0
 
 
+def test_words_that_come_once_are_not_kept():
+    encode = packing.ChunkTokenizer(VOCABULARY)
+    text = " ".join(f"word{i}" for i in range(60_000))
+    want = encode._encode(text)
+    assert encode([text]) == [want]
+    assert len(encode.spaced) + len(encode.known) < 30_000
+    assert encode([text, text]) == [want, want]
+    assert len(encode.spaced) + len(encode.known) > 59_000
+
+
+def test_freed_stores_are_gone_at_once():
+    import weakref
+
+    class Store(dict):
+        pass
+
+    def make():
+        store = Store()
+        store["me"] = store
+        return store
+
+    gone, stays = weakref.ref(common.kept("gone", make)), weakref.ref(common.kept("stays", make))
+    common.release("stays")
+    assert gone() is None and stays() is not None
+    common.release()
+    assert stays() is None
+
+
+def test_ids_leave_the_worker_only_if_asked_for(frame):
+    docs = frame([prose(i, 900) for i in range(4)] + ["", None])
+    whole = packing.pieces(docs, VOCABULARY, 256)
+    light = packing.pieces(docs, VOCABULARY, 256, ids=False)
+    assert light.columns == whole.columns[:-1]
+    assert sorted(light.collect()) == sorted(whole.drop("ids").collect())
+
+
 def test_marks_tell_rows_apart(spark):
     from pyspark.sql import functions as F
 
