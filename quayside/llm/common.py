@@ -18,21 +18,25 @@ from quayside.session import ready_checkpoints, shared_dir
 OUT_ROWS = 2000
 # Rows of an Arrow batch: whole texts of ten thousand rows at once would be held by the JVM and by Python, twice each.
 BATCH_ROWS = 1000
+# Rows may be large themselves, as a block of an index is: a batch also ends with the row that passes so many bytes.
+BATCH_BYTES = 8 << 20
+# For rows of megabytes: Parquet would look at the size of a row group after a hundred rows, and readers take one whole.
+ROW_BY_ROW = {"parquet.block.row.count.limit": "1", "parquet.enable.dictionary": "false"}
 
 
 def table(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(rows: DataFrame, name: str) -> DataFrame:
+def stored(rows: DataFrame, name: str, large: bool = False) -> DataFrame:
     """Write rows once into the cluster's shared folder and read them from there.
 
     Lost executors cost no recomputation of what went before. The folder goes when the session's
-    JVM ends.
+    JVM ends. ``large`` rows are written and read one at a time, however many a task has.
     """
     spark = rows.sparkSession
     path = f"{shared_dir(spark)}/llm-{name}-{uuid.uuid4().hex}"
-    rows.write.parquet(path)
+    rows.write.options(**(ROW_BY_ROW if large else {})).parquet(path)
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
     return spark.read.schema(rows.schema).parquet(path)
@@ -41,6 +45,7 @@ def stored(rows: DataFrame, name: str) -> DataFrame:
 def small_batches(rows: DataFrame) -> None:
     """Have the session hand texts to Python in batches of bounded size; results do not depend on it."""
     rows.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    rows.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 _KEPT: dict = {}

@@ -76,7 +76,7 @@ def index(docs: DataFrame, key: str = "doc_id", text: str = "text", block_docs:
             yield held.row()
 
     schema = f"keys array<{kind}>, n_docs bigint, n_words bigint, lengths binary, terms binary, ends binary, places binary, counts binary"
-    return stored(map_rows(docs.select(key, F.col(text).cast("binary")), work, schema, given=1), "index")
+    return stored(map_rows(docs.select(key, F.col(text).cast("binary")), work, schema, given=1), "index", large=True)
 
 
 class _Block:

@@ -5,10 +5,12 @@ import re
 from collections import Counter
 from math import floor, log
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
 from conftest_llm import prose
-from quayside.llm import lexical
+from quayside.llm import common, lexical
 
 TERM = re.compile("[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
 FOLD = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -99,3 +101,22 @@ def test_odd_tables(spark, frame):
 def test_terms():
     text = "One,two_THREE naïve 4x4 日本 \x7fA\x00b É"
     assert [t.decode() for t in lexical.terms(text)] == slow_terms(text)
+
+
+def test_blocks_are_written_and_read_one_at_a_time(frame):
+    """A block may take megabytes; neither the writer nor a reader of the index may gather those of a whole task."""
+    blocks = lexical.index(frame([prose(i, 30) for i in range(60)]).coalesce(1), block_docs=4)
+    assert blocks.count() == 15
+    made = [pq.ParquetFile(f.removeprefix("file://")).metadata for f in blocks.inputFiles()]
+    assert [m.row_group(i).num_rows for m in made for i in range(m.num_row_groups)] == [1] * 15
+
+
+def test_large_rows_reach_workers_in_batches_of_bounded_size(spark):
+    rows = spark.range(0, 40, 1, 1).selectExpr("cast(repeat('x', 1 << 20) as binary) as b")
+    common.small_batches(rows)
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": [batch.num_rows]})
+
+    assert max(r["n"] for r in rows.mapInArrow(sizes, "n bigint").collect()) <= 9
