@@ -259,15 +259,28 @@ def positional_index(
     ids, so the list of a word that is everywhere is spread over many rows and tasks. Publish it with
     ``cluster_by=["term", "block"]``: lookups then read the files of their words alone.
     """
-    each = rows.select(F.col(id_column).alias("id"), F.posexplode(words).alias("at", "term"))
-    placed = each.withColumn("block", F.floor(F.col("id") / block).cast("bigint")).repartition("term", "block")
-    # Per document first, which the same shuffle serves: sizes are then counts, and only whole documents are put in order.
-    texts = placed.groupBy("term", "block", "id").agg(F.sort_array(F.collect_list(F.struct("id", "at"))).alias("hits"))
-    return texts.groupBy("term", "block").agg(
-        F.count("*").cast("int").alias("n"),
-        F.max(F.size("hits")).alias("top"),
-        F.flatten(F.sort_array(F.collect_list("hits"))).alias("hits"),
+    kind, number = rows.schema[id_column].dataType, F.col(id_column).cast("bigint")
+    start = F.col("block") * F.lit(block)
+    # Whole documents move, to their block's task; words become rows there and are grouped in one sort, as numbers.
+    whole = F.call_function("div", number - F.pmod(number, F.lit(block)), F.lit(block)).cast("bigint")
+    placed = rows.select(whole.alias("block"), number.alias("id"), F.col(words).alias("words")).repartition("block")
+    each = placed.select("block", F.coalesce(F.col("id") - start, F.lit(0)).alias("nth"), F.posexplode("words").alias("at", "term"))
+    code = F.col("nth") * F.lit(PLACES) + F.col("at")
+    lists = each.groupBy("term", "block").agg(F.sort_array(F.collect_list(code)).alias("codes"))
+    # A document's occurrences follow each other: where the next one starts tells how many they are.
+    begins = F.filter(
+        F.transform("codes", lambda x, i: F.when((i == 0) | (_nth(x) != _nth(F.get("codes", i - 1))), i)), lambda i: i.isNotNull()
     )
+    lists = lists.withColumn("begins", begins)
+    ends = F.transform("begins", lambda b, k: F.coalesce(F.get("begins", k + 1), F.size("codes")) - b)
+    hits = F.transform(
+        "codes", lambda x: F.struct((_nth(x) + start).cast(kind).alias("id"), x.bitwiseAND(F.lit(PLACES - 1)).cast("int").alias("at"))
+    )
+    return lists.select("term", "block", F.size("begins").alias("n"), F.array_max(ends).alias("top"), hits.alias("hits"))
+
+
+def _nth(code: Column) -> Column:
+    return F.shiftright(code, 32)
 
 
 def _clause_words(query: str) -> list[str]:
@@ -288,17 +301,16 @@ def _matched(index: DataFrame, query: str) -> DataFrame:
     if any(all(c.unwanted for c in clauses) for clauses in alternatives):
         raise ValueError(f"an alternative of {query!r} wants no word; scan the rows instead")
     kind = index.schema["hits"].dataType
-    met = (
-        index.where(F.col("term").isin(*_clause_words(query)))
-        .groupBy("block")
-        .agg(
-            F.map_from_entries(F.collect_list(F.struct("term", "hits"))).alias("lists"),
-            F.min(F.get("hits", F.lit(0))["id"]).alias("start"),
-        )
+    near = index.where(F.col("term").isin(*_clause_words(query)))
+    # One column a word: kept by sorting, a block at a time. Maps of lists would be kept for many blocks at once.
+    held_as = {w: f"_list_{i}" for i, w in enumerate(_clause_words(query))}
+    met = near.groupBy("block").agg(
+        *[F.first(F.when(F.col("term") == w, F.col("hits")), ignorenulls=True).alias(c) for w, c in held_as.items()],
+        F.min(F.get("hits", F.lit(0))["id"]).alias("start"),
     )
 
     def hits(word: str) -> Column:
-        return F.coalesce(F.try_element_at("lists", F.lit(word)), F.array().cast(kind))
+        return F.coalesce(F.col(held_as[word]), F.array().cast(kind))
 
     def holders(clause: Clause) -> Column:
         # Numbers meet by hashing; arrays of structs would be compared pair by pair.
@@ -363,5 +375,6 @@ def index_ranked(
     reach = ranks[-1] if len(ranks) == limit else 0
     # A rank is a sum of fractions; a bound that is hardly lower is looked at.
     near = bounds.where(F.col("bound") >= reach - 1e-9).select("block")
-    rest = index.join(near, "block", "left_semi")
+    # A number for thousands of documents: lists are not moved to find which are read.
+    rest = index.join(F.broadcast(near), "block", "left_semi")
     return _index_scores(rest, query, method).withColumnRenamed("id", id_name).orderBy(*order).limit(limit)

@@ -17,7 +17,7 @@ from quayside.functions import aggregates, coerce, dates, jsons, scalars, sql_na
 from quayside.operators import align, audit, grouping, identity, load, paging, search
 from quayside.operators.present import present
 from quayside.plans.copyjob import copy_tables, report_frame
-from quayside.session import delete_at_exit, shared_dir, tune
+from quayside.session import UNEVEN_ROWS, delete_at_exit, shared_dir, stored, tune
 from quayside.sources.publish import latest, publish
 from quayside.sources.scan import key_slices, sliced
 from quayside.streaming import catch_up
@@ -1478,7 +1478,9 @@ def kept(spark, sf_dir, name: str, build: Callable[[], DataFrame], cluster_by: l
     table = f"{name}_{version}"
     if not spark.catalog.tableExists(table):
         base = delete_at_exit(spark, f"{shared_dir(spark)}/{table}_{uuid.uuid4().hex}")
-        publish(build(), table, base, cluster_by=cluster_by)
+        # Ranges come from a sample, which would make the rows once more.
+        rows = stored(build(), name, UNEVEN_ROWS)
+        publish(rows, table, base, cluster_by=cluster_by, options=UNEVEN_ROWS)
     return latest(spark, table)
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,6 +29,14 @@ _PLANNING = {
     "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
+# For rows from bytes to megabytes in order. Parquet would look at the size of a row group after hundreds or thousands of
+# them; it holds the group until then, and so does a reader, as columns.
+UNEVEN_ROWS = {
+    "parquet.block.size": str(4 << 20),
+    "parquet.page.size.row.check.min": "1",
+    "parquet.page.size.row.check.max": "8",
+}
+
 
 def tune(spark: SparkSession) -> SparkSession:
     """Apply the settings above to an existing session and return it."""
@@ -82,12 +91,12 @@ def ready_checkpoints(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
 
 
-def stored(rows: DataFrame, name: str) -> DataFrame:
+def stored(rows: DataFrame, name: str, options: Mapping[str, str] | None = None) -> DataFrame:
     """Write rows once into the cluster's shared folder and read them from there.
 
     Lost executors cost no recomputation of what went before, and later steps read the columns they
     need. ``checkpoint`` computes its rows twice; it is left for those that Parquet does not hold. The
-    folder goes when the session's JVM ends.
+    folder goes when the session's JVM ends. ``options`` are those of Parquet.
     """
     spark = rows.sparkSession
     kinds = rows.schema.simpleString()
@@ -95,5 +104,5 @@ def stored(rows: DataFrame, name: str) -> DataFrame:
         ready_checkpoints(spark)
         return rows.checkpoint()
     path = delete_at_exit(spark, f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}")
-    rows.write.parquet(path)
+    rows.write.options(**(options or {})).parquet(path)
     return spark.read.schema(rows.schema).parquet(path)

@@ -7,7 +7,7 @@ the old or the new state, and a failed write leaves only an unused folder.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -50,6 +50,7 @@ def publish(
     file_format: str = "parquet",
     partition_by: Sequence[str] = (),
     before_commit: Callable[[DataFrame], None] | None = None,
+    options: Mapping[str, str] | None = None,
 ) -> int:
     """Write ``rows`` as the next state of ``table`` and switch to it; returns the row count.
 
@@ -61,7 +62,7 @@ def publish(
     key lookups skip files. ``bucket_by`` with a number of ``buckets`` stores rows by key, one file per
     bucket: loads that join two such tables by that key then shuffle neither side. ``partition_by``
     makes a folder per value. ``before_commit`` is called with the written rows; when it raises, the
-    table stays as it was.
+    table stays as it was. ``options`` are the file format's own, for this state.
 
     Of two writers that started from the same state one fails with ``ConcurrentPublish``. Columns added
     or retyped, and another layout, make a new catalog entry. Leaving a column out is refused.
@@ -94,7 +95,7 @@ def publish(
         rows = rows.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
     # Counted in the writing tasks: before a shuffle, sampling and retries would count twice.
     seen = Observation()
-    writer = rows.observe(seen, F.count(F.lit(1)).alias("n")).write.format(file_format)
+    writer = rows.observe(seen, F.count(F.lit(1)).alias("n")).write.format(file_format).options(**(options or {}))
     if layout.buckets:
         keyed = writer.bucketBy(layout.buckets, *layout.bucket_by).sortBy(*layout.bucket_by)
         if layout.partition_by:

@@ -1,11 +1,14 @@
 import random
 import time
 
+import pyarrow.parquet as pq
 import pytest
 from helpers import plan, rows
 from pyspark.sql import functions as F
 
+from quayside import session
 from quayside.operators import search
+from quayside.plans import catalog
 
 
 @pytest.fixture
@@ -135,3 +138,37 @@ def test_a_block_of_frequent_words_is_joined_in_proportion(spark):
     assert found == {*range(4000, 4010), *range(7991, 8000)}
     assert {r["id"] for r in search.index_matches(index, '"b a"').where("id < 4010").collect()} == set(range(4000, 4010, 2))
     assert time.monotonic() - begun < 60
+
+
+def test_lists_of_a_block_at_a_time_are_held(spark):
+    """Lists kept in a hash table would be those of up to 128 blocks, each with a list per word."""
+    index = spark.createDataFrame([], "term string, block long, n int, top int, hits array<struct<id: long, at: int>>")
+    text = plan(search.index_matches(index, '"w1 w2" -w3'))
+    assert "ObjectHashAggregate" not in text and "SortAggregate" in text
+
+
+def test_long_lists_are_stored_in_small_row_groups(spark, tmp_path, monkeypatch):
+    monkeypatch.setitem(session.UNEVEN_ROWS, "parquet.block.size", str(1 << 18))
+    docs = spark.range(20).selectExpr("id * 4096 as doc_id", "repeat('a ', 20000) as text")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        lists = catalog.stored_places(spark, str(tmp_path))
+        assert lists.select("block", F.size("hits"), "n", "top").orderBy("block").collect() == [(i, 20000, 1, 20000) for i in range(20)]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    made = [pq.ParquetFile(f.removeprefix("file://")).metadata for f in lists.inputFiles()]
+    groups = [m.row_group(i).num_rows for m in made for i in range(m.num_row_groups)]
+    assert sum(groups) == 20 and max(groups) <= 10
+
+
+def test_places_of_odd_ids(spark):
+    texts = [(None, "a b a"), (5, "a"), (5, "a a"), (-1, "a"), (2**63 - 1, "a")]
+    frame = search.add_search_column(spark.createDataFrame(texts, "id long, text string"), "text")
+    got = {(r["term"], r["block"]): (r["n"], r["top"], [tuple(h) for h in r["hits"]]) for r in search.positional_index(frame, "id").collect()}
+    assert got == {
+        ("a", None): (1, 2, [(None, 0), (None, 2)]), ("b", None): (1, 1, [(None, 1)]),
+        ("a", 0): (1, 3, [(5, 0), (5, 0), (5, 1)]), ("a", -1): (1, 1, [(-1, 0)]),
+        ("a", 2**51 - 1): (1, 1, [(2**63 - 1, 0)]),
+    }
